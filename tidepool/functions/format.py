@@ -17,7 +17,7 @@ def ts_text_us(c) -> Column:
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
-def arr_text(c, sort: bool = True) -> Column:
-    """Array as comma-joined text (sorted unless the order is the point)."""
+def arr_text(c, sort: bool = True, sep: str = ",") -> Column:
+    """Array as joined text (sorted unless the order is the point)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.array_join(F.array_sort(c) if sort else c, ",")
+    return F.array_join(F.array_sort(c) if sort else c, sep)
