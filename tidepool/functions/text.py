@@ -41,16 +41,20 @@ def canonical_url(c, base: str, pattern: str = VACANCY_ID_PATTERN,
             .otherwise(F.substring_index(c, "?", 1))
 
 
-def resolve_url(c, base: str) -> Column:
-    """Relative link -> absolute (the part of ``urljoin`` landed pages need): '//x'
-    takes the base scheme, '/x' the base origin, absolute URLs stay."""
+def resolve_url(c, base) -> Column:
+    """Relative link -> absolute, the cases landed pages use: absolute URLs stay,
+    '//host/x' takes the base scheme, '/x' the base origin, 'x' the base directory."""
     c = _c(c)
-    origin = F.regexp_extract(F.lit(base), r"^([a-z]+://[^/]+)", 1)
-    scheme = F.regexp_extract(F.lit(base), r"^([a-z]+):", 1)
+    b = F.lit(base) if isinstance(base, str) else _c(base)
+    origin = F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)", 1)
+    scheme = F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1)
+    path = F.regexp_replace(F.substring(b, F.length(origin) + 1, 1 << 20), r"[?#].*$", "")
+    directory = F.concat(origin, F.regexp_replace(path, r"[^/]*$", ""))
     return (F.when(c.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*://"), c)
             .when(c.startswith("//"), F.concat(scheme, F.lit(":"), c))
             .when(c.startswith("/"), F.concat(origin, c))
-            .otherwise(F.concat(origin, F.lit("/"), c)))
+            .when(path == "", F.concat(origin, F.lit("/"), c))
+            .otherwise(F.concat(directory, c)))
 
 
 def first_match(c, patterns: Sequence[str] = EXPERIENCE_PATTERNS) -> Column:

@@ -1 +1,122 @@
-"""Queries (filled in below)."""
+"""Landed pages and text: cards, fields, ids, canonical URLs (L5-L8) and text
+functions over whole documents (L11-L14)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidepool.functions import html as H
+from tidepool.functions import text as X
+from tidepool.plans.registry import query
+from tidepool.sources.tables import read_table
+
+ENT_SQL = "{X}"
+for _e, _c in H.ENTITIES:
+    _c_sql = _c.replace("'", "''")
+    ENT_SQL = f"replace({ENT_SQL}, '{_e}', '{_c_sql}')"
+
+
+def d_clean(expr: str) -> str:
+    inner = ENT_SQL.replace("{X}", f"regexp_replace({expr}, '<[^>]+>', ' ', 'g')")
+    return f"nullif(trim(regexp_replace({inner}, '\\s+', ' ', 'g')), '')"
+
+
+def d_elem(tag: str) -> str:
+    return f"regexp_extract(html, '(?s)<{tag}(?:\\s[^>]*)?>(.*?)</{tag}>', 1)"
+
+
+LINK = H.LINK_PATTERN.replace("'", "''")
+RESOLVE_SQL = """CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*://') THEN href
+     WHEN starts_with(href, '//') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*):', 1) || ':' || href
+     WHEN starts_with(href, '/') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)', 1) || href
+     ELSE '?' END"""
+
+
+@query("l5_html_cards", f"""
+SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, hrefs[i] AS href,
+       {d_clean('labels[i]')} AS card_text,
+       {RESOLVE_SQL.replace('href', 'hrefs[i]')} AS abs_url
+FROM (SELECT page_id, url, regexp_extract_all(html, '{LINK}', 1) AS hrefs,
+             regexp_extract_all(html, '{LINK}', 2) AS labels,
+             generate_subscripts(regexp_extract_all(html, '{LINK}', 1), 1) AS i FROM pages)""")
+def l5_html_cards(spark, sf):
+    pages = read_table(spark, sf, "pages")
+    cards = H.extract_cards(pages, "html", ["page_id", "url"])
+    return cards.select("page_id", "pos", "href", "card_text",
+                        X.resolve_url("href", F.col("url")).alias("abs_url"))
+
+
+@query("l6_html_fields", f"""
+SELECT page_id, coalesce({d_clean(d_elem('h1'))}, {d_clean(d_elem('title'))}) AS title,
+       {d_clean(d_elem('title'))} AS head_title,
+       substring({d_clean(d_elem('article'))}, 1, 20000) AS description
+FROM pages""")
+def l6_html_fields(spark, sf):
+    p = read_table(spark, sf, "pages")
+    return p.select("page_id",
+                    H.first_text("html", [H.element_pattern("h1"), H.element_pattern("title")])
+                    .alias("title"),
+                    H.first_text("html", [H.element_pattern("title")]).alias("head_title"),
+                    H.first_text("html", [H.element_pattern("article")], limit=20000)
+                    .alias("description"))
+
+
+@query("l7_id_from_url", """
+SELECT page_id, coalesce(nullif(regexp_extract(url, '/(\\d+)', 1), ''), url) AS item_id FROM pages""")
+def l7_id_from_url(spark, sf):
+    p = read_table(spark, sf, "pages")
+    return p.select("page_id", X.id_from_url("url", r"/(\d+)").alias("item_id"))
+
+
+@query("l8_canonical_url", """
+SELECT page_id, CASE WHEN regexp_extract(url, '/en/(\\d+)', 1) <> ''
+                     THEN 'https://example.com/doc/' || regexp_extract(url, '/en/(\\d+)', 1)
+                     ELSE split_part(url, '?', 1) END AS canonical FROM pages""")
+def l8_canonical_url(spark, sf):
+    p = read_table(spark, sf, "pages")
+    return p.select("page_id", X.canonical_url("url", "https://example.com", r"/en/(\d+)",
+                                               "/doc/").alias("canonical"))
+
+
+# Fixed test parameters over the documents' invented prose (tried in this order).
+DOC_PATTERNS = ("the [a-z]+", "le [a-zé]+", "der [a-zäöü]+", "ción[a-z]*")
+DOC_MARKERS = ("worthless", "Nicht", "para", " le ")
+
+
+@query("l11_ordered_patterns", "SELECT doc_id, coalesce(" + ", ".join(
+    f"nullif(regexp_extract(text, '{p}', 0), '')" for p in DOC_PATTERNS)
+    + ") AS first_match FROM documents")
+def l11_ordered_patterns(spark, sf):
+    d = read_table(spark, sf, "documents")
+    return d.select("doc_id", X.first_match("text", DOC_PATTERNS).alias("first_match"))
+
+
+@query("l12_marker_join", "SELECT doc_id, nullif(concat_ws(', ', " + ", ".join(
+    f"CASE WHEN contains(text, '{m}') THEN '{m}' END" for m in DOC_MARKERS)
+    + "), '') AS markers FROM documents")
+def l12_marker_join(spark, sf):
+    d = read_table(spark, sf, "documents")
+    return d.select("doc_id", X.markers("text", DOC_MARKERS).alias("markers"))
+
+
+@query("l13_ordered_distinct", """
+WITH w AS (SELECT doc_id, unnest(string_split(text, ' ')) AS word,
+                  unnest(generate_series(1, len(string_split(text, ' ')))) AS i FROM documents),
+f AS (SELECT doc_id, word, min(i) AS first_i FROM w WHERE word <> '' GROUP BY doc_id, word)
+SELECT d.doc_id, coalesce(string_agg(f.word, '|' ORDER BY f.first_i), '') AS words,
+       CAST(count(f.word) AS INTEGER) AS n_distinct
+FROM documents d LEFT JOIN f ON f.doc_id = d.doc_id GROUP BY d.doc_id""")
+def l13_ordered_distinct(spark, sf):
+    d = read_table(spark, sf, "documents")
+    arr = X.ordered_distinct(F.split("text", " "))
+    return d.select("doc_id", F.array_join(arr, "|").alias("words"),
+                    F.size(arr).alias("n_distinct"))
+
+
+@query("l14_truncate", """
+SELECT doc_id, substring(text, 1, 500) AS head, CAST(length(substring(text, 1, 500)) AS INTEGER) AS n
+FROM documents""")
+def l14_truncate(spark, sf):
+    d = read_table(spark, sf, "documents")
+    return d.select("doc_id", X.truncate("text", 500).alias("head"),
+                    F.char_length(X.truncate("text", 500)).alias("n"))
