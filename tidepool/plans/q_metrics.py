@@ -1 +1,242 @@
-"""Queries (filled in below)."""
+"""Alert-rule evaluation over series derived from ``events``.
+
+Series: hourly event counts per event type (label ``type``), and per-user counters
+(running amount that resets every day)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidepool.functions import text as X
+from tidepool.functions.format import ts_text, ts_text_us
+from tidepool.operators import metrics as M
+from tidepool.plans.registry import query
+from tidepool.sources.tables import read_table
+
+
+def ev(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, sf, "events")
+
+
+def hourly(spark: SparkSession, sf: str) -> DataFrame:
+    """(event_type, hour, n): one sample per type and hour with events."""
+    e = ev(spark, sf)
+    return e.groupBy("event_type", F.date_trunc("hour", "ts").alias("hour")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+HOURLY_SQL = """h AS (SELECT event_type, date_trunc('hour', ts) AS hour, count(*) AS n
+                    FROM events GROUP BY ALL)"""
+RANGE_S = 21600
+
+
+def counters(spark: SparkSession, sf: str) -> DataFrame:
+    e = ev(spark, sf).select("user_id", "event_id", "ts",
+                             F.col("value").cast("decimal(18,2)").alias("amount"),
+                             F.to_date("ts").alias("day"))
+    return M.running_total(e, ["user_id", "day"], "ts", "amount", ["ts", "event_id"],
+                           bucket_s=3600, out="counter")
+
+
+@query("m1_counter_rate", f"""
+WITH c AS (SELECT user_id, event_id, ts, epoch_us(ts) AS t,
+                  sum(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY user_id, CAST(ts AS DATE)
+                      ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS counter FROM events),
+i AS (SELECT *, CASE WHEN lag(counter) OVER w IS NULL THEN NULL
+                     WHEN counter < lag(counter) OVER w THEN counter
+                     ELSE counter - lag(counter) OVER w END AS inc
+      FROM c WINDOW w AS (PARTITION BY user_id ORDER BY t, event_id)),
+r AS (SELECT *, CASE WHEN count(*) OVER f >= 2
+                     THEN sum(inc) OVER f - coalesce(first_value(inc) OVER f, 0) END AS increase FROM i
+      WINDOW f AS (PARTITION BY user_id ORDER BY t RANGE BETWEEN {RANGE_S * 1000000 - 1} PRECEDING
+                   AND CURRENT ROW))
+SELECT user_id, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
+       CAST(counter AS DOUBLE) AS counter, CAST(increase AS DOUBLE) AS increase,
+       CAST(increase AS DOUBLE) / {float(RANGE_S)} AS rate FROM r""")
+def m1_counter_rate(spark, sf):
+    r = M.counter_rate(counters(spark, sf), ["user_id"], "ts", "counter", RANGE_S,
+                       order=["event_id"])
+    return r.select("user_id", "event_id", ts_text_us("ts").alias("ts"),
+                    F.col("counter").cast("double").alias("counter"),
+                    F.col("increase").cast("double").alias("increase"), "rate")
+
+
+HOLD_S, CADENCE_S = 3 * 3600, 3600
+
+
+@query("m2_for_duration", f"""
+WITH {HOURLY_SQL},
+s AS (SELECT *, n >= 3 AS cond, epoch_us(hour) AS t FROM h),
+f AS (SELECT *, cond AND (lag(cond) OVER w IS NULL OR NOT lag(cond) OVER w
+                          OR t - lag(t) OVER w > {CADENCE_S * 1000000}) AS st
+      FROM s WINDOW w AS (PARTITION BY event_type ORDER BY t)),
+g AS (SELECT *, CASE WHEN cond THEN max(CASE WHEN st THEN t END) OVER (PARTITION BY event_type
+                ORDER BY t ROWS UNBOUNDED PRECEDING) END AS is_us FROM f)
+SELECT event_type, strftime(hour, '%Y-%m-%d %H:%M:%S') AS hour, n, cond,
+       strftime(make_timestamp(is_us), '%Y-%m-%d %H:%M:%S') AS island_start,
+       coalesce(cond, false) AND t - is_us >= {HOLD_S * 1000000} AS firing FROM g""")
+def m2_for_duration(spark, sf):
+    h = hourly(spark, sf).withColumn("cond", F.col("n") >= 3)
+    s = M.sustained(h, ["event_type"], "hour", "cond", HOLD_S, CADENCE_S, bucket_s=86400)
+    return s.select("event_type", ts_text("hour").alias("hour"), "n", "cond",
+                    ts_text("island_start").alias("island_start"), "firing")
+
+
+@query("m3_instant_latest", """
+SELECT user_id, value, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events WHERE value IS NOT NULL) WHERE rn = 1""")
+def m3_instant_latest(spark, sf):
+    lv = M.latest_value(ev(spark, sf), ["user_id"], "ts", "value", ["event_id"])
+    return lv.select("user_id", "value", ts_text_us("ts").alias("ts"))
+
+
+@query("m4_agg_by_label", f"""
+WITH {HOURLY_SQL}
+SELECT event_type, avg(n) AS avg_per_hour, CAST(sum(n) AS BIGINT) AS total,
+       count_if(n >= 5) AS hot_hours FROM h GROUP BY event_type""")
+def m4_agg_by_label(spark, sf):
+    return M.agg_by(hourly(spark, sf), ["event_type"],
+                    {"avg_per_hour": F.avg("n"), "total": F.sum("n"),
+                     "hot_hours": F.count_if(F.col("n") >= 5)})
+
+
+PER_HOUR_SQL = """t AS (SELECT date_trunc('hour', ts) AS hour, count(*) AS total,
+                         count_if(event_type = 'error') AS errors,
+                         count(DISTINCT event_type) AS kinds FROM events GROUP BY 1)"""
+
+
+def per_hour(spark, sf):
+    e = ev(spark, sf)
+    return e.groupBy(F.date_trunc("hour", "ts").alias("hour")).agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col("event_type") == "error").alias("errors"),
+        F.count_distinct("event_type").alias("kinds"))
+
+
+@query("m5_ratio_alert", f"""
+WITH {HOURLY_SQL}, e AS (SELECT hour, n AS errors FROM h WHERE event_type = 'error'),
+{PER_HOUR_SQL.replace('count_if(event_type = ''error'') AS errors,', '')}
+SELECT strftime(t.hour, '%Y-%m-%d %H:%M:%S') AS hour, e.errors, t.total,
+       (1.0 - e.errors / t.total) * 100.0 AS ok_pct,
+       (1.0 - e.errors / t.total) * 100.0 > 80.0 AS firing
+FROM e JOIN t ON e.hour = t.hour""")
+def m5_ratio_alert(spark, sf):
+    errors = hourly(spark, sf).filter(F.col("event_type") == "error").select(
+        "hour", F.col("n").alias("errors"))
+    totals = per_hour(spark, sf).select("hour", "total")
+    j = M.match(errors, totals, ["hour"])
+    return j.select(ts_text("hour").alias("hour"), "errors", "total",
+                    M.ratio_pct("errors", "total").alias("ok_pct"),
+                    (M.ratio_pct("errors", "total") > 80.0).alias("firing"))
+
+
+@query("j5_series_match", f"""
+WITH {HOURLY_SQL}
+SELECT strftime(a.hour, '%Y-%m-%d %H:%M:%S') AS hour, a.n AS clicks, b.n AS views, a.n - b.n AS diff
+FROM h a JOIN h b ON a.hour = b.hour WHERE a.event_type = 'click' AND b.event_type = 'view'""")
+def j5_series_match(spark, sf):
+    h = hourly(spark, sf)
+    a = h.filter(F.col("event_type") == "click").select("hour", F.col("n").alias("clicks"))
+    b = h.filter(F.col("event_type") == "view").select("hour", F.col("n").alias("views"))
+    return M.match(a, b, ["hour"]).select(ts_text("hour").alias("hour"), "clicks", "views",
+                                          (F.col("clicks") - F.col("views")).alias("diff"))
+
+
+@query("m6_scaled_threshold", f"""
+WITH {HOURLY_SQL}, a AS (SELECT hour, sum(n) AS total FROM h GROUP BY hour),
+b AS (SELECT date_trunc('hour', ts) AS hour, count(DISTINCT event_type) * 3 AS capacity
+      FROM events GROUP BY 1)
+SELECT strftime(a.hour, '%Y-%m-%d %H:%M:%S') AS hour, CAST(a.total AS BIGINT) AS total,
+       b.capacity, a.total > b.capacity * 0.8 AS firing FROM a JOIN b ON a.hour = b.hour""")
+def m6_scaled_threshold(spark, sf):
+    """``sum by (hour)(per-type counts) > capacity * 0.8``, capacity = 3 per active type."""
+    a = hourly(spark, sf).groupBy("hour").agg(F.sum("n").alias("total"))
+    b = per_hour(spark, sf).select("hour", (F.col("kinds") * 3).alias("capacity"))
+    j = M.match(a, b, ["hour"])
+    return j.select(ts_text("hour").alias("hour"), "total", "capacity",
+                    (F.col("total") > F.col("capacity") * 0.8).alias("firing"))
+
+
+def labelled(spark, sf):
+    e = ev(spark, sf)
+    k = F.get_json_object("props", "$.k")
+    labels = F.create_map(F.lit("type"), F.col("event_type"), F.lit("k"), k)
+    return e.select("event_id", labels.alias("labels"))
+
+
+@query("m7_label_match", """
+SELECT event_id, json_object('k', json_extract_string(props, '$.k'), 'type', event_type)::VARCHAR
+       AS series_id
+FROM events WHERE regexp_full_match(event_type, 'click|view')
+  AND NOT regexp_full_match(coalesce(json_extract_string(props, '$.k'), ''), '1.*')
+  AND coalesce(NULL, '') = ''""")
+def m7_label_match(spark, sf):
+    sel = M.select_series(labelled(spark, sf), "labels",
+                          [("type", "=~", "click|view"), ("k", "!~", "1.*"), ("zone", "=", "")])
+    return sel.select("event_id", M.series_id("labels").alias("series_id"))
+
+
+STEPS = ((3, "yellow"), (5, "red"))
+
+
+@query("m8_threshold_bands", f"""
+WITH {HOURLY_SQL}
+SELECT event_type, strftime(hour, '%Y-%m-%d %H:%M:%S') AS hour, n,
+       CASE WHEN n >= 5 THEN 'red' WHEN n >= 3 THEN 'yellow' ELSE 'green' END AS band FROM h""")
+def m8_threshold_bands(spark, sf):
+    h = hourly(spark, sf)
+    return h.select("event_type", ts_text("hour").alias("hour"), "n",
+                    X.band("n", STEPS).alias("band"))
+
+
+def alerts(spark, sf) -> DataFrame:
+    """Alert instances: a warning for every firing M2 sample (3 h of >= 3 events per
+    hour), a critical for every hour with >= 6 events."""
+    h = hourly(spark, sf).withColumn("cond", F.col("n") >= 3)
+    warn = (M.sustained(h, ["event_type"], "hour", "cond", HOLD_S, CADENCE_S)
+            .filter("firing").select(F.col("event_type").alias("instance"),
+                                     F.col("hour").alias("ts"),
+                                     F.lit("warning").alias("severity")))
+    crit = hourly(spark, sf).filter(F.col("n") >= 6).select(
+        F.col("event_type").alias("instance"), F.col("hour").alias("ts"),
+        F.lit("critical").alias("severity"))
+    return warn.unionByName(crit).withColumn("alertname", F.lit("HighEventRate"))
+
+
+ALERTS_SQL = f"""{HOURLY_SQL},
+s AS (SELECT *, n >= 3 AS cond, epoch_us(hour) AS t FROM h),
+f AS (SELECT *, cond AND (lag(cond) OVER w IS NULL OR NOT lag(cond) OVER w
+                          OR t - lag(t) OVER w > {CADENCE_S * 1000000}) AS st
+      FROM s WINDOW w AS (PARTITION BY event_type ORDER BY t)),
+g AS (SELECT *, CASE WHEN cond THEN max(CASE WHEN st THEN t END) OVER (PARTITION BY event_type
+                ORDER BY t ROWS UNBOUNDED PRECEDING) END AS is_us FROM f),
+al AS (SELECT 'HighEventRate' AS alertname, event_type AS instance, hour AS ts,
+              'warning' AS severity FROM g WHERE coalesce(cond, false) AND t - is_us >= {HOLD_S * 1000000}
+       UNION ALL
+       SELECT 'HighEventRate', event_type, hour, 'critical' FROM h WHERE n >= 6)"""
+
+
+@query("m9_alert_inhibit", f"""
+WITH {ALERTS_SQL}
+SELECT alertname, instance, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, severity FROM al a
+WHERE severity <> 'warning' OR NOT EXISTS (
+  SELECT 1 FROM al c WHERE c.severity = 'critical' AND c.alertname = a.alertname
+    AND c.instance = a.instance AND c.ts = a.ts)""")
+def m9_alert_inhibit(spark, sf):
+    out = M.inhibit(alerts(spark, sf))
+    return out.select("alertname", "instance", ts_text("ts").alias("ts"), "severity")
+
+
+@query("m10_alert_group", f"""
+WITH {ALERTS_SQL}
+SELECT alertname, severity, count(*) AS n_alerts,
+       strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_ts,
+       strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_ts,
+       count(DISTINCT floor((epoch_us(ts) - 30000000) / 300000000)) AS n_notifications
+FROM al GROUP BY alertname, severity""")
+def m10_alert_group(spark, sf):
+    g = M.group_alerts(alerts(spark, sf))
+    return g.select("alertname", "severity", "n_alerts", ts_text("first_ts").alias("first_ts"),
+                    ts_text("last_ts").alias("last_ts"), "n_notifications")
