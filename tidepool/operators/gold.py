@@ -12,14 +12,14 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
                    cols: Sequence[str]) -> DataFrame:
     """The values of the newest row per key.
 
-    One ``max_by`` over a struct of all wanted columns (not one arg-max per column),
-    ordered by a struct such as (ingested_at, snapshot_id), so ties cannot mix values
-    from different rows. Partial aggregation keeps one candidate per key per task.
+    One max over a struct led by the order columns, e.g. (ingested_at, snapshot_id),
+    and carrying all wanted columns (not one arg-max per column), so ties cannot mix
+    values from different rows. Partial aggregation keeps one candidate per key per task.
     Unlike an arg-max that skips NULL values, a NULL field of the winning row stays NULL.
     """
+    from tidepool.operators.silver import arg_extreme
     keys = [key] if isinstance(key, str) else list(key)
-    best = F.max_by(F.struct(*[F.col(c) for c in cols]),
-                    F.struct(*[F.col(c) for c in order])).alias("_latest")
+    best = arg_extreme(order, cols).alias("_latest")
     return (df.groupBy(*keys).agg(best)
             .select(*keys, *[F.col("_latest")[c].alias(c) for c in cols]))
 

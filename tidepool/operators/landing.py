@@ -88,12 +88,12 @@ def source_fallback(api: DataFrame, html: DataFrame, slice_cols: Sequence[str],
 def first_seen(df: DataFrame, slice_cols: Sequence[str], key: str,
                order: Sequence[str]) -> DataFrame:
     """Within a slice keep the first occurrence of each key under ``order``
-    (page, then position). ``min_by`` on a struct is a partial aggregate, so repeats
+    (page, then position). ``min`` of a struct led by the order is a partial aggregate, so repeats
     of a key are combined per task before the shuffle."""
+    from tidepool.operators.silver import arg_extreme
     s = _cols(slice_cols)
     others = [c for c in df.columns if c not in (*s, key)]
-    first = F.min_by(F.struct(*[F.col(c) for c in others]),
-                     F.struct(*[F.col(c) for c in order])).alias("_f")
+    first = arg_extreme(order, others, largest=False).alias("_f")
     return df.groupBy(*s, key).agg(first).select(*s, key, *[F.col("_f")[c].alias(c)
                                                             for c in others])
 

@@ -21,6 +21,8 @@ SILVER_COLS = ("search_text", "search_area", "page_num", "l_quantity", "ingested
                "l_extendedprice", "l_orderkey", "l_partkey")
 SETS = {"matched_roles": "search_text", "matched_areas": "search_area"}
 # Fixed pivots of the gold rollup: every return flag and every line status.
+# Fixed slice domain: return flags x line statuses (the slice grid's values).
+DOMAINS = {"search_text": ("A", "N", "R"), "search_area": ("F", "O")}
 PIVOTS = (("role_a_count", "matched_roles", "A"), ("role_n_count", "matched_roles", "N"),
           ("role_r_count", "matched_roles", "R"), ("area_f_count", "matched_areas", "F"),
           ("area_o_count", "matched_areas", "O"))
@@ -38,7 +40,7 @@ def complete_rows(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataF
 def silver_df(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataFrame:
     """F1 -> F2 -> W2: one row per (snapshot, supplier) of complete snapshots."""
     return silver.best_row_fused(complete_rows(spark, sf_dir, grain), KEYS, LINEITEM_ORDER,
-                                 SILVER_COLS, SETS)
+                                 SILVER_COLS, SETS, domains=DOMAINS)
 
 
 def latest_df(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataFrame:

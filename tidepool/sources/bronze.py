@@ -100,15 +100,14 @@ def staging_view(df: DataFrame, name: str) -> str:
 
 
 def insert_ignore(target: DataFrame, new: DataFrame, key: Sequence[str],
-                  order: Sequence[Column | str]) -> DataFrame:
+                  order: Sequence[str]) -> DataFrame:
     """``INSERT ... ON CONFLICT DO NOTHING``: keep one row per key of ``new`` (the
     first under ``order``), drop keys already in ``target``, append the rest."""
-    ordered = [F.col(c) if isinstance(c, str) else c for c in order]
-    # min_by over a struct order: partial per task, so a repeated key is combined
-    # before the shuffle.
+    from tidepool.operators.silver import arg_extreme
+    # min of a struct led by the order: partial per task, so a repeated key is
+    # combined before the shuffle.
     first = (new.groupBy(*key)
-             .agg(F.min_by(F.struct(*[F.col(c) for c in new.columns]),
-                           F.struct(*ordered)).alias("_r"))
-             .select("_r.*"))
+             .agg(arg_extreme(list(order), new.columns, largest=False).alias("_r"))
+             .select(*[F.col("_r")[c].alias(c) for c in new.columns]))
     fresh = first.join(target.select(*key), list(key), "left_anti")
     return target.unionByName(fresh.select(*target.columns))

@@ -15,10 +15,23 @@ LINEITEM_ORDER = ("page_num", "l_quantity", "ingested_at", "l_extendedprice",
                   "l_orderkey", "l_partkey")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """Input parallelism floor: a scan that yields fewer splits than the session's
+    default parallelism (one small file with one row group) is spread round-robin, so
+    parsing and partial aggregation use every core. Large inputs already have more
+    splits than cores and are returned unchanged (no extra shuffle)."""
+    spark = df.sparkSession
+    floor = int(spark.conf.get("tidepool.minInputPartitions",
+                               str(spark.sparkContext.defaultParallelism)))
+    n = df.rdd.getNumPartitions()
+    return df.repartition(floor) if n < floor else df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:
     """One input table. Parquet carries its schema, so nothing is inferred; selecting
     columns afterwards prunes the scan (ReadSchema) and filters are pushed down."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_small else df
 
 
 def snapshot_of(ts_col: str, grain: str = "day"):
