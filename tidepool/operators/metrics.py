@@ -33,12 +33,11 @@ def epoch_us(ts) -> Column:
 
 
 def _with_halo(df: DataFrame, t: str, bucket_us: int, halo_us: int) -> DataFrame:
-    """Own bucket ``_own``; ``_part`` = own bucket, plus a copy into the next bucket
-    for rows inside that bucket's look-back halo."""
+    """Own bucket ``_own``; ``_part`` = own bucket plus a copy into every later bucket
+    whose look-back halo reaches back to the row (``t >= start(j) - halo``)."""
     own = F.floor(F.col(t) / F.lit(bucket_us))
-    nxt = (own + 1) * F.lit(bucket_us)
-    parts = F.when(F.col(t) >= nxt - F.lit(halo_us), F.array(own, own + 1)).otherwise(F.array(own))
-    return df.withColumn("_own", own).withColumn("_part", F.explode(parts))
+    last = F.floor((F.col(t) + F.lit(halo_us)) / F.lit(bucket_us))
+    return df.withColumn("_own", own).withColumn("_part", F.explode(F.sequence(own, last)))
 
 
 def running_total(df: DataFrame, keys: Sequence[str], ts: str, value: str,
