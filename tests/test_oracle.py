@@ -41,6 +41,7 @@ def test_approx_distinct_close_to_exact(spark):
              .agg(F.count_distinct("l_partkey").alias("n")).collect()}
     assert approx.keys() == exact.keys()
     errors = [abs(approx[k] - exact[k]) / exact[k] for k in exact]
-    # rsd 0.05 is a standard error: the mean stays within it, no group beyond 3 sigma
+    # rsd 0.05 is a standard error, not a bound: over thousands of groups the mean
+    # stays within it and at most 5 % of the groups fall beyond 2 sigma
     assert sum(errors) / len(errors) <= 0.05
-    assert max(errors) <= 0.15
+    assert sum(e > 0.10 for e in errors) <= 0.05 * len(errors)
