@@ -78,3 +78,21 @@ def test_windowed_counts(spark):
     q.awaitTermination()
     total = spark.table("wc_out").agg(F.sum("n")).first()[0]
     assert total == ev.count()
+
+
+def test_run_transform(spark):
+    from tidepool.plans import transform as TR
+    root = tempfile.mkdtemp(prefix="tp-tr-")
+    grid = [(r, a) for r in TR.ROLES for a in TR.AREAS]
+    B.append_bronze(landed(spark, "s1", grid, 1).drop("source"), f"{root}/bronze", source="hh.ru")
+    B.append_bronze(landed(spark, "s2", grid[:4], 2).drop("source"), f"{root}/bronze", source="hh.ru")
+    res = TR.run_transform(spark, f"{root}/bronze", f"{root}/silver", f"{root}/gold")
+    assert res.bronze.snapshot_id == "s1" and res.bronze.combos == 6
+    assert res.silver_rows == 2 and res.silver_stats["detail_ok"] == 2
+    assert res.silver_stats["detail_ok_pct"] == "100.0%"
+    gold = {r["skill"]: r for r in spark.read.parquet(f"{root}/gold").collect()}
+    assert gold["k8s"]["vacancies_count"] == 2 and gold["k8s"]["msk_count"] == 2
+    import pytest
+    from tidepool.operators.quality import GateError
+    with pytest.raises(GateError, match="partial"):
+        TR.run_transform(spark, f"{root}/bronze", f"{root}/silver2", f"{root}/gold2", "s2")
