@@ -32,4 +32,4 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every query module so its registrations run."""
     from tidepool.plans import (q_lineitem, q_documents, q_orders, q_pages,  # noqa: F401
-                                q_events, q_metrics, q_conversations)
+                                q_events, q_metrics, q_conversations, q_roadmap)
