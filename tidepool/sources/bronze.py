@@ -48,16 +48,24 @@ def with_defaults(df: DataFrame, source: str, ts: Column | None = None) -> DataF
     return df.withColumn(PARTITION_COL, month_key("ingested_at"))
 
 
+MAX_RECORDS_PER_FILE = 5_000_000
+
+
 def append_bronze(df: DataFrame, path: str, source: str = "hh.ru",
                   ts: Column | None = None, sort: Sequence[str] = ("snapshot_id",)) -> None:
     """Append rows under monthly partitions, sorted by snapshot inside each file
-    so snapshot filters skip row groups. The commit protocol makes a failed or
-    retried task leave no partial files; a re-run of the whole batch is guarded by
-    :func:`anti_append`."""
+    so snapshot filters skip row groups. Rows are range-partitioned on (month, sort
+    keys): each task holds a contiguous key range, so few files are written, and a
+    month holding most of the batch is still split over many tasks (a hash shuffle by
+    month would put it in one). Files are capped in size. The commit protocol makes a
+    failed or retried task leave no partial files; a re-run of the whole batch is
+    guarded by :func:`anti_append`."""
     out = with_defaults(df, source, ts)
     cols = [c for c in BRONZE_COLUMNS if c in out.columns] + [PARTITION_COL]
-    (out.select(*cols).repartition(PARTITION_COL).sortWithinPartitions(*sort)
-     .write.mode("append").partitionBy(PARTITION_COL).parquet(path))
+    keys = [PARTITION_COL, *sort]
+    (out.select(*cols).repartitionByRange(*keys).sortWithinPartitions(*keys)
+     .write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+     .partitionBy(PARTITION_COL).parquet(path))
 
 
 def anti_append(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -77,15 +85,15 @@ def layer_name(layer: str | None, default_schema: str) -> str:
 
 def write_layer(df: DataFrame, path: str, partition: Sequence[str] = (),
                 sort: Sequence[str] = (), dynamic: bool = False) -> None:
-    """Full rebuild of a layer table. Rows are clustered by the partition
-    columns and sorted inside files by ``sort`` (min/max row-group skipping). With
+    """Full rebuild of a layer table. Rows are range-partitioned on
+    (partition columns, sort columns): a large month is split over many tasks, and the
+    files come out globally ordered, so min/max row-group statistics skip well. With
     ``dynamic`` only the partitions present in ``df`` are replaced."""
     w = df
-    if partition:
-        w = w.repartition(*partition)
-    if sort:
-        w = w.sortWithinPartitions(*sort)
-    writer = w.write.mode("overwrite")
+    keys = [*partition, *sort]
+    if keys:
+        w = w.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    writer = w.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition:
