@@ -30,7 +30,7 @@ def api_pages(spark: SparkSession, sf: str) -> DataFrame:
 WITH p AS (SELECT c.conv_id, c.turn, c.role,
                   CASE WHEN role = 'system' THEN 0 ELSE len(string_split(text, ' ')) END AS n_items,
                   d.declared
-           FROM conversations c JOIN (SELECT conv_id, count_if(role = 'user') AS declared
+           FROM conversations c JOIN (SELECT conv_id, count(*) FILTER (WHERE role = 'user') AS declared
                                       FROM conversations GROUP BY conv_id) d USING (conv_id)),
 s AS (SELECT conv_id, min(CASE WHEN n_items = 0 THEN turn END) AS fe FROM p GROUP BY conv_id)
 SELECT p.conv_id, p.turn, p.role, CAST(p.n_items AS INTEGER) AS n_items FROM p JOIN s USING (conv_id)

@@ -191,8 +191,8 @@ def t12_quality_score(spark, sf):
 
 SILVER_COUNTS_SQL = """
 count(*) AS silver_rows, count(DISTINCT doc_id) AS unique_keys,
-count_if(detail_status = 'ok') AS detail_ok, count_if(detail_status = 'captcha') AS detail_captcha,
-count_if(description_length > 0) AS has_description, count_if(skills_count > 0) AS has_skills,
+count(*) FILTER (WHERE detail_status = 'ok') AS detail_ok, count(*) FILTER (WHERE detail_status = 'captcha') AS detail_captcha,
+count(*) FILTER (WHERE description_length > 0) AS has_description, count(*) FILTER (WHERE skills_count > 0) AS has_skills,
 CAST(round_even(avg(description_length), 0) AS DOUBLE) AS avg_desc_len"""
 
 

@@ -105,11 +105,11 @@ LATEST = """latest AS (SELECT s.vacancy_id, s.snapshot_id, s.l_partkey, s.matche
 EXPLODED = """exploded AS (SELECT * FROM (SELECT vacancy_id, matched_roles, matched_areas,
           unnest(skills) AS skill FROM latest) WHERE skill <> '')"""
 GOLD = """gold AS (SELECT skill, count(*) AS vacancies_count,
-          count_if(list_contains(matched_roles, 'A')) AS role_a_count,
-          count_if(list_contains(matched_roles, 'N')) AS role_n_count,
-          count_if(list_contains(matched_roles, 'R')) AS role_r_count,
-          count_if(list_contains(matched_areas, 'F')) AS area_f_count,
-          count_if(list_contains(matched_areas, 'O')) AS area_o_count
+          count(*) FILTER (WHERE list_contains(matched_roles, 'A')) AS role_a_count,
+          count(*) FILTER (WHERE list_contains(matched_roles, 'N')) AS role_n_count,
+          count(*) FILTER (WHERE list_contains(matched_roles, 'R')) AS role_r_count,
+          count(*) FILTER (WHERE list_contains(matched_areas, 'F')) AS area_f_count,
+          count(*) FILTER (WHERE list_contains(matched_areas, 'O')) AS area_o_count
           FROM exploded GROUP BY skill)"""
 
 
@@ -297,9 +297,9 @@ def a5_array_unnest(spark, sf):
 
 @query("a6_conditional_count", w(*CHAIN) + """
 SELECT snapshot_id,
-       count_if(list_contains(matched_roles, 'A')) AS role_a_count,
-       count_if(list_contains(matched_areas, 'O')) AS area_o_count,
-       count_if(matched_rows > 1) AS repeated_count
+       count(*) FILTER (WHERE list_contains(matched_roles, 'A')) AS role_a_count,
+       count(*) FILTER (WHERE list_contains(matched_areas, 'O')) AS area_o_count,
+       count(*) FILTER (WHERE matched_rows > 1) AS repeated_count
 FROM silver GROUP BY snapshot_id""")
 def a6_conditional_count(spark, sf):
     return silver_df(spark, sf).groupBy("snapshot_id").agg(
@@ -342,8 +342,8 @@ def d6_bronze_gate(spark, sf):
 
 @query("d7_silver_gate", w(*CHAIN, LATEST_COMPLETE) + """
 SELECT count(*) AS silver_rows, count(DISTINCT (snapshot_id, vacancy_id)) AS unique_keys,
-       count_if(search_text = 'A') AS flag_a, count_if(search_area = 'O') AS status_o,
-       count_if(matched_rows > 1) AS repeated, count_if(len(matched_roles) > 1) AS multi_role,
+       count(*) FILTER (WHERE search_text = 'A') AS flag_a, count(*) FILTER (WHERE search_area = 'O') AS status_o,
+       count(*) FILTER (WHERE matched_rows > 1) AS repeated, count(*) FILTER (WHERE len(matched_roles) > 1) AS multi_role,
        CAST(round_even(avg(page_num), 0) AS DOUBLE) AS avg_page
 FROM silver WHERE snapshot_id = (SELECT snapshot_id FROM lc)""")
 def d7_silver_gate(spark, sf):

@@ -95,7 +95,7 @@ def m3_instant_latest(spark, sf):
 @query("m4_agg_by_label", f"""
 WITH {HOURLY_SQL}
 SELECT event_type, avg(n) AS avg_per_hour, CAST(sum(n) AS BIGINT) AS total,
-       count_if(n >= 5) AS hot_hours FROM h GROUP BY event_type""")
+       count(*) FILTER (WHERE n >= 5) AS hot_hours FROM h GROUP BY event_type""")
 def m4_agg_by_label(spark, sf):
     return M.agg_by(hourly(spark, sf), ["event_type"],
                     {"avg_per_hour": F.avg("n"), "total": F.sum("n"),
@@ -103,7 +103,7 @@ def m4_agg_by_label(spark, sf):
 
 
 PER_HOUR_SQL = """t AS (SELECT date_trunc('hour', ts) AS hour, count(*) AS total,
-                         count_if(event_type = 'error') AS errors,
+                         count(*) FILTER (WHERE event_type = 'error') AS errors,
                          count(DISTINCT event_type) AS kinds FROM events GROUP BY 1)"""
 
 
@@ -117,7 +117,7 @@ def per_hour(spark, sf):
 
 @query("m5_ratio_alert", f"""
 WITH {HOURLY_SQL}, e AS (SELECT hour, n AS errors FROM h WHERE event_type = 'error'),
-{PER_HOUR_SQL.replace('count_if(event_type = ''error'') AS errors,', '')}
+{PER_HOUR_SQL}
 SELECT strftime(t.hour, '%Y-%m-%d %H:%M:%S') AS hour, e.errors, t.total,
        (1.0 - e.errors / t.total) * 100.0 AS ok_pct,
        (1.0 - e.errors / t.total) * 100.0 > 80.0 AS firing

@@ -137,9 +137,9 @@ def s7_insert_ignore(spark, sf):
 
 
 @query("d1_not_null", """
-SELECT count_if(l.quality IS NULL) AS not_null__quality, count_if(l.toxic IS NULL) AS not_null__toxic,
-       count_if(d.text IS NULL) AS not_null__text,
-       count_if(d.lang NOT IN ('en', 'fr', 'de', 'es')) AS accepted__lang
+SELECT count(*) FILTER (WHERE l.quality IS NULL) AS not_null__quality, count(*) FILTER (WHERE l.toxic IS NULL) AS not_null__toxic,
+       count(*) FILTER (WHERE d.text IS NULL) AS not_null__text,
+       count(*) FILTER (WHERE d.lang NOT IN ('en', 'fr', 'de', 'es')) AS accepted__lang
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
 def d1_not_null(spark, sf):
     d = read_table(spark, sf, "documents").select("doc_id", "text", "lang")
