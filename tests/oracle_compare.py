@@ -10,6 +10,8 @@ import pandas as pd
 
 from tidepool.sources.tables import TABLES
 
+ROUND = False   # exact float equality, as a value hash sees it
+
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -24,7 +26,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return round(v, 6) if ROUND else v
     if hasattr(v, "item"):
         return _norm(v.item())
     try:
