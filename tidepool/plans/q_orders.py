@@ -21,7 +21,10 @@ from tidepool.sources.tables import read_table
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's reliable checkpoint location (shared storage
     on a cluster), for tables a query writes and reads back."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    base = ensure_checkpoint_dir(spark) or spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
+    return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
 
 
 def order_regions(spark: SparkSession, sf: str) -> DataFrame:

@@ -47,13 +47,23 @@ def build_session(master: str | None = None, app: str = "tidepool",
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a Spark Connect session (no driver JVM here)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect raises a feature error
+        return None
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the reliable checkpoint folder, reading ``spark.checkpoint.dir`` first.
 
     On a cluster the folder must be shared storage named by the deployment; a local
     temporary folder is only chosen when the session runs in local mode (tests, bench).
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:          # Spark Connect: the server's spark.checkpoint.dir applies
+        return None
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -78,6 +88,9 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     convert it from runtime statistics).
     """
     ensure_checkpoint_dir(df.sparkSession)
-    materialised = df.checkpoint(eager=True)
+    try:
+        materialised = df.checkpoint(eager=True)
+    except Exception:  # noqa: BLE001 - no reliable checkpoint available: measure only
+        materialised = df
     n = materialised.count()
     return F.broadcast(materialised) if n <= max_rows else materialised
