@@ -51,18 +51,22 @@ def flatten_items(responses: DataFrame, payload: str, keep: Sequence[str],
 
 def page_cutoff(pages: DataFrame, slice_cols: Sequence[str], page: str, n_items: str,
                 declared_pages: str, max_pages: int = API_MAX_PAGES) -> DataFrame:
-    """L3: keep pages up to the first empty page (exclusive), the last declared page
-    (inclusive) and the page cap. Declared 0 or missing keeps page 0 only.
+    """L3: keep pages up to the first empty page (exclusive; a page that never landed
+    counts as empty), the last declared page (inclusive) and the page cap. Declared 0
+    or missing keeps page 0 only. Input: one row per (slice, page).
 
-    The per-slice stop page is an aggregate (combined map-side) joined back on the
-    slice, so a slice with many pages is not one window partition."""
+    Pages are capped first, so the stop search runs over at most ``max_pages`` rows
+    per slice; the per-slice stop is then joined back on the slice."""
     s = _cols(slice_cols)
-    stop = pages.groupBy(*s).agg(F.min(F.when(F.col(n_items) == 0, F.col(page)))
-                                 .alias("_first_empty"))
+    capped = pages.filter(F.col(page) < max_pages)
+    w = Window.partitionBy(*s).orderBy(page)
+    expected = F.row_number().over(w) - 1
+    stops = capped.select(*s, F.when(F.col(n_items) == 0, F.col(page))
+                          .when(F.col(page) != expected, expected).alias("_stop"))
+    stop = stops.groupBy(*s).agg(F.min("_stop").alias("_first_empty"))
     last_declared = F.greatest(F.coalesce(F.col(declared_pages), F.lit(0)) - 1, F.lit(0))
-    return (pages.join(stop, s, "left")
-            .filter((F.col(page) < max_pages)
-                    & (F.col("_first_empty").isNull() | (F.col(page) < F.col("_first_empty")))
+    return (capped.join(stop, s, "left")
+            .filter((F.col("_first_empty").isNull() | (F.col(page) < F.col("_first_empty")))
                     & (F.col(page) <= last_declared))
             .drop("_first_empty"))
 

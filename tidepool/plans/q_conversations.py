@@ -32,10 +32,12 @@ WITH p AS (SELECT c.conv_id, c.turn, c.role,
                   d.declared
            FROM conversations c JOIN (SELECT conv_id, count(*) FILTER (WHERE role = 'user') AS declared
                                       FROM conversations GROUP BY conv_id) d USING (conv_id)),
-s AS (SELECT conv_id, min(CASE WHEN n_items = 0 THEN turn END) AS fe FROM p GROUP BY conv_id)
-SELECT p.conv_id, p.turn, p.role, CAST(p.n_items AS INTEGER) AS n_items FROM p JOIN s USING (conv_id)
-WHERE p.turn < 4 AND (s.fe IS NULL OR p.turn < s.fe)
-  AND p.turn <= greatest(coalesce(p.declared, 0) - 1, 0)""")
+c AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS expected
+      FROM p WHERE turn < 4),
+s AS (SELECT conv_id, min(CASE WHEN n_items = 0 THEN turn WHEN turn <> expected THEN expected END) AS fe
+      FROM c GROUP BY conv_id)
+SELECT c.conv_id, c.turn, c.role, CAST(c.n_items AS INTEGER) AS n_items FROM c JOIN s USING (conv_id)
+WHERE (s.fe IS NULL OR c.turn < s.fe) AND c.turn <= greatest(coalesce(c.declared, 0) - 1, 0)""")
 def l3_page_cutoff_api(spark, sf):
     kept = L.page_cutoff(api_pages(spark, sf), ["conv_id"], "turn", "n_items", "declared",
                          max_pages=4)
