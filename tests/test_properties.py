@@ -132,3 +132,30 @@ def test_counter_rate_matches_rule(spark, steps, bucket_s):
         for a, b in zip(window, window[1:]):
             inc += b[2] if b[2] < a[2] else b[2] - a[2]
         assert got[ts] == inc
+
+
+def fallback_loop(statuses, html_rows):
+    out = []
+    for p in sorted(statuses):
+        st_ = statuses[p]
+        if st_ != 200:
+            if st_ in (401, 403):
+                return out + [("html", h) for h in html_rows]
+            return []                                   # the slice fails as a whole
+        out.append(("api", p))
+    return out
+
+
+@SETTINGS
+@given(st.dictionaries(st.integers(0, 6), st.sampled_from([200, 200, 200, 401, 403, 500]),
+                       min_size=1), st.lists(st.integers(0, 3), max_size=3, unique=True))
+def test_source_fallback_matches_loop(spark, statuses, html_pages):
+    # landed pages are contiguous from 0 in this model
+    statuses = {i: statuses[p] for i, p in enumerate(sorted(statuses))}
+    api = spark.createDataFrame([("s", p, s, "api") for p, s in statuses.items()],
+                                "s string, page int, status int, src string")
+    html = spark.createDataFrame([("s", p, "html") for p in html_pages] or [("zz", 0, "html")],
+                                 "s string, page int, src string")
+    got = sorted((r["src"], r["page"]) for r in
+                 L.source_fallback(api, html, ["s"], "page", "status").collect())
+    assert got == sorted(fallback_loop(statuses, html_pages))
