@@ -251,3 +251,43 @@ def s4_table_overwrite(spark, sf):
     B.write_layer(agg.withColumn("n", F.col("n") * 0), path, ["o_orderstatus"], ["n"])
     B.write_layer(agg, path, ["o_orderstatus"], ["n"])
     return spark.read.parquet(path).select("o_orderstatus", "o_orderpriority", "n")
+
+
+# Fixed parameter: the expected regions of the slice grid.
+REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+
+
+@query("l1_slice_grid", """
+SELECT s.o_orderstatus, r.r_name FROM (SELECT DISTINCT o_orderstatus FROM orders) s,
+  (VALUES ('AFRICA'), ('AMERICA'), ('ASIA'), ('EUROPE'), ('MIDDLE EAST')) r(r_name)""")
+def l1_slice_grid(spark, sf):
+    """Expected slices: every order status present in the data x every region of the
+    parameter list (a generator over the list, not a join)."""
+    statuses = read_table(spark, sf, "orders").select("o_orderstatus")
+    return L.slice_grid(statuses, "o_orderstatus", REGIONS, "r_name")
+
+
+@query("s8_employer_landing", """
+SELECT CAST(s_suppkey AS VARCHAR) AS employer_id, s_name AS name, s_nationkey AS nation,
+       CAST(1 AS BIGINT) AS n_rows FROM supplier""")
+def s8_employer_landing(spark, sf):
+    """The second raw table (keyed by employer): suppliers landed as employer payloads
+    under one batch id, appended twice through the retry-safe path (the second append
+    adds nothing), read back and parsed."""
+    sup = read_table(spark, sf, "supplier")
+    batch = L.stamp(sup.select(
+        F.col("s_suppkey").cast("string").alias("employer_id"),
+        F.to_json(F.struct("s_name", "s_nationkey", "s_acctbal")).alias("raw_json"),
+        F.to_timestamp(F.lit("2024-06-01 00:00:00")).alias("ingested_at")))
+    path = scratch_path(spark, "bronze_employers")
+    keys = ["snapshot_id", "employer_id"]
+    opts = dict(source="employers", sort=keys, columns=B.EMPLOYER_COLUMNS)
+    B.append_bronze(batch, path, **opts)
+    # the same batch landing again (a retried task) goes through the retry-safe path
+    B.append_bronze(B.anti_append(batch, spark.read.parquet(path), keys), path, **opts)
+    back = spark.read.parquet(path)
+    v = P.parse(F.col("raw_json"))
+    return back.groupBy("employer_id").agg(
+        F.first(P.json_str(v, "$.s_name")).alias("name"),
+        F.first(P.json_long(v, "$.s_nationkey")).cast("int").alias("nation"),
+        F.count(F.lit(1)).alias("n_rows"))

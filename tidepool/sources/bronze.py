@@ -22,6 +22,8 @@ BRONZE_SCHEMA = T.StructType([
     T.StructField("raw_json", T.StringType(), False),
 ])
 BRONZE_COLUMNS = tuple(f.name for f in BRONZE_SCHEMA.fields)
+# The second landing table has the same layout keyed by employer.
+EMPLOYER_COLUMNS = ("ingested_at", "snapshot_id", "source", "employer_id", "raw_json")
 PARTITION_COL = "yyyymm"
 
 # Layer short names mapped to their schema names.
@@ -52,7 +54,8 @@ MAX_RECORDS_PER_FILE = 5_000_000
 
 
 def append_bronze(df: DataFrame, path: str, source: str = "hh.ru",
-                  ts: Column | None = None, sort: Sequence[str] = ("snapshot_id",)) -> None:
+                  ts: Column | None = None, sort: Sequence[str] = ("snapshot_id",),
+                  columns: Sequence[str] = BRONZE_COLUMNS) -> None:
     """Append rows under monthly partitions, sorted by snapshot inside each file
     so snapshot filters skip row groups. Rows are range-partitioned on (month, sort
     keys): each task holds a contiguous key range, so few files are written, and a
@@ -61,7 +64,7 @@ def append_bronze(df: DataFrame, path: str, source: str = "hh.ru",
     failed or retried task leave no partial files; a re-run of the whole batch is
     guarded by :func:`anti_append`."""
     out = with_defaults(df, source, ts)
-    cols = [c for c in BRONZE_COLUMNS if c in out.columns] + [PARTITION_COL]
+    cols = [c for c in columns if c in out.columns] + [PARTITION_COL]
     keys = [PARTITION_COL, *sort]
     (out.select(*cols).repartitionByRange(*keys).sortWithinPartitions(*keys)
      .write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
