@@ -40,7 +40,12 @@ def test_best_row_variants_agree(spark, rows):
 def api_loop(pages, declared, max_pages):
     kept = []
     for p in range(max_pages):
-        n = pages.get(p, 0)
+        if p not in pages:
+            break
+        n, status = pages[p]
+        if status != 200:
+            kept.append(p)           # visited; the fallback rule decides what follows
+            break
         if not n:
             break
         kept.append(p)
@@ -50,13 +55,15 @@ def api_loop(pages, declared, max_pages):
 
 
 @SETTINGS
-@given(st.dictionaries(st.integers(0, 7), st.integers(0, 3), min_size=1),
+@given(st.dictionaries(st.integers(0, 7), st.tuples(st.integers(0, 3),
+                                                    st.sampled_from([200, 200, 200, 403, 500])),
+                       min_size=1),
        st.integers(0, 9), st.integers(1, 6))
 def test_page_cutoff_matches_loop(spark, pages, declared, max_pages):
-    df = spark.createDataFrame([("s", p, n, declared) for p, n in pages.items()],
-                               "s string, page int, n int, declared int")
+    df = spark.createDataFrame([("s", p, n, declared, st_) for p, (n, st_) in pages.items()],
+                               "s string, page int, n int, declared int, status int")
     got = sorted(r["page"] for r in L.page_cutoff(df, ["s"], "page", "n", "declared",
-                                                  max_pages).collect())
+                                                  max_pages, status="status").collect())
     assert got == api_loop(pages, declared, max_pages)
 
 

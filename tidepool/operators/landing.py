@@ -50,25 +50,31 @@ def flatten_items(responses: DataFrame, payload: str, keep: Sequence[str],
 
 
 def page_cutoff(pages: DataFrame, slice_cols: Sequence[str], page: str, n_items: str,
-                declared_pages: str, max_pages: int = API_MAX_PAGES) -> DataFrame:
-    """L3: keep pages up to the first empty page (exclusive; a page that never landed
-    counts as empty), the last declared page (inclusive) and the page cap. Declared 0
-    or missing keeps page 0 only. Input: one row per (slice, page).
-
-    Pages are capped first, so the stop search runs over at most ``max_pages`` rows
-    per slice; the per-slice stop is then joined back on the slice."""
+                declared_pages: str, max_pages: int = API_MAX_PAGES,
+                status: str | None = None) -> DataFrame:
+    """L3: the pages a page-by-page fetch visits: up to the first empty page
+    (exclusive; a page that never landed counts as empty), the page at which the
+    response's declared page count ends (inclusive; declared 0 or missing means page 0
+    only) and the page cap. With ``status``, a non-200 page is visited and ends the
+    range (what follows it is decided by :func:`source_fallback`). Input: one row per
+    (slice, page).
+
+    Pages are capped first, so the end search runs over at most ``max_pages`` rows per
+    slice; the per-slice end is then joined back on the slice."""
     s = _cols(slice_cols)
     capped = pages.filter(F.col(page) < max_pages)
     w = Window.partitionBy(*s).orderBy(page)
     expected = F.row_number().over(w) - 1
-    stops = capped.select(*s, F.when(F.col(n_items) == 0, F.col(page))
-                          .when(F.col(page) != expected, expected).alias("_stop"))
-    stop = stops.groupBy(*s).agg(F.min("_stop").alias("_first_empty"))
-    last_declared = F.greatest(F.coalesce(F.col(declared_pages), F.lit(0)) - 1, F.lit(0))
-    return (capped.join(stop, s, "left")
-            .filter((F.col("_first_empty").isNull() | (F.col(page) < F.col("_first_empty")))
-                    & (F.col(page) <= last_declared))
-            .drop("_first_empty"))
+    bad = (F.col(status) != 200) if status else F.lit(False)
+    last = F.greatest(F.coalesce(F.col(declared_pages), F.lit(0)) - 1, F.lit(0))
+    end = (F.when(F.col(page) != expected, expected)
+           .when(bad, F.col(page) + 1)
+           .when(F.col(n_items) == 0, F.col(page))
+           .when(F.col(page) >= last, F.col(page) + 1))
+    ends = capped.select(*s, end.alias("_end")).groupBy(*s).agg(F.min("_end").alias("_end"))
+    return (capped.join(ends, s, "left")
+            .filter(F.col("_end").isNull() | (F.col(page) < F.col("_end")))
+            .drop("_end"))
 
 
 def source_fallback(api: DataFrame, html: DataFrame, slice_cols: Sequence[str], page: str,
