@@ -59,12 +59,12 @@ def detail_html(title, skills):
 
 
 DETAIL = [
-    ("dev", "remote", "https://hh.ru/vacancy/10", 200, "https://hh.ru/vacancy/10",
+    ("dev", "remote", "https://jobs.example.com/vacancy/10", 200, "https://jobs.example.com/vacancy/10",
      detail_html("Detail A", ["k8s", "go", "k8s", ""]), None),
-    ("dev", "remote", "https://hh.ru/vacancy/11", 200, "https://hh.ru/account/captcha?x",
+    ("dev", "remote", "https://jobs.example.com/vacancy/11", 200, "https://jobs.example.com/account/captcha?x",
      "<h1>Я не робот</h1>", None),
-    ("dev", "remote", "https://hh.ru/vacancy/12", 404, "https://hh.ru/vacancy/12", "gone", None),
-    ("ops", "spb", "https://hh.ru/vacancy/20", 200, "https://hh.ru/vacancy/20",
+    ("dev", "remote", "https://jobs.example.com/vacancy/12", 404, "https://jobs.example.com/vacancy/12", "gone", None),
+    ("ops", "spb", "https://jobs.example.com/vacancy/20", 200, "https://jobs.example.com/vacancy/20",
      detail_html("Detail E", ["python"]), None),
 ]
 
@@ -73,7 +73,7 @@ def frames(spark):
     api = spark.createDataFrame(API, "search_text string, search_area string, page_num int, "
                                      "status int, body string")
     search = spark.createDataFrame(
-        [(r, a, p, f"https://hh.ru/search?p={p}", h) for r, a, p, h in SEARCH],
+        [(r, a, p, f"https://jobs.example.com/search?p={p}", h) for r, a, p, h in SEARCH],
         "search_text string, search_area string, page_num int, url string, html string")
     detail = spark.createDataFrame(DETAIL, "search_text string, search_area string, "
                                            "requested_url string, status int, final_url string, "

@@ -113,9 +113,9 @@ def test_ordered_pattern_and_markers(spark):
 def test_url_helpers(spark):
     from tidepool.functions import text as X
     df = spark.createDataFrame([("https://x.ru/vacancy/123?from=a",), ("https://x.ru/a/b?c=1",)], "u string")
-    r = df.select(X.id_from_url("u").alias("i"), X.canonical_url("u", "https://hh.example/").alias("c"),
+    r = df.select(X.id_from_url("u").alias("i"), X.canonical_url("u", "https://jobs.example.com/").alias("c"),
                   X.resolve_url(F.lit("/p"), F.col("u")).alias("abs"),
                   X.resolve_url(F.lit("q"), F.col("u")).alias("rel")).collect()
-    assert (r[0]["i"], r[0]["c"]) == ("123", "https://hh.example/vacancy/123")
+    assert (r[0]["i"], r[0]["c"]) == ("123", "https://jobs.example.com/vacancy/123")
     assert (r[1]["i"], r[1]["c"]) == ("https://x.ru/a/b?c=1", "https://x.ru/a/b")
     assert r[1]["abs"] == "https://x.ru/p" and r[1]["rel"] == "https://x.ru/a/q"

@@ -44,10 +44,11 @@ def test_write_layer_dynamic_overwrite(spark):
 
 
 def test_layer_names():
-    assert B.layer_name(None, "dpib") == "dpib"
-    assert B.layer_name(" silver ", "dpib") == "dpib_silver"
-    assert B.layer_name("gold", "dpib") == "dpib_gold"
-    assert B.layer_name("scratch", "dpib") == "dpib_scratch"
+    assert B.layer_name(None, "raw") == "raw"
+    assert B.layer_name(" silver ", "raw") == "lake_silver"
+    assert B.layer_name("gold", "raw") == "lake_gold"
+    assert B.layer_name("scratch", "raw") == "raw_scratch"
+    assert B.layer_name("gold", "raw", {"gold": "marts"}) == "marts"
 
 
 def test_insert_ignore_keeps_target_and_first_new(spark):

@@ -84,8 +84,8 @@ def test_run_transform(spark):
     from tidepool.plans import transform as TR
     root = tempfile.mkdtemp(prefix="tp-tr-")
     grid = [(r, a) for r in TR.ROLES for a in TR.AREAS]
-    B.append_bronze(landed(spark, "s1", grid, 1).drop("source"), f"{root}/bronze", source="hh.ru")
-    B.append_bronze(landed(spark, "s2", grid[:4], 2).drop("source"), f"{root}/bronze", source="hh.ru")
+    B.append_bronze(landed(spark, "s1", grid, 1).drop("source"), f"{root}/bronze", source="landing")
+    B.append_bronze(landed(spark, "s2", grid[:4], 2).drop("source"), f"{root}/bronze", source="landing")
     res = TR.run_transform(spark, f"{root}/bronze", f"{root}/silver", f"{root}/gold")
     assert res.bronze.snapshot_id == "s1" and res.bronze.combos == 6
     assert res.silver_rows == 2 and res.silver_stats["detail_ok"] == 2

@@ -26,7 +26,7 @@ from tidepool.operators import landing as L
 from tidepool.sources import bronze as B
 
 SLICE = ("search_text", "search_area")
-SITE = "https://hh.ru"
+SITE = "https://jobs.example.com"
 
 # The markup markers (data-qa attributes) of the search and detail pages.
 CARD_TITLE = "serp-item__title"

@@ -26,8 +26,8 @@ BRONZE_COLUMNS = tuple(f.name for f in BRONZE_SCHEMA.fields)
 EMPLOYER_COLUMNS = ("ingested_at", "snapshot_id", "source", "employer_id", "raw_json")
 PARTITION_COL = "yyyymm"
 
-# Layer short names mapped to their schema names.
-LAYER_SCHEMAS = {"silver": "dpib_silver", "gold": "dpib_gold"}
+# Known layers map to fixed schema names; any other layer gets "<default>_<layer>".
+LAYER_SCHEMAS = {"silver": "lake_silver", "gold": "lake_gold"}
 
 
 def read_bronze(spark: SparkSession, path: str, schema: T.StructType = BRONZE_SCHEMA,
@@ -53,7 +53,7 @@ def with_defaults(df: DataFrame, source: str, ts: Column | None = None) -> DataF
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
-def append_bronze(df: DataFrame, path: str, source: str = "hh.ru",
+def append_bronze(df: DataFrame, path: str, source: str = "landing",
                   ts: Column | None = None, sort: Sequence[str] = ("snapshot_id",),
                   columns: Sequence[str] = BRONZE_COLUMNS) -> None:
     """Append rows under monthly partitions, sorted by snapshot inside each file
@@ -78,12 +78,13 @@ def anti_append(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> Dat
     return new.join(existing.select(*keys), list(keys), "left_anti")
 
 
-def layer_name(layer: str | None, default_schema: str) -> str:
+def layer_name(layer: str | None, default_schema: str,
+               schemas: dict[str, str] | None = None) -> str:
     """Layer short name -> schema; no layer -> default; unknown -> default_layer."""
     if layer is None:
         return default_schema
     layer = layer.strip()
-    return LAYER_SCHEMAS.get(layer, f"{default_schema}_{layer}")
+    return (schemas or LAYER_SCHEMAS).get(layer, f"{default_schema}_{layer}")
 
 
 def write_layer(df: DataFrame, path: str, partition: Sequence[str] = (),

@@ -59,7 +59,7 @@ def default_silver(bronze_rows: DataFrame) -> DataFrame:
 
 
 def start_incremental(spark: SparkSession, landing_path: str, bronze_path: str,
-                      silver_path: str, checkpoint: str, source: str = "hh.ru",
+                      silver_path: str, checkpoint: str, source: str = "landing",
                       build: Callable[[DataFrame], DataFrame] = default_silver,
                       keys: Sequence[str] = RETRY_KEYS,
                       available_now: bool = True) -> StreamingQuery:
