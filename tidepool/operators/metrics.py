@@ -127,6 +127,13 @@ def agg_by(df: DataFrame, by: Sequence[str], aggs: dict[str, Column]) -> DataFra
     return df.groupBy(*by).agg(*[c.alias(n) for n, c in aggs.items()])
 
 
+def count_matching(df: DataFrame, by: Sequence[str], cond: Column,
+                   alias: str = "value") -> DataFrame:
+    """M4 ``count(expr) by (labels)``: samples where ``cond`` holds, counted per group;
+    a group with no matching sample has no row (not 0)."""
+    return df.filter(cond).groupBy(*by).agg(F.count(F.lit(1)).alias(alias))
+
+
 def match(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
     """One-to-one vector matching: inner equi-join of two series sets on the
     shared labels and the sample time."""

@@ -102,6 +102,17 @@ def m4_agg_by_label(spark, sf):
                      "hot_hours": F.count_if(F.col("n") >= 5)})
 
 
+@query("m4_count_matching", f"""
+WITH {HOURLY_SQL}
+SELECT event_type, strftime(CAST(hour AS DATE), '%Y-%m-%d') AS day, count(*) AS value
+FROM h WHERE n >= 7 GROUP BY ALL""")
+def m4_count_matching(spark, sf):
+    """``count(hourly_events >= 7) by (type, day)``: days without such an hour have no row."""
+    h = hourly(spark, sf)
+    return M.count_matching(h, ["event_type", F.date_format("hour", "yyyy-MM-dd").alias("day")],
+                            F.col("n") >= 7)
+
+
 PER_HOUR_SQL = """t AS (SELECT date_trunc('hour', ts) AS hour, count(*) AS total,
                          count(*) FILTER (WHERE event_type = 'error') AS errors,
                          count(DISTINCT event_type) AS kinds FROM events GROUP BY 1)"""
