@@ -187,3 +187,78 @@ def group_alerts(alerts: DataFrame, by: Sequence[str] = ("alertname", "severity"
     return alerts.groupBy(*by).agg(F.count(F.lit(1)).alias("n_alerts"),
                                    F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"),
                                    F.count_distinct(slot).alias("n_notifications"))
+
+
+def prefix_max_before(df: DataFrame, keys: Sequence[str], t: str, order: Sequence[str],
+                      value: str, bucket_us: int, out: str) -> DataFrame:
+    """For every row, the max of ``value`` over the rows of its key that come before it
+    (under ``t`` then ``order``), as a bucketed prefix: per-bucket maxima carried over
+    earlier buckets, plus a window inside the row's own bucket."""
+    d = df.withColumn("_pb", F.floor(F.col(t) / F.lit(bucket_us)))
+    per = d.groupBy(*keys, "_pb").agg(F.max(value).alias("_bm"))
+    carry = per.select(*keys, "_pb", F.max("_bm").over(
+        Window.partitionBy(*keys).orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1))
+        .alias("_carry"))
+    w = Window.partitionBy(*keys, "_pb").orderBy(t, *order).rowsBetween(
+        Window.unboundedPreceding, -1)
+    return (d.join(carry, [*keys, "_pb"])
+            .withColumn(out, F.greatest(F.max(value).over(w), F.col("_carry")))
+            .drop("_pb", "_carry"))
+
+
+def notifications(alerts: DataFrame, by: Sequence[str] = ("alertname", "severity"),
+                  instance: str = "instance", ts: str = "ts", cadence_s: int = 60,
+                  group_wait_s: int = 30, group_interval_s: int = 300,
+                  repeat_interval_s: int = 4 * 3600, resolve_timeout_s: int = 300,
+                  bucket_s: int = 86400) -> DataFrame:
+    """Notifications a grouping router sends for alert rows (one row per firing
+    alert per evaluation).
+
+    * An *episode* of an alert is a run of evaluations with gaps up to ``cadence_s``;
+      it resolves ``resolve_timeout_s`` after its last evaluation.
+    * A group *session* is a maximal union of overlapping episodes of the group; a
+      group that has fully resolved starts a new session (and waits again).
+    * Within a session, flush ticks fall every ``group_interval_s`` from session start
+      + ``group_wait_s``; a tick notifies when an episode started or resolved since
+      the previous tick, and otherwise re-notifies once ``repeat_interval_s`` has
+      passed since the last notification.
+
+    Episodes use the bucketed island logic of :func:`sustained`; sessions use a
+    bucketed prefix max, so no step puts a whole group or series in one task.
+    """
+    by = list(by)
+    keys = [*by, instance]
+    flagged = sustained(alerts.select(*keys, ts).withColumn("_on", F.lit(True)), keys, ts,
+                        "_on", 0, cadence_s, bucket_s)
+    res_us = resolve_timeout_s * US
+    episodes = (flagged.groupBy(*keys, "island_start")
+                .agg(F.count(F.lit(1)).alias("_n"), F.max(ts).alias("_last"))
+                .select(*keys, "_n", epoch_us("island_start").alias("_s"),
+                        (epoch_us("_last") + F.lit(res_us)).alias("_e")))
+    b_us = bucket_s * US
+    ep = prefix_max_before(episodes, by, "_s", [instance], "_e", b_us, "_prev_end")
+    ep = ep.withColumn("_new", F.col("_prev_end").isNull() | (F.col("_s") > F.col("_prev_end")))
+    ep = ep.withColumn("_sess_start", F.when(F.col("_new"), F.col("_s")))
+    ep = prefix_max_before(ep, by, "_s", [instance], "_sess_start", b_us, "_sess_prev")
+    ep = ep.withColumn("_sess", F.coalesce(F.col("_sess_start"), F.col("_sess_prev")))
+    # change events (episode start and resolution) -> flush tick index in the session
+    iv = F.lit(group_interval_s * US)
+    changes = ep.select(*by, "_sess", F.explode(F.array("_s", "_e")).alias("_ev"))
+    changes = changes.select(*by, "_sess", F.greatest(
+        F.ceil((F.col("_ev") - (F.col("_sess") + F.lit(group_wait_s * US))) / iv),
+        F.lit(0)).alias("_tick")).distinct()
+    r_ticks = -(-repeat_interval_s // group_interval_s)
+    w = Window.partitionBy(*by, "_sess").orderBy("_tick")
+    gaps = changes.withColumn("_next", F.lead("_tick").over(w))
+    repeats = F.coalesce(F.floor((F.col("_next") - F.col("_tick") - 1) / F.lit(r_ticks)),
+                         F.lit(0))
+    per_session = gaps.groupBy(*by, "_sess").agg(
+        (F.count(F.lit(1)) + F.sum(repeats)).alias("_notes"))
+    per_group_eps = episodes.groupBy(*by).agg(F.sum("_n").alias("n_alerts"),
+                                              F.count(F.lit(1)).alias("n_episodes"),
+                                              F.min("_s").alias("_first"))
+    per_group = per_session.groupBy(*by).agg(F.count(F.lit(1)).alias("n_sessions"),
+                                            F.sum("_notes").cast("long").alias("n_notifications"))
+    return (per_group_eps.join(per_group, by)
+            .select(*by, "n_alerts", "n_episodes", "n_sessions", "n_notifications",
+                    F.timestamp_micros("_first").alias("first_ts")))

@@ -251,3 +251,45 @@ def m10_alert_group(spark, sf):
     g = M.group_alerts(alerts(spark, sf))
     return g.select("alertname", "severity", "n_alerts", ts_text("first_ts").alias("first_ts"),
                     ts_text("last_ts").alias("last_ts"), "n_notifications")
+
+
+WAIT_S, INTERVAL_S, REPEAT_S, RESOLVE_S = 30, 300, 4 * 3600, 300
+
+
+@query("m10_alert_notifications", f"""
+WITH {ALERTS_SQL},
+a AS (SELECT alertname, severity, instance, epoch_us(ts) AS t FROM al),
+fa AS (SELECT *, lag(t) OVER (PARTITION BY alertname, severity, instance ORDER BY t) AS pt FROM a),
+ga AS (SELECT *, max(CASE WHEN pt IS NULL OR t - pt > {CADENCE_S * 1000000} THEN t END) OVER (
+        PARTITION BY alertname, severity, instance ORDER BY t ROWS UNBOUNDED PRECEDING) AS s FROM fa),
+ep AS (SELECT alertname, severity, instance, s, count(*) AS n, max(t) + {RESOLVE_S * 1000000} AS e
+       FROM ga GROUP BY ALL),
+p AS (SELECT *, max(e) OVER (PARTITION BY alertname, severity ORDER BY s, instance
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_end FROM ep),
+q AS (SELECT *, CASE WHEN prev_end IS NULL OR s > prev_end THEN s END AS ss FROM p),
+r AS (SELECT *, max(ss) OVER (PARTITION BY alertname, severity ORDER BY s, instance
+        ROWS UNBOUNDED PRECEDING) AS sess FROM q),
+ch AS (SELECT DISTINCT alertname, severity, sess,
+         greatest(CAST(ceil((ev - (sess + {WAIT_S * 1000000})) / {INTERVAL_S * 1000000}) AS BIGINT), 0)
+           AS tick
+       FROM (SELECT alertname, severity, sess, s AS ev FROM r
+             UNION ALL SELECT alertname, severity, sess, e FROM r)),
+gp AS (SELECT *, lead(tick) OVER (PARTITION BY alertname, severity, sess ORDER BY tick) AS nx FROM ch),
+ps AS (SELECT alertname, severity, sess,
+              count(*) + sum(coalesce(floor((nx - tick - 1) / {-(-REPEAT_S // INTERVAL_S)}), 0)) AS notes
+       FROM gp GROUP BY ALL),
+pg AS (SELECT alertname, severity, count(*) AS n_sessions, CAST(sum(notes) AS BIGINT) AS n_notifications
+       FROM ps GROUP BY ALL),
+pe AS (SELECT alertname, severity, CAST(sum(n) AS BIGINT) AS n_alerts, count(*) AS n_episodes,
+              min(s) AS first FROM ep GROUP BY ALL)
+SELECT pe.alertname, pe.severity, n_alerts, n_episodes, n_sessions, n_notifications,
+       strftime(make_timestamp(first), '%Y-%m-%d %H:%M:%S') AS first_ts
+FROM pe JOIN pg USING (alertname, severity)""")
+def m10_alert_notifications(spark, sf):
+    """Router timing per (alertname, severity): episodes, sessions and notifications
+    (wait 30 s, interval 5 m, repeat 4 h, resolve after 5 m) over hourly evaluations."""
+    n = M.notifications(alerts(spark, sf), cadence_s=CADENCE_S, group_wait_s=WAIT_S,
+                        group_interval_s=INTERVAL_S, repeat_interval_s=REPEAT_S,
+                        resolve_timeout_s=RESOLVE_S)
+    return n.select("alertname", "severity", "n_alerts", "n_episodes", "n_sessions",
+                    "n_notifications", ts_text("first_ts").alias("first_ts"))
