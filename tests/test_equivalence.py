@@ -50,3 +50,11 @@ def test_running_total_bucket_invariant(spark):
     a = M.running_total(e, ["user_id"], "ts", "amount", ["ts", "event_id"], bucket_s=600)
     b = M.running_total(e, ["user_id"], "ts", "amount", ["ts", "event_id"], bucket_s=10 ** 8)
     assert rows(a.select("event_id", "running")) == rows(b.select("event_id", "running"))
+
+
+@pytest.mark.parametrize("bucket_s", [3600, 6 * 3600])
+def test_notifications_bucket_invariant(spark, bucket_s):
+    al = QM.alerts(spark, SF01)
+    a = M.notifications(al, cadence_s=3600, bucket_s=bucket_s)
+    b = M.notifications(al, cadence_s=3600, bucket_s=10 ** 8)
+    assert rows(a) == rows(b)

@@ -4,6 +4,7 @@ reference's loops and rules (small random inputs, heavy ties and gaps)."""
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -166,3 +167,16 @@ def test_source_fallback_matches_loop(spark, statuses, html_pages):
     got = sorted((r["src"], r["page"]) for r in
                  L.source_fallback(api, html, ["s"], "page", "status").collect())
     assert got == sorted(fallback_loop(statuses, html_pages))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 50), st.integers(0, 9)),
+                min_size=1, max_size=30, unique_by=lambda r: (r[0], r[1])),
+       st.sampled_from([3, 10, 1000]))
+def test_prefix_max_before_matches_scan(spark, rows, bucket):
+    df = spark.createDataFrame(rows, "k string, t long, v long").withColumn("o", F.lit(0))
+    got = {(r["k"], r["t"]): r["pm"] for r in
+           M.prefix_max_before(df, ["k"], "t", ["o"], "v", bucket, "pm").collect()}
+    for k, t, _ in rows:
+        before = [v for k2, t2, v in rows if k2 == k and t2 < t]
+        assert got[(k, t)] == (max(before) if before else None)
