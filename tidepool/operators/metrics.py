@@ -115,7 +115,8 @@ def sustained(df: DataFrame, series: Sequence[str], ts: str, cond: str, hold_s:
 def latest_value(df: DataFrame, series: Sequence[str], ts: str, value: str,
                  tiebreak: Sequence[str] = ()) -> DataFrame:
     """M3: the newest non-null value per series (partial max_by per task)."""
-    best = F.max(F.struct(F.col(ts).alias("ts"), *[F.col(c) for c in tiebreak],
+    best = F.max(F.struct(F.col(ts).alias("ts"),
+                          *[F.col(c).alias(f"_tb{i}") for i, c in enumerate(tiebreak)],
                           F.col(value).alias("value")))
     return (df.filter(F.col(value).isNotNull()).groupBy(*series).agg(best.alias("_l"))
             .select(*series, "_l.value", "_l.ts"))

@@ -293,3 +293,24 @@ def m10_alert_notifications(spark, sf):
                         resolve_timeout_s=RESOLVE_S)
     return n.select("alertname", "severity", "n_alerts", "n_episodes", "n_sessions",
                     "n_notifications", ts_text("first_ts").alias("first_ts"))
+
+
+@query("m3_latest_by_series", """
+WITH m AS (
+  SELECT date_trunc('hour', ts) AS ts, 'events_total' AS metric,
+         json_object('type', event_type)::VARCHAR AS series_id, CAST(count(*) AS DOUBLE) AS value, 0 AS tb
+  FROM events GROUP BY ALL
+  UNION ALL
+  SELECT ts, 'amount_total', json_object('user', CAST(user_id AS VARCHAR))::VARCHAR,
+         CAST(sum(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY user_id, CAST(ts AS DATE)
+              ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS DOUBLE), 0
+  FROM events)
+SELECT metric, series_id, value, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY metric, series_id ORDER BY ts DESC, value DESC) AS rn
+  FROM m) WHERE rn = 1""")
+def m3_latest_by_series(spark, sf):
+    """Latest sample of every series of the long metric table."""
+    from tidepool.sources.metric_table import event_metrics
+    lv = M.latest_value(event_metrics(spark, sf), ["metric", "series_id"], "ts", "value",
+                        ["value"])
+    return lv.select("metric", "series_id", "value", ts_text_us("ts").alias("ts"))
