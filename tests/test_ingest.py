@@ -5,8 +5,6 @@ slice; retried landing adds nothing."""
 import json
 import tempfile
 
-from pyspark.sql import functions as F
-
 from tidepool.functions.payload import staging
 from tidepool.plans import ingest as I
 from tidepool.operators import landing as L

@@ -3,7 +3,6 @@ reference's loops and rules (small random inputs, heavy ties and gaps)."""
 
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidepool.functions.format import arr_text, ts_text
 from tidepool.operators import gold
 from tidepool.plans import q_lineitem as QL
 from tidepool.plans.registry import query
