@@ -81,3 +81,11 @@ def test_orphans_and_uniqueness(spark):
 def test_where_latest_vacuous_without_complete(spark):
     b = bronze_rows(spark).filter("snapshot_id <> 'complete'")
     assert snapshots.where_latest(b, b).count() == 0
+
+
+def test_manifest_counts_empty_slice(spark):
+    b = bronze_rows(spark)
+    manifest = spark.createDataFrame([("partial", "ops", "remote")],
+                                     "snapshot_id string, search_text string, search_area string")
+    got = sorted(r[0] for r in snapshots.complete_snapshots(b, manifest=manifest).collect())
+    assert got == ["complete", "partial"]

@@ -22,14 +22,19 @@ def _slice_count(slices: Sequence[str]) -> Column:
 
 
 def complete_snapshots(df: DataFrame, sid: str = SID, slices: Sequence[str] = SLICES,
-                       n: int = 6) -> DataFrame:
+                       n: int = 6, manifest: DataFrame | None = None) -> DataFrame:
     """snapshot ids that hold exactly ``n`` distinct slices.
 
     Planned as a two-level distinct aggregate: (sid, slice) is combined map-side first,
     so a snapshot holding a third of all rows still shrinks to <= n rows per task
-    before the shuffle.
+    before the shuffle. ``manifest`` (sid + slice columns, one row per slice that
+    finished landing, empty ones included) lets a legitimately empty slice count;
+    without it completeness is derived from the rows alone.
     """
-    return (df.groupBy(sid).agg(_slice_count(slices).alias("n_slices"))
+    keys = df.select(sid, *slices)
+    if manifest is not None:
+        keys = keys.unionByName(manifest.select(sid, *slices))
+    return (keys.groupBy(sid).agg(_slice_count(slices).alias("n_slices"))
             .filter(F.col("n_slices") == n))
 
 
