@@ -68,3 +68,44 @@ def test_sustained_hot_series_is_bucketed(spark):
     firing = out.filter("firing").count()
     # islands are the 96-minute runs between falses; 30 minutes of each one fire
     assert 0 < firing < 5_000
+
+
+def test_detail_cap_hot_slice_limited_per_task(spark):
+    from tidepool.operators import landing as L
+    cards = spark.range(40_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
+            (F.col("id") % 500).cast("string")).alias("slice"),
+        F.col("id").cast("string").alias("key"), (F.col("id") % 11).alias("page"),
+        F.col("id").alias("pos"))
+    details = cards.select("slice", "key", F.lit("ok").alias("detail_status"))
+    out = L.cap_enrich(cards, details, ["slice"], "key", ["page", "pos"], n=5)
+    counts = {r["detail_status"]: r["count"] for r in
+              out.filter("slice = 'hot'").groupBy("detail_status").count().collect()}
+    assert counts == {"ok": 5, "not_fetched_limit": 13_334 - 5}
+    chosen = out.filter("slice = 'hot'")
+    chosen.collect()
+    limits = [v["numOutputRows"] for name, _, v in nodes(chosen)
+              if name == "WindowGroupLimit" and "numOutputRows" in v]
+    # 501 slices: the partial limit sends at most n rows per slice per task into the
+    # shuffle (instead of all 40,000 cards), the final one keeps n per slice
+    assert limits and max(limits) <= 5 * 8 * 501 and min(limits) <= 5 * 501
+
+
+def test_completeness_hot_snapshot(spark):
+    from tidepool.operators import snapshots
+    grid = [(r, a) for r in ("x", "y") for a in ("1", "2", "3")]
+    df = spark.range(60_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
+            (F.col("id") % 1000).cast("string")).alias("snapshot_id"),
+        F.element_at(F.array(*[F.lit(r) for r, _ in grid]),
+                     (F.floor(F.col("id") / 3) % 6 + 1).cast("int")).alias("search_text"),
+        F.element_at(F.array(*[F.lit(a) for _, a in grid]),
+                     (F.floor(F.col("id") / 3) % 6 + 1).cast("int")).alias("search_area"))
+    out = snapshots.complete_snapshots(df)
+    ids = {r[0] for r in out.collect()}
+    assert "hot" in ids
+    partial = [v["numOutputRows"] for name, _, v in nodes(out)
+               if "Aggregate" in name and "numOutputRows" in v]
+    # (snapshot, slice) pairs are combined per task first: the hot snapshot's 20,000
+    # rows become at most 6 per task
+    assert min(partial) <= 1000 * 6 * 8 + 6 * 8
