@@ -96,3 +96,20 @@ def test_run_transform(spark):
     from tidepool.operators.quality import GateError
     with pytest.raises(GateError, match="partial"):
         TR.run_transform(spark, f"{root}/bronze", f"{root}/silver2", f"{root}/gold2", "s2")
+
+
+def test_incremental_silver_snapshot_across_months(spark):
+    root = tempfile.mkdtemp(prefix="tp-stream2-")
+    grid = [(r, a) for r in ("dev", "ops") for a in ("msk", "spb", "remote")]
+    first = landed(spark, "s9", grid[:3], 1).withColumn(
+        "ingested_at", F.lit(dt.datetime(2024, 4, 30, 23, 59)))
+    first.write.parquet(f"{root}/landing/b1")
+    q = bronze_stream.start_incremental(spark, f"{root}/landing", f"{root}/bronze",
+                                        f"{root}/silver", f"{root}/ckpt")
+    q.awaitTermination()
+    landed(spark, "s9", grid[3:], 1).write.parquet(f"{root}/landing/b2")   # May 1st
+    q = bronze_stream.start_incremental(spark, f"{root}/landing", f"{root}/bronze",
+                                        f"{root}/silver", f"{root}/ckpt")
+    q.awaitTermination()
+    silver = spark.read.parquet(f"{root}/silver")
+    assert {r["vacancy_id"] for r in silver.filter("snapshot_id = 's9'").collect()} == {"v1", "v2"}

@@ -76,7 +76,11 @@ def start_incremental(spark: SparkSession, landing_path: str, bronze_path: str,
         if fresh.limit(1).count() == 0:
             return
         B.append_bronze(fresh, bronze_path, source=source)
-        months = fresh.select(month_key("ingested_at").alias(B.PARTITION_COL)).distinct()
+        # every month holding rows of a touched snapshot is rebuilt, so a snapshot that
+        # straddles a month boundary is judged on all of its rows
+        touched = bounded_broadcast(fresh.select("snapshot_id").distinct())
+        months = (B.read_bronze(spark, bronze_path, columns=["snapshot_id", B.PARTITION_COL])
+                  .join(touched, "snapshot_id", "left_semi").select(B.PARTITION_COL).distinct())
         rebuild_silver(spark, bronze_path, silver_path, months, build)
 
     writer = landed.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
