@@ -165,7 +165,7 @@ def html_rows(search: DataFrame, detail: DataFrame, max_pages: int = L.HTML_MAX_
 
 def run_ingest(spark: SparkSession, api: DataFrame, search: DataFrame, detail: DataFrame,
                bronze_path: str, grid: DataFrame, snapshot_id: str | None = None,
-               bronze_exists: bool = False) -> DataFrame:
+               bronze_exists: bool | None = None) -> DataFrame:
     """Land one snapshot batch; returns the L18 report (rows inserted per slice + total)."""
     a = api_rows(api)
     html_src = search.select(*SLICE, "page_num", F.lit(200).alias("status"), F.lit("html").alias("src"))
@@ -182,6 +182,8 @@ def run_ingest(spark: SparkSession, api: DataFrame, search: DataFrame, detail: D
         L.require_rows(html_out, "API blocked and the HTML fallback gave 0 rows")
     rows = L.stamp(api_out.unionByName(html_out), snapshot_id)
     keys = ["snapshot_id", *SLICE, "vacancy_id"]
+    if bronze_exists is None:
+        bronze_exists = B.table_exists(spark, bronze_path)
     if bronze_exists:
         rows = B.anti_append(rows, B.read_bronze(spark, bronze_path, columns=keys), keys)
     rows = rows.checkpoint(eager=True)

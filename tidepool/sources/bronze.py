@@ -31,6 +31,13 @@ PARTITION_COL = "yyyymm"
 LAYER_SCHEMAS = {"silver": "lake_silver", "gold": "lake_gold"}
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder exists (through the cluster's file system client)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_bronze(spark: SparkSession, path: str, schema: T.StructType = BRONZE_SCHEMA,
                 columns: Sequence[str] = BRONZE_COLUMNS) -> DataFrame:
     """The raw table with an explicit schema (no inference); selecting the

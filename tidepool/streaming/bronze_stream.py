@@ -26,13 +26,6 @@ from tidepool.sources import bronze as B
 RETRY_KEYS = ("snapshot_id", "search_text", "search_area", "vacancy_id")
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
-
-
 def rebuild_silver(spark: SparkSession, bronze_path: str, silver_path: str,
                    months: DataFrame, build: Callable[[DataFrame], DataFrame]) -> None:
     """Recompute silver for the given months (one row per month) from bronze and
@@ -68,7 +61,7 @@ def start_incremental(spark: SparkSession, landing_path: str, bronze_path: str,
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         fresh = df
-        if _table_exists(spark, bronze_path):
+        if B.table_exists(spark, bronze_path):
             stored = B.read_bronze(spark, bronze_path, columns=list(keys))
             scope = bounded_broadcast(df.select("snapshot_id").distinct())
             fresh = B.anti_append(df, stored.join(scope, "snapshot_id", "left_semi"), keys)
