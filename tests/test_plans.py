@@ -46,3 +46,24 @@ def test_flagship_scan_is_pruned(spark):
 def test_no_python_in_batch_queries(spark, name):
     p = plan(QUERIES[name](spark, SF01))
     assert not re.search(r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas", p)
+
+
+def test_snapshot_filter_reaches_parquet_scan(spark):
+    import tempfile
+    from pyspark.sql import functions as F
+    from tidepool.operators import snapshots
+    from tidepool.sources import bronze as B
+    path = tempfile.mkdtemp(prefix="tp-push-") + "/bronze"
+    rows = spark.range(100).select(
+        F.lit("2024-03-05 10:00:00").cast("timestamp").alias("ingested_at"),
+        F.concat(F.lit("s"), (F.col("id") % 3).cast("string")).alias("snapshot_id"),
+        F.lit("dev").alias("search_text"), F.lit("msk").alias("search_area"),
+        F.lit(0).alias("page_num"), F.col("id").cast("string").alias("vacancy_id"),
+        F.lit("{}").alias("raw_json"))
+    B.append_bronze(rows, path)
+    bronze = B.read_bronze(spark, path, columns=[*B.BRONZE_COLUMNS, B.PARTITION_COL])
+    q = snapshots.for_snapshot(bronze, "s1").filter(F.col(B.PARTITION_COL) == 202403)
+    p = plan(q)
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(snapshot_id,s1\)", p)
+    assert re.search(r"PartitionFilters: \[[^\]]*yyyymm", p)
+    assert q.count() == 33
