@@ -37,8 +37,6 @@ def build_session(master: str | None = None, app: str = "tidepool",
         "spark.sql.shuffle.partitions": str(shuffle_partitions or cpus),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
-        # checkpoints written by size checks are removed once nothing references them
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.showConsoleProgress": "false",
     }
     conf.update(extra or {})
