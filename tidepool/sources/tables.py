@@ -26,7 +26,7 @@ def spread(df: DataFrame) -> DataFrame:
         n = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - Spark Connect: no RDD view, leave the scan as is
         return df
-    floor = int(spark.conf.get("tidepool.minInputPartitions", str(default)))
+    floor = int(spark.conf.get("spark.tidepool.minInputPartitions", str(default)))
     return df.repartition(floor) if n < floor else df
 
 
