@@ -67,3 +67,13 @@ def test_snapshot_filter_reaches_parquet_scan(spark):
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(snapshot_id,s1\)", p)
     assert re.search(r"PartitionFilters: \[[^\]]*yyyymm", p)
     assert q.count() == 33
+
+
+def test_input_spreading_can_be_turned_off(spark):
+    from tidepool.sources.tables import read_table
+    assert read_table(spark, SF01, "lineitem").rdd.getNumPartitions() == 8
+    spark.conf.set("spark.tidepool.minInputPartitions", "0")
+    try:
+        assert read_table(spark, SF01, "lineitem").rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.unset("spark.tidepool.minInputPartitions")
