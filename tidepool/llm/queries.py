@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import language, simhash
+from tidepool.llm import decontaminate, language, simhash
 from tidepool.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,14 @@ def query(fn):
     return fn
 
 
+@query
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"),
+                                       table(spark, sf_dir, "benchmark"))
+    return found.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_equal", "n_compared")).alias("b")
+        ).select("doc_id", "item_id", "b.n_equal", "b.n_compared")
+
+
 @query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -32,3 +40,38 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return groups.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"),
                          "component_id")
+
+
+_SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_WORDS = ("list_filter(string_split_regex(translate(coalesce(text, ''), "
+          "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          f"'{_SEPARATORS}'), lambda x: x <> '')")
+
+
+def _op5_sql() -> str:
+    def seed(mask: str, k: int) -> str:
+        at = " || ' ' || ".join(f"w[p + {i + 1}]" for i, bit in enumerate(mask) if bit == "1")
+        return f"'{k} ' || {at}"
+    span = len(decontaminate.MASKS[0])
+    masks = ", ".join(seed(m, k) for k, m in enumerate(decontaminate.MASKS))
+    def windows(key: str, source: str) -> str:
+        return (f"SELECT {key}, p, unnest([{masks}]) AS s FROM (SELECT {key}, w, "
+                f"unnest(range(0, len(w) - {span - 1})) AS p FROM {source})")
+    return f"""
+WITH d AS (SELECT DISTINCT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT DISTINCT item_id, {_WORDS} AS w FROM benchmark),
+dw AS ({windows("doc_id", "d")}), bw AS ({windows("item_id", "b")}),
+h AS (SELECT doc_id, item_id, dw.p - bw.p AS shift, min(bw.p) AS lo, max(bw.p) + {span} AS hi
+      FROM dw JOIN bw USING (s) GROUP BY ALL),
+c AS (SELECT h.doc_id, h.item_id, hi - lo AS n_compared, len(b.w) AS n,
+             len(list_filter(range(lo, hi), lambda i: b.w[i + 1] = d.w[i + shift + 1])) AS n_equal
+      FROM h JOIN d USING (doc_id) JOIN b USING (item_id)),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id
+                                   ORDER BY n_equal DESC, n_compared) AS k
+      FROM c WHERE n_equal >= least({decontaminate.MIN_WORDS}, n)
+               AND n_equal >= {decontaminate.MIN_OVERLAP} * n_compared)
+SELECT doc_id, item_id, CAST(n_equal AS BIGINT) AS n_equal, CAST(n_compared AS BIGINT) AS n_compared
+FROM r WHERE k = 1"""
+
+
+ORACLE["op5_benchmark_decontamination"] = _op5_sql()
