@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import decontaminate, language, packing, simhash
+from tidepool.llm import decontaminate, language, licenses, packing, quality_rules, simhash
 from tidepool.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,55 @@ ORACLE["op5_benchmark_decontamination"] = _op5_sql()
 @query
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "n_lines", "host_failed")
+
+
+def _op2_sql() -> str:
+    low, high = quality_rules.PRIOR_STRENGTH
+    rules = quality_rules.RULES
+    fails = ", ".join(f"sum(CAST(({c}) AS INT)) AS {r}" for r, c in rules.items())
+    prior = ", ".join(f"sum({r}) / sum(n) AS {r}_m, sum({r} * ({r} / n)) / sum(n) - "
+                      f"(sum({r}) / sum(n)) ** 2 AS {r}_v" for r in rules)
+    weight = {r: f"CASE WHEN {r}_v > 0 THEN least({high}, greatest({low}, "
+                 f"{r}_m * (1 - {r}_m) / {r}_v - 1)) ELSE {high} END" for r in rules}
+    rates = ", ".join(f"({r} + {r}_m * {w}) / (n + {w})" for r, w in weight.items())
+    base = " OR ".join(f"({c})" for c in quality_rules.BASE_RULES.values())
+    return f"""
+WITH t AS (SELECT doc_id, source, coalesce(text, '') AS x,
+                  list_filter(string_split_regex(coalesce(text, ''), '{quality_rules.BLANKS}'),
+                              lambda w: w <> '') AS w,
+                  list_filter(string_split(coalesce(text, ''), chr(10)),
+                              lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS l
+           FROM documents),
+p AS (SELECT doc_id, p, array_to_string(w[p:p + 4], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS p FROM t)),
+r AS (SELECT doc_id, count(DISTINCT q) AS n_repeat_words
+      FROM (SELECT doc_id, unnest(range(p, p + 5)) AS q
+            FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS k FROM p) WHERE k > 1)
+      GROUP BY doc_id),
+c AS (SELECT doc_id, source, CAST(len(w) AS BIGINT) AS n_words,
+             CAST(coalesce(list_sum(list_transform(w, lambda y: length(y))), 0) AS BIGINT) AS word_chars,
+             CAST(length(x) - length(regexp_replace(x, '{quality_rules.SYMBOLS}', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+             CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, CAST(len(l) AS BIGINT) AS n_lines
+      FROM t LEFT JOIN r USING (doc_id)),
+h AS (SELECT source, count(*) AS n, {fails} FROM c WHERE source IS NOT NULL GROUP BY source),
+v AS (SELECT source, greatest({rates}) > {quality_rules.HOST_LIMIT} AS failed
+      FROM h, (SELECT {prior} FROM h))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ({base}) AS base_failed,
+       NOT ({base}) AND NOT coalesce(failed, false) AS kept, n_lines, coalesce(failed, false) AS host_failed
+FROM c LEFT JOIN v USING (source)"""
+
+
+ORACLE["op2_quality_rules"] = _op2_sql()
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
