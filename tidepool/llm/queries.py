@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import decontaminate, language, licenses, packing, quality_rules, simhash
+from tidepool.llm import (decontaminate, language, licenses, line_dedup, packing, quality_rules,
+                          simhash)
 from tidepool.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +133,10 @@ ORACLE["op2_quality_rules"] = _op2_sql()
 @query
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduplicated(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", "removed_lines",
+        F.xxhash64("text").alias("kept_text_hash"))
