@@ -119,11 +119,13 @@ def template_matches(files: DataFrame, idf: dict[str, float]) -> DataFrame:
     posted = sorted({w for _, t, _ in TEMPLATES
                      for w in sorted(set(t.split()), key=lambda x: (-idf[x], x))[:POSTED]})
     rare = files.where(F.exists("hits", lambda h: h["word"].isin(posted)))
-    near = F.transform("hits", lambda h, j: F.struct(
+    own = F.filter(F.transform("hits", lambda h, j: F.struct(
+        h["pos"].alias("pos"), h["word"].alias("word"), j.alias("j"))),
+        lambda h: h["word"].isin(posted))
+    around = F.transform(own, lambda h: F.struct(
         h["pos"].alias("pos"), h["word"].alias("word"),
-        F.slice("hits", F.greatest(j + 1 - _LONGEST, F.lit(1)), F.lit(2 * _LONGEST)).alias("near")))
-    hit = rare.select("doc_id", "th", F.explode(
-        F.filter(near, lambda h: h["word"].isin(posted))).alias("h"))
+        F.slice("hits", F.greatest(h["j"] + 1 - _LONGEST, F.lit(1)), F.lit(2 * _LONGEST)).alias("near")))
+    hit = rare.select("doc_id", "th", F.explode(around).alias("h"))
     met = hit.join(F.broadcast(index), F.col("h.word") == F.col("posted"))
     met = met.withColumn("from", F.col("h.pos") - F.col("at"))
     placed = F.filter(F.sequence(F.lit(0), F.size("notice") - 1), lambda i: F.exists(
