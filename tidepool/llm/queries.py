@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import (decontaminate, language, licenses, line_dedup, packing, quality_rules,
-                          simhash)
+from tidepool.llm import (decontaminate, language, licenses, line_dedup, packing, paragraphs,
+                          quality_rules, simhash)
 from tidepool.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +140,9 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduplicated(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_removed", "removed_lines",
         F.xxhash64("text").alias("kept_text_hash"))
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "n", "cluster_id", "first_doc_id", "first_start", "removed")
