@@ -124,20 +124,26 @@ def fit(texts: list[str], labels: list[int]) -> Model:
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, most: int, chars: int) -> DataFrame:
     """(text, label) of at most ``most`` labelled documents that are not held out, those
-    with the smallest id hashes, a stretch of at most ``chars`` characters of each."""
+    with the smallest id hashes, a stretch of at most ``chars`` characters of each. An id
+    with contradicting labels counts as 1, one with several texts by the smallest."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    marks = labels.select(F.col("doc_id").cast("long").alias("id"), F.col(label).cast("int").alias("label"))
+    marks = marks.where("label IN (0, 1)").where(~held_out(F.col("id"), 5, 0))
+    marks = marks.groupBy("id").agg(F.max("label").alias("label"))
+    picked = marks.join(ids, F.col("id") == F.col("doc_id"), "left_semi").orderBy(
+        F.xxhash64("id", F.lit("label fit")), "id").limit(most)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marks = labels.select(F.col("doc_id").cast("long").alias("i"), F.col(label).cast("int").alias("label"))
-    rows = rows.where(~held_out(F.col("doc_id"), 5, 0)).join(
-        marks.where("label IN (0, 1)").distinct(), F.col("doc_id") == F.col("i"))
     stretch = F.expr(f"substring(coalesce(text, ''), CAST(1 + pmod(xxhash64(doc_id), greatest("
                      f"coalesce(char_length(text), 0) - {chars}, 0) + 1) AS INT), {chars})")
-    picked = rows.select(F.xxhash64("doc_id", F.lit("label fit")).alias("key"),
-                         stretch.alias("text"), "label")
-    return picked.orderBy("key", "text", "label").limit(most)
+    # at most ``most`` ids are broadcast, so only the sample's texts move
+    found = rows.join(F.broadcast(picked), F.col("doc_id") == F.col("id")).select(
+        "id", "label", stretch.alias("text"))
+    return found.groupBy("id", "label").agg(F.min("text").alias("text")).select("text", "label")
 
 
 def fit_from_labels(docs: DataFrame, labels: DataFrame) -> Model:
     rows = labelled(docs, labels, "quality", TRAIN_DOCS, TRAIN_CHARS).collect()
+    rows.sort(key=lambda r: (zlib.crc32(r["text"].encode()), r["text"]))
     return fit([r["text"] for r in rows], [r["label"] for r in rows])
 
 
