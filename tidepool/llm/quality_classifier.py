@@ -70,26 +70,39 @@ class Model:
         self.logit, self.bias = logit, bias
 
     def scorer(self):
-        words: dict[str, float] = {}
+        """A function of a text; word and n-gram scores are remembered between texts."""
+        grams = _Memory(lambda g: float(self.logit[zlib.crc32(g.encode()) % BUCKETS]))
 
-        def value(w: str) -> float:
-            v = words.get(w)
-            if v is None:
-                if len(words) >= CACHE_WORDS:
-                    words.clear()
-                v = words[w] = float(self.logit[word_features(w)].mean())
-            return v
+        def word_score(word: str) -> float:
+            w = f"<{word}>"
+            parts = [w] + [w[i:i + n] for n in NGRAMS for i in range(len(w) - n + 1)]
+            return sum(map(grams.__getitem__, parts)) / len(parts)
+        words = _Memory(word_score)
 
         def score(text: str) -> float:
             ws = text.split()
             marks = repeats(ws)
             total = len(ws) + sum(n for _, n in marks)
-            z = sum(map(value, ws)) + sum(float(self.logit[b]) * n for b, n in marks)
+            z = sum(map(words.__getitem__, ws)) + sum(float(self.logit[b]) * n for b, n in marks)
             z = z / max(1, total) + self.bias
             return 1.0 / (1.0 + math.exp(-max(-50.0, min(50.0, z))))
         return score
 
 
+class _Memory(dict):
+    """Values of a function, forgotten all at once beyond ``CACHE_WORDS``."""
+
+    def __init__(self, function):
+        super().__init__()
+        self.function = function
+
+    def __missing__(self, key):
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        value = self[key] = self.function(key)
+        return value
+
+
 def fit(texts: list[str], labels: list[int]) -> Model:
     """Adaptive-rate SGD, one document a step; without documents of both labels the score
     is the share of label 1 (one half without any)."""
