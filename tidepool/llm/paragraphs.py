@@ -185,13 +185,12 @@ def _crowd_links(crowd: DataFrame, sets: DataFrame) -> DataFrame:
     order = Window.partitionBy("h").orderBy("df", "x")
     prefix = (each.join(df, "x").withColumn("k", F.row_number().over(order))
               .where(F.col("k") <= F.col("m") - F.ceil(THRESHOLD * F.col("m")) + 1))
-    prefix = durable(prefix.select("h", "settled", "m", "x"), "prefixes")
+    prefix = durable(prefix.select("h", "settled", "x").join(own.select("h", "s"), "h"), "prefixes")
     p, q = prefix.alias("p"), prefix.alias("q")
-    pairs = p.join(q, (F.col("p.x") == F.col("q.x")) & (F.col("p.h") != F.col("q.h"))
-                   & ~F.col("p.settled") & (F.col("q.settled") | (F.col("p.h") < F.col("q.h")))
-                   & (F.least("p.m", "q.m") >= THRESHOLD * F.greatest("p.m", "q.m")))
-    rest = pairs.select(F.col("p.h").alias("a"), F.col("q.h").alias("b")).distinct()
-    return star.unionByName(_links(rest, sets))
+    rest = p.join(q, (F.col("p.x") == F.col("q.x")) & (F.col("p.h") != F.col("q.h"))
+                  & ~F.col("p.settled") & (F.col("q.settled") | (F.col("p.h") < F.col("q.h")))
+                  & _similar("p.s", "q.s"))
+    return star.unionByName(rest.select(F.col("p.h").alias("a"), F.col("q.h").alias("b")).distinct())
 
 
 def paragraph_links(docs: DataFrame, parts: DataFrame) -> DataFrame:
