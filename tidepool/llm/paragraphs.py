@@ -196,11 +196,11 @@ def _crowd_links(crowd: DataFrame, sets: DataFrame) -> DataFrame:
 def paragraph_links(docs: DataFrame, parts: DataFrame) -> DataFrame:
     """Edges (a, b) between content hashes of different paragraphs at the threshold."""
     bands = [c for c in parts.columns if c.startswith("k")]
-    rows = parts.select("h", F.explode(F.array(*bands)).alias("key"))
-    met = rows.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"))
-    met = durable(met.where("low != high").select(F.col("key").alias("k")), "colliding")
-    members = rows.join(met, rows["key"] == met["k"], "left_semi").distinct()
-    members = members.withColumn("size", F.count("*").over(Window.partitionBy("key")))
+    # equal paragraphs are one row before the bands are shuffled, so that a key's rows are
+    # different paragraphs
+    once = parts.groupBy("h").agg(*[F.first(c).alias(c) for c in bands])
+    members = once.select("h", F.explode(F.array(*bands)).alias("key")).withColumn(
+        "size", F.count("*").over(Window.partitionBy("key"))).where("size > 1")
     members = durable(members, "buckets")
     place = F.min(F.struct("doc_id", "th", "start", "n")).alias("place")
     wanted = members.select(F.col("h").alias("w")).distinct()
