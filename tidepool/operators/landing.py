@@ -52,19 +52,19 @@ def flatten_items(responses: DataFrame, payload: str, keep: Sequence[str],
 
 
 def page_cutoff(pages: DataFrame, slice_cols: Sequence[str], page: str, n_items: str,
-                declared_pages: str, max_pages: int = API_MAX_PAGES,
+                declared_pages: str, max_pages: int | None = None,
                 status: str | None = None) -> DataFrame:
     """L3: the pages a page-by-page fetch visits: up to the first empty page
     (exclusive; a page that never landed counts as empty), the page at which the
     response's declared page count ends (inclusive; declared 0 or missing means page 0
-    only) and the page cap. With ``status``, a non-200 page is visited and ends the
+    only) and, if one is given, the page cap. With ``status``, a non-200 page is visited and ends the
     range (what follows it is decided by :func:`source_fallback`). Input: one row per
     (slice, page).
 
-    Pages are capped first, so the end search runs over at most ``max_pages`` rows per
-    slice; the per-slice end is then joined back on the slice."""
+    The end search runs over page numbers only (one narrow row per page); the per-slice
+    end is then joined back on the slice."""
     s = _cols(slice_cols)
-    capped = pages.filter(F.col(page) < max_pages)
+    capped = pages if max_pages is None else pages.filter(F.col(page) < max_pages)
     w = Window.partitionBy(*s).orderBy(page)
     expected = F.row_number().over(w) - 1
     bad = (F.col(status) != 200) if status else F.lit(False)
@@ -110,14 +110,14 @@ def first_seen(df: DataFrame, slice_cols: Sequence[str], key: str,
 
 
 def cutoff_new(cards: DataFrame, slice_cols: Sequence[str], key: str, page: str,
-               pos: str, max_pages: int = HTML_MAX_PAGES) -> DataFrame:
+               pos: str, max_pages: int | None = None) -> DataFrame:
     """First-seen cards (L9) on pages before the first page that has no cards or
-    no *new* keys, and below the page cap.
+    no *new* keys and, if one is given, below the page cap.
 
-    Per-page counts are aggregated first; the stop search then runs over at most
-    ``max_pages`` rows per slice, and the stop page is joined back on the slice."""
+    Per-page counts are aggregated first; the stop search then runs over one narrow row
+    per page, and the stop page is joined back on the slice."""
     s = _cols(slice_cols)
-    capped = cards.filter(F.col(page) < max_pages)
+    capped = cards if max_pages is None else cards.filter(F.col(page) < max_pages)
     fresh = first_seen(capped, s, key, [page, pos])
     per_page = (capped.groupBy(*s, page).agg(F.count(F.lit(1)).alias("_n"))
                 .join(fresh.groupBy(*s, page).agg(F.count(F.lit(1)).alias("_new")),

@@ -75,7 +75,7 @@ def qa_all(html: Column, markers: Sequence[str]) -> Column:
 
 # ---------------------------------------------------------------- API path
 
-def api_rows(api: DataFrame, max_pages: int = L.API_MAX_PAGES) -> DataFrame:
+def api_rows(api: DataFrame, max_pages: int | None = None) -> DataFrame:
     v = F.try_parse_json(F.col("body"))
     pages = api.select(*SLICE, "page_num", "status", "body",
                        F.coalesce(F.size(F.try_variant_get(v, "$.items", "array<variant>")),
@@ -138,7 +138,7 @@ DETAIL_OUT = ("detail_status", "detail_url", "detail_requested_url", "detail_err
               *DETAIL_FIELDS, "description", "skills")
 
 
-def html_rows(search: DataFrame, detail: DataFrame, max_pages: int = L.HTML_MAX_PAGES,
+def html_rows(search: DataFrame, detail: DataFrame, max_pages: int | None = None,
               detail_cap: int = L.DETAIL_MAX_PER_SLICE, fetch_details: bool = True) -> DataFrame:
     c = cards(search)
     fresh = L.cutoff_new(c, SLICE, "vacancy_id", "page_num", "pos", max_pages)

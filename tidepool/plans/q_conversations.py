@@ -33,18 +33,17 @@ WITH p AS (SELECT c.conv_id, c.turn, c.role,
            FROM conversations c JOIN (SELECT conv_id, count(*) FILTER (WHERE role = 'user') AS declared
                                       FROM conversations GROUP BY conv_id) d USING (conv_id)),
 c AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS expected
-      FROM p WHERE turn < 4),
+      FROM p),
 s AS (SELECT conv_id, min(CASE WHEN n_items = 0 THEN turn WHEN turn <> expected THEN expected END) AS fe
       FROM c GROUP BY conv_id)
 SELECT c.conv_id, c.turn, c.role, CAST(c.n_items AS INTEGER) AS n_items FROM c JOIN s USING (conv_id)
 WHERE (s.fe IS NULL OR c.turn < s.fe) AND c.turn <= greatest(coalesce(c.declared, 0) - 1, 0)""")
 def l3_page_cutoff_api(spark, sf):
-    kept = L.page_cutoff(api_pages(spark, sf), ["conv_id"], "turn", "n_items", "declared",
-                         max_pages=4)
+    kept = L.page_cutoff(api_pages(spark, sf), ["conv_id"], "turn", "n_items", "declared")
     return kept.select("conv_id", "turn", "role", "n_items")
 
 
-STATUS_SQL = "CASE WHEN role = 'system' THEN 403 WHEN length(text) < 40 THEN 500 ELSE 200 END"
+STATUS_SQL = "CASE WHEN role = 'system' THEN 403 WHEN turn % 5 = 4 THEN 500 ELSE 200 END"
 
 
 @query("l4_source_fallback", f"""
@@ -77,23 +76,22 @@ def l9_first_seen_dedup(spark, sf):
 
 
 def word_cards(spark: SparkSession, sf: str) -> DataFrame:
-    """Cards = the words of each turn's first line, with their position."""
+    """Cards = the blank-separated words of each whole turn, with their position."""
     c = conv(spark, sf)
-    first_line = F.split_part(F.col("text"), F.lit("\n"), F.lit(1))
-    return c.select("conv_id", "turn", F.posexplode(F.split(first_line, " ")).alias("pos", "word"))
+    return c.select("conv_id", "turn", F.posexplode(F.split("text", " ")).alias("pos", "word"))
 
 
 CARDS_SQL = """cards AS (SELECT conv_id, turn, CAST(i - 1 AS INTEGER) AS pos, w[i] AS word FROM (
-    SELECT conv_id, turn, string_split(split_part(text, chr(10), 1), ' ') AS w,
-           generate_subscripts(string_split(split_part(text, chr(10), 1), ' '), 1) AS i
+    SELECT conv_id, turn, string_split(text, ' ') AS w,
+           generate_subscripts(string_split(text, ' '), 1) AS i
     FROM conversations))"""
 FRESH_SQL = """fresh AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, word
-           ORDER BY turn, pos) AS rn FROM cards WHERE turn < 5) WHERE rn = 1)"""
+           ORDER BY turn, pos) AS rn FROM cards) WHERE rn = 1)"""
 
 
 @query("l10_page_cutoff_html", f"""
 WITH {CARDS_SQL}, {FRESH_SQL},
-pp AS (SELECT conv_id, turn, count(*) AS n FROM cards WHERE turn < 5 GROUP BY conv_id, turn),
+pp AS (SELECT conv_id, turn, count(*) AS n FROM cards GROUP BY conv_id, turn),
 pn AS (SELECT conv_id, turn, count(*) AS n_new FROM fresh GROUP BY conv_id, turn),
 g AS (SELECT pp.conv_id, pp.turn, pn.n_new,
              row_number() OVER (PARTITION BY pp.conv_id ORDER BY pp.turn) - 1 AS expected
@@ -104,12 +102,12 @@ st AS (SELECT conv_id, min(CASE WHEN n_new IS NULL OR n_new = 0 THEN turn
 SELECT f.conv_id, f.word, f.turn, f.pos FROM fresh f JOIN st USING (conv_id)
 WHERE st.stop IS NULL OR f.turn < st.stop""")
 def l10_page_cutoff_html(spark, sf):
-    kept = L.cutoff_new(word_cards(spark, sf), ["conv_id"], "word", "turn", "pos", max_pages=5)
+    kept = L.cutoff_new(word_cards(spark, sf), ["conv_id"], "word", "turn", "pos")
     return kept.select("conv_id", "word", "turn", "pos")
 
 
 @query("l15_detail_cap", f"""
-WITH {CARDS_SQL}, {FRESH_SQL.replace('WHERE turn < 5', '')},
+WITH {CARDS_SQL}, {FRESH_SQL},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, pos) AS r FROM fresh)
 SELECT conv_id, word, turn, pos,
        CASE WHEN r <= 3 THEN CASE WHEN length(word) > 3 THEN 'ok' ELSE 'http_404' END
@@ -123,22 +121,22 @@ def l15_detail_cap(spark, sf):
     return out.select("conv_id", "word", "turn", "pos", "detail_status")
 
 
-URL_SQL = ("concat('https://example.com/', CASE WHEN length(text) % 7 = 0 "
+URL_SQL = ("concat('https://example.com/', CASE WHEN conv_id % 7 = 0 "
            "THEN 'account/captcha' ELSE 'c' END, '/', conv_id)")
 
 
 @query("l16_detail_status", f"""
 SELECT conv_id, turn,
   CASE WHEN role = 'system' THEN 'error'
-       WHEN length(text) < 60 THEN 'http_404'
+       WHEN turn % 6 = 5 THEN 'http_404'
        WHEN contains({URL_SQL}, '/account/captcha') OR contains({URL_SQL}, 'captcha')
-            OR contains(lower(split_part(text, chr(10), 1)), 'не робот') THEN 'captcha'
+            OR contains(lower(text), 'не робот') THEN 'captcha'
        ELSE 'ok' END AS detail_status
 FROM conversations""")
 def l16_detail_status(spark, sf):
     c = conv(spark, sf)
     err = F.when(F.col("role") == "system", F.col("text"))
-    status = F.when(F.length("text") < 60, 404).otherwise(200)
-    title = F.split_part(F.col("text"), F.lit("\n"), F.lit(1))
+    status = F.when(F.col("turn") % 6 == 5, 404).otherwise(200)
+    title = F.col("text")
     return c.select("conv_id", "turn",
                     L.detail_status(err, status, title, F.expr(URL_SQL)).alias("detail_status"))

@@ -47,21 +47,21 @@ D_PAYLOAD = """
 CASE d.lang
   WHEN 'en' THEN CAST(json_object(
       'source_mode', 'html_fallback', 'detail_status', st,
-      'detail_title', split_part(fl, '.', 1), 'title', d.source,
+      'detail_title', split_part(d.text, '.', 1), 'title', d.source,
       'url', concat('https://example.com/doc/', d.doc_id), 'employer', d.source,
-      'description', d.text, 'skills', string_split(fl, ' '), 'card_text', fl,
+      'description', d.text, 'skills', string_split(d.text, ' '), 'card_text', d.text,
       'experience_card', d.lang, 'work_format_card', '') AS VARCHAR)
   WHEN 'fr' THEN CAST(json_object(
       'source_mode', 'html_fallback', 'detail_status', st, 'title', '',
-      'name', split_part(fl, ' ', 1), 'employer', d.n_chars,
-      'skills', split_part(fl, ' ', 2),
-      'salary', concat(CAST(d.n_chars AS VARCHAR), ' EUR'), 'address', d.source) AS VARCHAR)
+      'name', split_part(d.text, ' ', 1), 'employer', d.n_chars,
+      'skills', split_part(d.text, ' ', 2),
+      'salary', concat(CAST(d.n_chars AS VARCHAR), ' EUR'), 'address', d.source, 'description', d.text) AS VARCHAR)
   WHEN 'es' THEN CAST(json_object(
-      'name', split_part(fl, '.', 1), 'employer', json_object('name', d.source),
+      'name', split_part(d.text, '.', 1), 'employer', json_object('name', d.source),
       'salary', json_object('from', d.n_chars, 'to', d.n_chars * 1.5, 'currency', 'EUR'),
       'alternate_url', concat('https://example.com/api/', d.doc_id),
-      'skills', [d.source, d.lang, d.source]) AS VARCHAR)
-  ELSE CASE WHEN d.n_chars < 1000 THEN concat('not json ', d.source)
+      'skills', [d.source, d.lang, d.source], 'description', d.text) AS VARCHAR)
+  ELSE CASE WHEN d.doc_id % 7 = 0 THEN concat('not json ', d.text)
             ELSE CAST(json_object('source_mode', 'mystery', 'title', d.source,
                                   'description', d.text,
                                   'skills', [d.lang, NULL, '']) AS VARCHAR) END
@@ -72,7 +72,7 @@ QUALITY_ST = ("CASE WHEN l.quality = 1 THEN 'ok' WHEN l.toxic = 1 THEN 'captcha'
 STG_FIELDS = ",\n  ".join(f"{d_unify(paths)} AS {out}" for out, paths in P.STAGING_SPEC.items())
 
 STG = f"""p AS (SELECT d.doc_id, d.lang, d.source, d.n_chars, {D_PAYLOAD} AS raw_json
-  FROM (SELECT *, split_part(text, chr(10), 1) AS fl FROM documents) d
+  FROM documents d
   LEFT JOIN (SELECT doc_id, {QUALITY_ST} AS st FROM labels l) l ON l.doc_id = d.doc_id),
 pj AS (SELECT *, CASE WHEN json_valid(raw_json) THEN CAST(raw_json AS JSON) END AS j FROM p),
 s0 AS (SELECT doc_id, lang, source, n_chars,

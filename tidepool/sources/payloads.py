@@ -21,21 +21,21 @@ PAYLOAD_SQL = """
 CASE d.lang
   WHEN 'en' THEN to_json(named_struct(
       'source_mode', 'html_fallback', 'detail_status', st,
-      'detail_title', split_part(fl, '.', 1), 'title', d.source,
+      'detail_title', split_part(d.text, '.', 1), 'title', d.source,
       'url', concat('https://example.com/doc/', d.doc_id), 'employer', d.source,
-      'description', d.text, 'skills', split(fl, ' '), 'card_text', fl,
+      'description', d.text, 'skills', split(d.text, ' '), 'card_text', d.text,
       'experience_card', d.lang, 'work_format_card', ''))
   WHEN 'fr' THEN to_json(named_struct(
       'source_mode', 'html_fallback', 'detail_status', st, 'title', '',
-      'name', split_part(fl, ' ', 1), 'employer', d.n_chars,
-      'skills', split_part(fl, ' ', 2),
-      'salary', concat(CAST(d.n_chars AS STRING), ' EUR'), 'address', d.source))
+      'name', split_part(d.text, ' ', 1), 'employer', d.n_chars,
+      'skills', split_part(d.text, ' ', 2),
+      'salary', concat(CAST(d.n_chars AS STRING), ' EUR'), 'address', d.source, 'description', d.text))
   WHEN 'es' THEN to_json(named_struct(
-      'name', split_part(fl, '.', 1), 'employer', named_struct('name', d.source),
+      'name', split_part(d.text, '.', 1), 'employer', named_struct('name', d.source),
       'salary', named_struct('from', d.n_chars, 'to', d.n_chars * 1.5, 'currency', 'EUR'),
       'alternate_url', concat('https://example.com/api/', d.doc_id),
-      'skills', array(d.source, d.lang, d.source)))
-  ELSE CASE WHEN d.n_chars < 1000 THEN concat('not json ', d.source)
+      'skills', array(d.source, d.lang, d.source), 'description', d.text))
+  ELSE CASE WHEN d.doc_id % 7 = 0 THEN concat('not json ', d.text)
             ELSE to_json(named_struct('source_mode', 'mystery', 'title', d.source,
                                       'description', d.text,
                                       'skills', array(d.lang, NULL, ''))) END
@@ -48,7 +48,6 @@ def document_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = read_table(spark, sf_dir, "labels").alias("l")
     j = d.join(l, F.col("d.doc_id") == F.col("l.doc_id"), "left")
     j = j.select("d.doc_id", "d.lang", "d.source", "d.n_chars", "d.text", "l.quality", "l.toxic")
-    j = j.select("*", F.expr(DETAIL_STATUS_SQL.replace("l.", "")).alias("st"),
-                 F.split_part(F.col("text"), F.lit("\n"), F.lit(1)).alias("fl"))
+    j = j.select("*", F.expr(DETAIL_STATUS_SQL.replace("l.", "")).alias("st"))
     payload = F.expr(PAYLOAD_SQL.replace("d.", "").replace("l.", ""))
     return j.select("doc_id", "lang", "source", "n_chars", payload.alias("raw_json"))
