@@ -20,7 +20,7 @@ def test_w1_w2_j1_agree(spark):
     cols = list(Q.SILVER_COLS)
     w1 = silver.best_row(cr, Q.KEYS, Q.LINEITEM_ORDER, cols).select(*Q.KEYS, *cols)
     w2 = silver.best_row_fused(cr, Q.KEYS, Q.LINEITEM_ORDER, cols, Q.SETS).select(*Q.KEYS, *cols)
-    w2d = silver.best_row_fused(cr, Q.KEYS, Q.LINEITEM_ORDER, cols, Q.SETS, domains=Q.DOMAINS)
+    w2d = silver.best_row_fused(cr, Q.KEYS, Q.LINEITEM_ORDER, cols, Q.SETS)
     j1 = silver.best_with_matches(cr, Q.KEYS, Q.LINEITEM_ORDER, cols, Q.SETS)
     assert rows(w1) == rows(w2)
     pick = [*Q.KEYS, *cols, "matched_roles", "matched_areas", "matched_rows"]

@@ -29,7 +29,7 @@ def test_best_row_variants_agree(spark, rows):
             want[r[0]] = ((r[1], r[2], r[3], r[5]), r[5])
     w1 = {r["k"]: r["n"] for r in silver.best_row(df, ["k"], order).collect()}
     w2 = {r["k"]: (r["n"], r["m"], r["c"]) for r in silver.best_row_fused(
-        df, ["k"], order, ["n"], {"m": "s"}, "c", domains={"s": ["a", "b"]}).collect()}
+        df, ["k"], order, ["n"], {"m": "s"}, "c").collect()}
     assert w1 == {k: v[1] for k, v in want.items()}
     for k, (n, m, c) in w2.items():
         assert n == want[k][1]

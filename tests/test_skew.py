@@ -39,8 +39,7 @@ def hot_input(spark, n=60_000, parts=8):
 
 def test_fused_best_row_combines_hot_key_map_side(spark):
     df = hot_input(spark)
-    out = silver.best_row_fused(df, ["k"], ["q", "n"], ["n"], {"m": "s"}, "c",
-                                domains={"s": ["a", "b"]})
+    out = silver.best_row_fused(df, ["k"], ["q", "n"], ["n"], {"m": "s"}, "c")
     rows = {r["k"]: r for r in out.collect()}
     assert rows[-1]["c"] == 20_000 and rows[-1]["n"] == 59_982   # q = 6 is max, then n
     partial = [v["numOutputRows"] for name, desc, v in nodes(out)

@@ -64,43 +64,26 @@ def arg_extreme(order: Sequence[str], cols: Sequence[str], largest: bool = True)
     return F.max(s) if largest else F.min(s)
 
 
-def set_aggregates(sets: Mapping[str, str],
-                   domains: Mapping[str, Sequence[str]] | None = None) -> tuple[list, dict]:
-    """Aggregates for sorted distinct-value arrays. With a known value domain (the
-    slice grid) each value becomes a ``max(col = v)`` flag (plain hash aggregation
-    with code generation); otherwise ``collect_set``. Returns the aggregate list and
-    the output expressions by name."""
-    aggs, outs = [], {}
-    for out, src in sets.items():
-        dom = sorted((domains or {}).get(src, ()))
-        if dom:
-            names = [f"_{out}_{i}" for i in range(len(dom))]
-            aggs += [F.max(F.col(src) == F.lit(v)).alias(n) for n, v in zip(names, dom)]
-            arr = F.array(*[F.when(F.col(n), F.lit(v)) for n, v in zip(names, dom)])
-            outs[out] = F.filter(arr, lambda x: x.isNotNull())
-        else:
-            aggs.append(F.array_sort(F.collect_set(src)).alias(out))
-            outs[out] = F.col(out)
-    return aggs, outs
+def set_aggregates(sets: Mapping[str, str]) -> list:
+    """Aggregates for sorted distinct-value arrays; every value that occurs is kept."""
+    return [F.array_sort(F.collect_set(src)).alias(out) for out, src in sets.items()]
 
 
 def best_row_fused(df: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER,
                    cols: Sequence[str] | None = None, sets: Mapping[str, str] = SETS,
-                   count_alias: str = "matched_rows",
-                   domains: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+                   count_alias: str = "matched_rows") -> DataFrame:
     """W1 and A1 in one aggregate (one exchange).
 
     The best row is ``max(struct(order..., cols...))`` (:func:`arg_extreme`), the same
     row ``ORDER BY order DESC`` ranks first. Every aggregate is partial: a map task
-    keeps one candidate struct, one flag or set entry per slice value and one counter
-    per key, so skewed keys are combined before the shuffle. Pass ``domains`` (the
-    slice grid's values) to keep the whole aggregate on hash aggregation. Keep very
-    wide columns out of ``cols`` when keys rarely repeat; then W1 moves less data.
+    keeps one candidate struct, one set entry per slice value and one counter per key, so
+    skewed keys are combined before the shuffle. The set aggregate makes it an object hash
+    aggregate, which does not sort its input. Keep very wide columns out of ``cols`` when
+    keys rarely repeat; then W1 moves less data.
     """
     cols = [c for c in (cols if cols is not None else df.columns) if c not in keys]
-    set_aggs, set_outs = set_aggregates(sets, domains)
-    aggs = [arg_extreme(order, cols).alias("_best"), *set_aggs,
+    aggs = [arg_extreme(order, cols).alias("_best"), *set_aggregates(sets),
             F.count(F.lit(1)).alias(count_alias)]
     return (df.groupBy(*keys).agg(*aggs)
             .select(*keys, *[F.col("_best")[c].alias(c) for c in cols],
-                    *[e.alias(n) for n, e in set_outs.items()], count_alias))
+                    *sets, count_alias))

@@ -47,7 +47,7 @@ def silver_layer(stg: DataFrame, roles: Sequence[str] = ROLES,
     rows = snapshots.keep_complete(stg, complete)
     cols = [c for c in rows.columns if c not in (*SILVER_DROP, "snapshot_id", "vacancy_id")]
     return S.best_row_fused(rows, ("snapshot_id", "vacancy_id"), SILVER_ORDER,
-                            cols=[*cols], domains={"search_text": roles, "search_area": areas})
+                            cols=[*cols])
 
 
 def gold_layer(silver: DataFrame, roles: Sequence[str] = ROLES,
