@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidepool.operators import metrics as M
@@ -45,6 +46,52 @@ def test_incremental_silver(spark):
     assert got["v1"]["matched_areas"] == ["msk", "remote", "spb"]
 
 
+def _silver(spark, root):
+    return {(r["snapshot_id"], r["vacancy_id"]): r["matched_rows"]
+            for r in spark.read.parquet(f"{root}/silver").collect()}
+
+
+def _run(spark, root, build=bronze_stream.default_silver):
+    q = bronze_stream.start_incremental(spark, f"{root}/landing", f"{root}/bronze",
+                                        f"{root}/silver", f"{root}/ckpt", build=build)
+    q.awaitTermination()
+
+
+def _at(df, when):
+    return df.withColumn("ingested_at", F.lit(when).cast("timestamp"))
+
+
+def test_straddling_snapshot_survives_a_later_one(spark):
+    root = tempfile.mkdtemp(prefix="tp-straddle-")
+    grid = [(r, a) for r in ("dev", "ops") for a in ("msk", "spb", "remote")]
+    _at(landed(spark, "s1", grid[:3], 1), "2024-01-31 23:00:00").write.parquet(f"{root}/landing/b1")
+    _at(landed(spark, "s1", grid[3:], 1), "2024-02-01 01:00:00").write.parquet(f"{root}/landing/b2")
+    _run(spark, root)
+    assert _silver(spark, root) == {("s1", "v1"): 6, ("s1", "v2"): 6}
+    _at(landed(spark, "s2", grid, 1), "2024-02-10 01:00:00").write.parquet(f"{root}/landing/b3")
+    _run(spark, root)
+    assert _silver(spark, root) == {(s, v): 6 for s in ("s1", "s2") for v in ("v1", "v2")}
+    # a seventh slice makes s1 over-complete: it leaves silver, and its months stay readable
+    _at(landed(spark, "s1", [("sre", "msk")], 1), "2024-02-01 02:00:00").write.parquet(f"{root}/landing/b4")
+    _run(spark, root)
+    assert _silver(spark, root) == {("s2", "v1"): 6, ("s2", "v2"): 6}
+
+
+def test_failure_between_append_and_silver_is_made_good(spark):
+    root = tempfile.mkdtemp(prefix="tp-fail-")
+    grid = [(r, a) for r in ("dev", "ops") for a in ("msk", "spb", "remote")]
+    landed(spark, "s1", grid, 1).write.parquet(f"{root}/landing/b1")
+
+    def broken(rows):
+        raise RuntimeError("stop here")
+    with pytest.raises(Exception, match="stop here"):
+        _run(spark, root, broken)
+    assert B.read_bronze(spark, f"{root}/bronze").count() == 12
+    _run(spark, root)
+    assert B.read_bronze(spark, f"{root}/bronze").count() == 12
+    assert _silver(spark, root) == {("s1", "v1"): 6, ("s1", "v2"): 6}
+
+
 def test_sustained_stream_matches_batch(spark):
     root = tempfile.mkdtemp(prefix="tp-ms-")
     t0 = dt.datetime(2024, 1, 1)

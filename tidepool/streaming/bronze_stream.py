@@ -4,7 +4,7 @@ continuous).
 Landed files are read as a stream with the fixed bronze schema. Each micro-batch
 (``foreachBatch``) is appended to bronze retry-safely (rows whose key is already
 stored are dropped, so a replayed batch after a failure adds nothing), then silver is
-rebuilt only for the months the batch touched, with dynamic partition overwrite.
+rebuilt for the months that hold rows of a snapshot of the batch, partition by partition.
 The stream checkpoint records which files were processed; bronze and silver are
 plain Parquet tables.
 """
@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidepool.functions.payload import staging
@@ -26,16 +27,31 @@ from tidepool.sources import bronze as B
 RETRY_KEYS = ("snapshot_id", "search_text", "search_area", "vacancy_id")
 
 
+def _months(df: DataFrame) -> list:
+    return sorted(r[0] for r in df.select(B.PARTITION_COL).distinct().collect())
+
+
 def rebuild_silver(spark: SparkSession, bronze_path: str, silver_path: str,
-                   months: DataFrame, build: Callable[[DataFrame], DataFrame]) -> None:
-    """Recompute silver for the given months (one row per month) from bronze and
-    replace exactly those month partitions."""
+                   months: Sequence, build: Callable[[DataFrame], DataFrame]) -> None:
+    """Recompute silver for the given months from bronze and replace exactly those month
+    partitions, also those that become empty.
+
+    Every snapshot with a row in one of the months is judged and reduced on all of its
+    rows, whichever month they are in; of the result only the given months are written, and
+    each of their rows comes from such a snapshot. Month filters are literals, so other
+    partitions are not read."""
     b = B.read_bronze(spark, bronze_path, columns=[*B.BRONZE_COLUMNS, B.PARTITION_COL])
-    touched = b.join(bounded_broadcast(months.select(B.PARTITION_COL).distinct()),
-                     B.PARTITION_COL, "left_semi")
-    out = build(touched).withColumn(B.PARTITION_COL, month_key("ingested_at"))
-    B.write_layer(out, silver_path, [B.PARTITION_COL], ["snapshot_id", "vacancy_id"],
-                  dynamic=True)
+    months = list(months)
+    ids = bounded_broadcast(b.where(F.col(B.PARTITION_COL).isin(months))
+                            .select("snapshot_id").distinct())
+    narrow = B.read_bronze(spark, bronze_path, columns=["snapshot_id", B.PARTITION_COL])
+    span = _months(narrow.join(ids, "snapshot_id", "left_semi"))
+    rows = b.where(F.col(B.PARTITION_COL).isin(span)).join(ids, "snapshot_id", "left_semi")
+    out = build(rows).withColumn(B.PARTITION_COL, month_key("ingested_at"))
+    out = out.where(F.col(B.PARTITION_COL).isin(months)).checkpoint(eager=True)
+    for month in months:
+        B.write_layer(out.where(F.col(B.PARTITION_COL) == month).drop(B.PARTITION_COL),
+                      f"{silver_path}/{B.PARTITION_COL}={month}", sort=["snapshot_id", "vacancy_id"])
 
 
 def default_silver(bronze_rows: DataFrame) -> DataFrame:
@@ -65,16 +81,16 @@ def start_incremental(spark: SparkSession, landing_path: str, bronze_path: str,
             stored = B.read_bronze(spark, bronze_path, columns=list(keys))
             scope = bounded_broadcast(df.select("snapshot_id").distinct())
             fresh = B.anti_append(df, stored.join(scope, "snapshot_id", "left_semi"), keys)
-        fresh = fresh.checkpoint(eager=True)  # reused twice below; survives executor loss
-        if fresh.limit(1).count() == 0:
-            return
-        B.append_bronze(fresh, bronze_path, source=source)
-        # every month holding rows of a touched snapshot is rebuilt, so a snapshot that
-        # straddles a month boundary is judged on all of its rows
-        touched = bounded_broadcast(fresh.select("snapshot_id").distinct())
-        months = (B.read_bronze(spark, bronze_path, columns=["snapshot_id", B.PARTITION_COL])
-                  .join(touched, "snapshot_id", "left_semi").select(B.PARTITION_COL).distinct())
-        rebuild_silver(spark, bronze_path, silver_path, months, build)
+        fresh = fresh.checkpoint(eager=True)  # reused below; survives executor loss
+        if not fresh.isEmpty():
+            B.append_bronze(fresh, bronze_path, source=source)
+        # the snapshots of the whole micro-batch, not only its new rows: a batch that is
+        # replayed after failing between append and silver still rebuilds silver
+        touched = bounded_broadcast(df.select("snapshot_id").distinct())
+        months = _months(B.read_bronze(spark, bronze_path, columns=["snapshot_id", B.PARTITION_COL])
+                         .join(touched, "snapshot_id", "left_semi"))
+        if months:
+            rebuild_silver(spark, bronze_path, silver_path, months, build)
 
     writer = landed.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
