@@ -16,7 +16,8 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from tidepool.session import build_session
     s = build_session("local[8]", "tidepool-tests", shuffle_partitions=8,
-                      extra={"spark.driver.memory": "8g"})
+                      extra={"spark.driver.memory": "8g",
+                             "spark.tidepool.minInputPartitions": "8"})
     s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tp-test-ckpt-"))
     yield s
     s.stop()

@@ -5,12 +5,12 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from tests.conftest import SF01
 from tidepool.operators import silver
 from tidepool.plans import q_lineitem as Q
+from tidepool.plans.registry import QUERIES, load_all
 
-QUERIES = entry.queries()
+load_all()
 
 
 def plan(df) -> str:
@@ -23,11 +23,10 @@ def hash_exchanges(p: str) -> int:
 
 def test_fused_silver_is_one_hash_exchange(spark):
     cr = Q.complete_rows(spark, SF01)
-    p = plan(silver.best_row_fused(cr, Q.KEYS, Q.LINEITEM_ORDER, Q.SILVER_COLS, Q.SETS,
-                                   domains=Q.DOMAINS))
+    p = plan(silver.best_row_fused(cr, Q.KEYS, Q.LINEITEM_ORDER, Q.SILVER_COLS, Q.SETS))
     assert hash_exchanges(p) == 1
     assert "BroadcastHashJoin" in p and "LeftSemi" in p      # completeness gate, no shuffle
-    assert "ObjectHashAggregate" not in p                     # domain flags keep it declarative
+    assert "SortAggregate" not in p                           # wide rows are never sorted
 
 
 def test_window_best_row_limits_before_shuffle(spark):
@@ -69,11 +68,34 @@ def test_snapshot_filter_reaches_parquet_scan(spark):
     assert q.count() == 33
 
 
-def test_input_spreading_can_be_turned_off(spark):
+def test_input_spreading_is_off_unless_asked_for(spark):
     from tidepool.sources.tables import read_table
-    assert read_table(spark, SF01, "lineitem").rdd.getNumPartitions() == 8
-    spark.conf.set("spark.tidepool.minInputPartitions", "0")
+    key = "spark.tidepool.minInputPartitions"
+    asked = spark.conf.get(key)
+    assert read_table(spark, SF01, "lineitem").rdd.getNumPartitions() == int(asked) == 8
+    spark.conf.unset(key)
     try:
+        spark.conf.set(key, "0")
         assert read_table(spark, SF01, "lineitem").rdd.getNumPartitions() == 1
     finally:
-        spark.conf.unset("spark.tidepool.minInputPartitions")
+        spark.conf.set(key, asked)
+
+
+def test_one_snapshot_batch_is_written_by_many_tasks(spark):
+    import glob
+    import tempfile
+    from pyspark.sql import functions as F
+    from tidepool.sources import bronze as B
+    path = tempfile.mkdtemp(prefix="tp-append-") + "/bronze"
+    rows = spark.range(4000).select(
+        F.lit("2024-03-05 10:00:00").cast("timestamp").alias("ingested_at"),
+        F.lit("s1").alias("snapshot_id"), F.lit("dev").alias("search_text"),
+        F.lit("msk").alias("search_area"), F.lit(0).alias("page_num"),
+        F.col("id").cast("string").alias("vacancy_id"), F.lit("{}").alias("raw_json"))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        B.append_bronze(rows, path)
+    finally:
+        spark.conf.set(key, "true")
+    assert len(glob.glob(path + "/*/*.parquet")) == int(spark.conf.get("spark.sql.shuffle.partitions"))

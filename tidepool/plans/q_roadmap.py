@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidepool.operators import gold
 from tidepool.plans import q_lineitem as QL
 from tidepool.plans.registry import query
-from tidepool.session import bounded_broadcast
 from tidepool.sources.tables import read_table
 
 CHAIN = QL.w(*QL.CHAIN)
@@ -26,9 +26,28 @@ def r1_vacancies_latest(spark, sf):
     return QL.silver_out(gold.latest_per_key(s, "vacancy_id", ("ingested_at", "snapshot_id"), cols))
 
 
-# Rank accuracy of the quantile summary: exact below this many rows per group, a
-# bounded-memory approximation above it (an exact median would gather whole groups).
-MEDIAN_ACCURACY = 1_000_000
+
+def exact_median(df, keys: list[str], value: str, alias: str, width: float = 100.0):
+    """Lower median and row count per key, exact at any size.
+
+    Rows are counted per distinct value in each task first. Running totals are taken over
+    ranges of ``width`` (one narrow row each) to find the range that holds the median; only
+    the distinct values of that range are then ranked, so no task gets a whole group."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
+    counts = counts.withColumn("_b", F.floor(F.col(value) / width))
+    w = Window.partitionBy(*keys)
+    upto = w.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    ranges = (counts.groupBy(*keys, "_b").agg(F.sum("_c").alias("_r"))
+              .withColumn("_before", F.sum("_r").over(upto) - F.col("_r"))
+              .withColumn("n", F.sum("_r").over(w))
+              .withColumn("_half", F.ceil(F.col("n") / 2))
+              .where("_before < _half AND _half <= _before + _r"))
+    inside = counts.join(ranges.select(*keys, "_b", "_before", "_half", "n"), [*keys, "_b"])
+    total = w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    return (inside.withColumn("_t", F.col("_before") + F.sum("_c").over(total))
+            .where("_t >= _half").groupBy(*keys)
+            .agg(F.min(value).alias(alias), F.max("n").alias("n")))
+
 
 
 @query("r2_salary_by_role", CHAIN + """
@@ -41,9 +60,7 @@ def r2_salary_by_role(spark, sf):
     fanned = s.select(F.explode("matched_roles").alias("role"), "matched_areas",
                       "l_extendedprice")
     fanned = fanned.select("role", F.explode("matched_areas").alias("area"), "l_extendedprice")
-    return fanned.groupBy("role", "area").agg(
-        F.percentile_approx("l_extendedprice", 0.5, MEDIAN_ACCURACY).alias("median_price"),
-        F.count(F.lit(1)).alias("n"))
+    return exact_median(fanned, ["role", "area"], "l_extendedprice", "median_price")
 
 
 @query("r3_employer_top", CHAIN + """
@@ -67,24 +84,23 @@ def r3_employer_top(spark, sf):
     return gold.top_k(top, ["vacancies"], 10, ["employer"])
 
 
-@query("r4_keyword_skills", """
-WITH dict AS (SELECT DISTINCT skill FROM (
-                SELECT unnest(string_split_regex(lower(text), '[^a-z]+')) AS skill FROM benchmark)
-              WHERE length(skill) >= 8),
-words AS (SELECT DISTINCT doc_id, unnest(string_split_regex(lower(text), '[^a-z]+')) AS skill
+WORD_SEPARATOR = r"[^\p{L}]+"
+
+
+@query("r4_keyword_skills", f"""
+WITH dict AS (SELECT DISTINCT unnest(string_split_regex(lower(text), '{WORD_SEPARATOR}')) AS skill
+              FROM benchmark),
+words AS (SELECT DISTINCT doc_id, unnest(string_split_regex(lower(text), '{WORD_SEPARATOR}')) AS skill
           FROM documents)
 SELECT w.skill, count(*) AS docs FROM words w JOIN dict d ON d.skill = w.skill
-GROUP BY w.skill""")
+WHERE w.skill <> '' GROUP BY w.skill""")
 def r4_keyword_skills(spark, sf):
-    """Dictionary keywords (the words of 8+ letters in ``benchmark``) found in whole
-    document texts; documents per keyword. The dictionary is broadcast only under a
-    measured size bound, and (doc, word) pairs are made distinct map-side before the
-    join."""
-    vocab = (read_table(spark, sf, "benchmark")
-             .select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("skill"))
-             .filter(F.length("skill") >= 8).distinct())
-    words = (read_table(spark, sf, "documents")
-             .select("doc_id", F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("skill"))
+    """Dictionary keywords (every word of ``benchmark``) found in whole document texts;
+    documents per keyword. Words are made distinct within each document before they are
+    joined, so only counts are shuffled."""
+    def terms(text):
+        return F.array_distinct(F.split(F.lower(text), WORD_SEPARATOR))
+    vocab = (read_table(spark, sf, "benchmark").select(F.explode(terms("text")).alias("skill"))
              .filter(F.col("skill") != "").distinct())
-    hits = words.join(bounded_broadcast(vocab, 100_000), "skill")
-    return hits.groupBy("skill").agg(F.count(F.lit(1)).alias("docs"))
+    words = read_table(spark, sf, "documents").select(F.explode(terms("text")).alias("skill"))
+    return words.join(vocab, "skill").groupBy("skill").agg(F.count(F.lit(1)).alias("docs"))

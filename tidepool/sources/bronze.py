@@ -59,22 +59,24 @@ def with_defaults(df: DataFrame, source: str, ts: Column | None = None) -> DataF
 
 
 MAX_RECORDS_PER_FILE = 5_000_000
+# Columns that split a batch of one snapshot over tasks (those a table has).
+SPLIT_COLUMNS = ("search_text", "search_area", "vacancy_id", "employer_id")
 
 
 def append_bronze(df: DataFrame, path: str, source: str = "landing",
                   ts: Column | None = None, sort: Sequence[str] = ("snapshot_id",),
                   columns: Sequence[str] = BRONZE_COLUMNS) -> None:
     """Append rows under monthly partitions, sorted by snapshot inside each file
-    so snapshot filters skip row groups. Rows are range-partitioned on (month, sort
-    keys): each task holds a contiguous key range, so few files are written, and a
-    month holding most of the batch is still split over many tasks (a hash shuffle by
-    month would put it in one). Files are capped in size. The commit protocol makes a
+    so snapshot filters skip row groups. Rows are range-partitioned on (month, sort keys,
+    slice, key): a batch usually holds one month and one snapshot, and the slice and key
+    still split it over many tasks. Files are capped in size. The commit protocol makes a
     failed or retried task leave no partial files; a re-run of the whole batch is
     guarded by :func:`anti_append`."""
     out = with_defaults(df, source, ts)
     cols = [c for c in columns if c in out.columns] + [PARTITION_COL]
     keys = [PARTITION_COL, *sort]
-    (out.select(*cols).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    split = [c for c in SPLIT_COLUMNS if c in cols and c not in keys]
+    (out.select(*cols).repartitionByRange(*keys, *split).sortWithinPartitions(*keys)
      .write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
      .partitionBy(PARTITION_COL).parquet(path))
 

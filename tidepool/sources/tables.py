@@ -16,18 +16,12 @@ LINEITEM_ORDER = ("page_num", "l_quantity", "ingested_at", "l_extendedprice",
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Input parallelism floor: a scan that yields fewer splits than the session's
-    default parallelism (one small file with one row group) is spread round-robin, so
-    parsing and partial aggregation use every core. Large inputs already have more
-    splits than cores and are returned unchanged (no extra shuffle)."""
+    """Optional input parallelism floor (``spark.tidepool.minInputPartitions``, off by
+    default): a scan with fewer splits is spread round-robin. Meant for benches and tests
+    whose small tables have one row group; on real inputs it is only a shuffle."""
     spark = df.sparkSession
-    try:
-        default = spark.sparkContext.defaultParallelism
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - Spark Connect: no RDD view, leave the scan as is
-        return df
-    floor = int(spark.conf.get("spark.tidepool.minInputPartitions", str(default)))
-    return df.repartition(floor) if n < floor else df
+    floor = int(spark.conf.get("spark.tidepool.minInputPartitions", "0"))
+    return df.repartition(floor) if floor and df.rdd.getNumPartitions() < floor else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:
