@@ -5,6 +5,8 @@ slice; retried landing adds nothing."""
 import json
 import tempfile
 
+import pytest
+
 from tidepool.functions.payload import staging
 from tidepool.plans import ingest as I
 from tidepool.operators import landing as L
@@ -116,3 +118,22 @@ def test_detail_cap_limits_lookups(spark):
     rows = I.html_rows(search.filter("search_area = 'remote'"), detail, detail_cap=1)
     status = {r["vacancy_id"]: json.loads(r["raw_json"])["detail_status"] for r in rows.collect()}
     assert status == {"10": "ok", "11": "not_fetched_limit", "12": "not_fetched_limit"}
+
+
+def test_repeated_details_do_not_multiply_cards(spark):
+    api, search, detail, grid = frames(spark)
+    path = tempfile.mkdtemp(prefix="tp-ingest-") + "/bronze"
+    twice = detail.unionByName(detail).unionByName(detail)
+    I.run_ingest(spark, api, search, twice, path, grid, "snap-1").count()
+    rows = B.read_bronze(spark, path)
+    keys = ["snapshot_id", *I.SLICE, "vacancy_id"]
+    assert rows.count() == rows.select(*keys).distinct().count() == 10
+
+
+def test_blocked_slice_without_cards_fails(spark):
+    api, search, detail, grid = frames(spark)
+    path = tempfile.mkdtemp(prefix="tp-ingest-") + "/bronze"
+    with pytest.raises(RuntimeError, match="ops.*spb"):
+        I.run_ingest(spark, api, search.filter("search_area = 'remote'"), detail, path, grid, "s")
+    failed = L.failed_slices(I.api_rows(api), I.SLICE, "page_num", "status").collect()
+    assert [tuple(r) for r in failed] == [("ops", "msk", 0, 500)]

@@ -20,6 +20,7 @@ from tidepool.operators.silver import arg_extreme
 API_MAX_PAGES = 20
 HTML_MAX_PAGES = 5
 DETAIL_MAX_PER_SLICE = 100
+BLOCKED = (401, 403)         # API statuses that send a slice to the HTML pages
 CAPTCHA_URL_MARKERS = ("/account/captcha", "captcha")
 CAPTCHA_TITLE_MARKER = "не робот"
 
@@ -97,6 +98,32 @@ def source_fallback(api: DataFrame, html: DataFrame, slice_cols: Sequence[str],
     return kept.unionByName(fallback.select(*kept.columns))
 
 
+def first_bad_pages(api: DataFrame, slice_cols: Sequence[str] | str, page: str,
+                    status: str) -> DataFrame:
+    """Per slice the first page with a status other than 200, with that status; a page
+    landed twice counts by its smallest status."""
+    s = _cols(slice_cols)
+    bad = api.filter(F.col(status) != 200).groupBy(*s).agg(
+        F.min(F.struct(F.col(page).alias("page"), F.col(status).alias("status"))).alias("_b"))
+    return bad.select(*s, F.col("_b.page").alias(page), F.col("_b.status").alias(status))
+
+
+def failed_slices(api: DataFrame, slice_cols: Sequence[str] | str, page: str,
+                  status: str) -> DataFrame:
+    """L4: slices that fail, which get neither API nor HTML rows, with the page and status
+    that ended them."""
+    return first_bad_pages(api, slice_cols, page, status).filter(
+        ~F.col(status).isin(*BLOCKED))
+
+
+def empty_fallback_slices(api: DataFrame, html: DataFrame, slice_cols: Sequence[str] | str,
+                          page: str, status: str) -> DataFrame:
+    """Blocked slices whose HTML fallback gave no row."""
+    s = _cols(slice_cols)
+    blocked = first_bad_pages(api, s, page, status).filter(F.col(status).isin(*BLOCKED))
+    return blocked.select(*s).join(html.select(*s).distinct(), s, "left_anti")
+
+
 def first_seen(df: DataFrame, slice_cols: Sequence[str], key: str,
                order: Sequence[str]) -> DataFrame:
     """Within a slice keep the first occurrence of each key under ``order``

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tidepool.functions import html as H
 from tidepool.functions import text as X
 from tidepool.operators import landing as L
+from tidepool.operators.silver import arg_extreme
 from tidepool.sources import bronze as B
 
 SLICE = ("search_text", "search_area")
@@ -145,7 +146,12 @@ def html_rows(search: DataFrame, detail: DataFrame, max_pages: int | None = None
     fresh = fresh.withColumn("detail_requested_url",
                              X.canonical_url("url", SITE)).withColumn("source_mode",
                                                                       F.lit("html_fallback"))
-    d = details(detail)
+    # one landed answer per (slice, requested URL), a successful one first, so a detail
+    # that landed twice cannot multiply its card
+    rest = [x for x in detail.columns if x not in (*SLICE, "requested_url")]
+    once = detail.groupBy(*SLICE, "requested_url").agg(
+        arg_extreme(["status"], rest, largest=False).alias("_r"))
+    d = details(once.select(*SLICE, "requested_url", *[F.col("_r")[x].alias(x) for x in rest]))
     keyed = fresh.select(*SLICE, "vacancy_id", "detail_requested_url").join(
         d, [*SLICE, "detail_requested_url"], "left") \
         .withColumn("detail_status", F.coalesce("detail_status", F.lit("error")))
@@ -178,8 +184,9 @@ def run_ingest(spark: SparkSession, api: DataFrame, search: DataFrame, detail: D
                            F.col("item_json").alias("raw_json"))
     blocked = routed.filter(F.col("src") == "html").select(*SLICE).distinct()
     html_out = html_rows(search.join(blocked, list(SLICE), "left_semi"), detail)
-    if blocked.limit(1).count():
-        L.require_rows(html_out, "API blocked and the HTML fallback gave 0 rows")
+    html_out = html_out.checkpoint(eager=True)
+    for r in L.empty_fallback_slices(a, html_out, SLICE, "page_num", "status").limit(1).collect():
+        L.require_rows(html_out.limit(0), f"API blocked and the HTML fallback gave 0 rows: {r}")
     rows = L.stamp(api_out.unionByName(html_out), snapshot_id)
     keys = ["snapshot_id", *SLICE, "vacancy_id"]
     if bronze_exists is None:

@@ -66,6 +66,30 @@ def l4_source_fallback(spark, sf):
     return L.source_fallback(api, html, ["conv_id"], "turn", "status")
 
 
+FIRST_BAD = f"""a AS (SELECT conv_id, turn, role, {STATUS_SQL} AS status FROM conversations),
+bad AS (SELECT conv_id, min(turn) AS turn, arg_min(status, turn) AS status
+        FROM a WHERE status <> 200 GROUP BY conv_id)"""
+
+
+def api_status(spark: SparkSession, sf: str) -> DataFrame:
+    return conv(spark, sf).select("conv_id", "turn", "role", F.expr(STATUS_SQL).alias("status"))
+
+
+@query("l4_failed_slices", f"""
+WITH {FIRST_BAD} SELECT conv_id, turn, status FROM bad WHERE status NOT IN (401, 403)""")
+def l4_failed_slices(spark, sf):
+    return L.failed_slices(api_status(spark, sf), "conv_id", "turn", "status")
+
+
+@query("l19_empty_fallback_slices", f"""
+WITH {FIRST_BAD} SELECT conv_id FROM bad WHERE status IN (401, 403)
+AND conv_id NOT IN (SELECT conv_id FROM conversations WHERE role = 'assistant' AND turn > 2)""")
+def l19_empty_fallback_slices(spark, sf):
+    api = api_status(spark, sf)
+    html = api.filter("role = 'assistant' AND turn > 2")
+    return L.empty_fallback_slices(api, html, "conv_id", "turn", "status")
+
+
 @query("l9_first_seen_dedup", """
 SELECT conv_id, role, turn FROM (
   SELECT conv_id, role, turn, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS rn
