@@ -48,7 +48,7 @@ def resolve_url(c, base) -> Column:
     b = F.lit(base) if isinstance(base, str) else _c(base)
     origin = F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)", 1)
     scheme = F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1)
-    path = F.regexp_replace(F.substring(b, F.length(origin) + 1, 1 << 20), r"[?#].*$", "")
+    path = F.regexp_replace(F.substring(b, F.length(origin) + 1, F.length(b)), r"[?#].*$", "")
     directory = F.concat(origin, F.regexp_replace(path, r"[^/]*$", ""))
     return (F.when(c.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*://"), c)
             .when(c.startswith("//"), F.concat(scheme, F.lit(":"), c))

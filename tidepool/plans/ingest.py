@@ -45,7 +45,6 @@ DETAIL_FIELDS = {
 }
 DESCRIPTION = ("vacancy-description", "vacancy-description-text")
 SKILLS = ("skills-element", "bloko-tag__text", "vacancy-skill")
-CARD_TEXT_LIMIT, DESCRIPTION_LIMIT, ERROR_LIMIT = 2000, 20000, 500
 
 
 def qa_pattern(marker: str) -> str:
@@ -98,7 +97,7 @@ def cards(search: DataFrame) -> DataFrame:
     c = F.col("card")
     href = F.regexp_extract(c, r'^<a[^>]*href="([^"]*)"', 1)
     url = X.resolve_url(href, F.lit(SITE + "/"))
-    card_text = F.substring(H.clean_text(c), 1, CARD_TEXT_LIMIT)
+    card_text = H.clean_text(c)
     return parts.select(
         *SLICE, "page_num", "pos", "search_url",
         X.id_from_url(url).alias("vacancy_id"),
@@ -120,15 +119,14 @@ def details(detail: DataFrame) -> DataFrame:
     status = L.detail_status(F.col("error"), F.col("status"), title, F.col("final_url"))
     ok = status == "ok"
     fields = {n: F.when(ok, qa_text(h, m)) for n, m in DETAIL_FIELDS.items()}
-    err = (F.when(status == "error", F.substring("error", 1, ERROR_LIMIT))
-           .when(status == "captcha", F.substring(F.coalesce(F.nullif(title, F.lit("")),
-                                                             F.col("html")), 1, ERROR_LIMIT))
-           .when(status != "ok", F.substring("html", 1, ERROR_LIMIT)))
+    err = (F.when(status == "error", F.col("error"))
+           .when(status == "captcha", F.coalesce(F.nullif(title, F.lit("")), F.col("html")))
+           .when(status != "ok", F.col("html")))
     return detail.select(
         *SLICE, F.col("requested_url").alias("detail_requested_url"),
         status.alias("detail_status"), F.col("final_url").alias("detail_url"),
         err.alias("detail_error"), *[c.alias(n) for n, c in fields.items()],
-        F.when(ok, qa_text(h, DESCRIPTION, DESCRIPTION_LIMIT)).alias("description"),
+        F.when(ok, qa_text(h, DESCRIPTION)).alias("description"),
         F.when(ok, qa_all(h, SKILLS)).alias("skills"))
 
 

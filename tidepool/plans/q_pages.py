@@ -49,7 +49,7 @@ def l5_html_cards(spark, sf):
 @query("l6_html_fields", f"""
 SELECT page_id, coalesce({d_clean(d_elem('h1'))}, {d_clean(d_elem('title'))}) AS title,
        {d_clean(d_elem('title'))} AS head_title,
-       substring({d_clean(d_elem('article'))}, 1, 20000) AS description
+       {d_clean(d_elem('article'))} AS description
 FROM pages""")
 def l6_html_fields(spark, sf):
     p = read_table(spark, sf, "pages")
@@ -57,7 +57,7 @@ def l6_html_fields(spark, sf):
                     H.first_text("html", [H.element_pattern("h1"), H.element_pattern("title")])
                     .alias("title"),
                     H.first_text("html", [H.element_pattern("title")]).alias("head_title"),
-                    H.first_text("html", [H.element_pattern("article")], limit=20000)
+                    H.first_text("html", [H.element_pattern("article")])
                     .alias("description"))
 
 
