@@ -36,7 +36,7 @@ VOCABULARY = "byte_bpe_50k"     # name of a public tokenizer; its files stay whe
 SPECIAL = "<|endoftext|>"
 BATCH = 400                     # least served lengths tried per pricing round
 LEVELS = (1.0, 0.95, 0.9, 0.75, 0.5)
-RANK_GROUP = 2000               # pieces of one length ranked in one task, about
+RANK_GROUP = 500                # pieces of one length ranked in one task, about
 
 
 @lru_cache(1)
