@@ -145,6 +145,19 @@ def test_run_transform(spark):
         TR.run_transform(spark, f"{root}/bronze", f"{root}/silver2", f"{root}/gold2", "s2")
 
 
+def test_null_in_an_old_snapshot_fails_the_run(spark):
+    from tidepool.operators.quality import GateError
+    from tidepool.plans import transform as TR
+    root = tempfile.mkdtemp(prefix="tp-null-")
+    grid = [(r, a) for r in TR.ROLES for a in TR.AREAS]
+    old = landed(spark, "s0", grid, 0).drop("source").withColumn(
+        "vacancy_id", F.when(F.col("vacancy_id") != "v2", F.col("vacancy_id")))
+    B.append_bronze(old, f"{root}/bronze", source="landing")
+    B.append_bronze(landed(spark, "s1", grid, 1).drop("source"), f"{root}/bronze", source="landing")
+    with pytest.raises(GateError, match="not_null__vacancy_id"):
+        TR.run_transform(spark, f"{root}/bronze", f"{root}/silver", f"{root}/gold")
+
+
 def test_incremental_silver_snapshot_across_months(spark):
     root = tempfile.mkdtemp(prefix="tp-stream2-")
     grid = [(r, a) for r in ("dev", "ops") for a in ("msk", "spb", "remote")]

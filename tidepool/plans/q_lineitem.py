@@ -203,6 +203,19 @@ def a4_approx_distinct(spark, sf):
     return approx_verdict(per, "approx", "exact", 0.05)
 
 
+@query("d1_source_not_null", w(B) + """
+SELECT count(*) FILTER (WHERE ingested_at IS NULL) AS not_null__ingested_at,
+       count(*) FILTER (WHERE snapshot_id IS NULL) AS not_null__snapshot_id,
+       count(*) FILTER (WHERE search_text IS NULL) AS not_null__search_text,
+       count(*) FILTER (WHERE search_area IS NULL) AS not_null__search_area,
+       count(*) FILTER (WHERE vacancy_id IS NULL) AS not_null__vacancy_id,
+       count(*) FILTER (WHERE l_orderkey IS NULL) AS not_null__l_orderkey
+FROM b""")
+def d1_source_not_null(spark, sf):
+    """D1 on every row of the source: one count of failing rows per column."""
+    return quality.check_counts(bronze(spark, sf), ["ingested_at", "snapshot_id", "search_text", "search_area", "vacancy_id", "l_orderkey"])
+
+
 @query("a9_snapshot_stats", w(B, LATEST_COMPLETE) + """
 SELECT count(DISTINCT search_text || '|' || search_area) AS combos, count(*) AS rows,
        count(DISTINCT vacancy_id) AS unique_keys,
