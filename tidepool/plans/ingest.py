@@ -35,7 +35,7 @@ CARD_EMPLOYER = "vacancy-serp__vacancy-employer"
 CARD_SALARY = "vacancy-serp__vacancy-compensation"
 CARD_ADDRESS = "vacancy-serp__vacancy-address"
 DETAIL_FIELDS = {
-    "detail_title": ("vacancy-title", "<h1>"),
+    "detail_title": ("vacancy-title", "h1"),
     "detail_employer": ("vacancy-company-name",),
     "experience": ("vacancy-experience",),
     "employment": ("vacancy-view-employment-mode", "vacancy-view-employment"),
@@ -45,32 +45,20 @@ DETAIL_FIELDS = {
 }
 DESCRIPTION = ("vacancy-description", "vacancy-description-text")
 SKILLS = ("skills-element", "bloko-tag__text", "vacancy-skill")
+# Words that only a whole card (or the list around it) holds, and how many
+# elements outwards from its title link a card is looked for.
+CARD_WORDS = ("Откликнуться", "Вакансии")
+CARD_LEVELS = 8
 
 
-def qa_pattern(marker: str) -> str:
-    """Inner markup of the first element carrying ``data-qa="marker"`` ('<h1>' = the
-    first h1)."""
-    if marker == "<h1>":
-        return H.element_pattern("h1")
-    return rf'(?s)<([a-zA-Z0-9]+)[^>]*data-qa="{marker}"[^>]*>(.*?)</\1>'
+def qa(marker: str) -> str:
+    return marker if marker == "h1" else f"[data-qa={marker}]"
 
 
-def qa_text(html: Column, markers: Sequence[str], limit: int | None = None) -> Column:
-    """L6 with fallback selectors; group 2 holds the inner markup for data-qa patterns."""
-    outs = []
-    for m in markers:
-        group = 1 if m == "<h1>" else 2
-        outs.append(H.clean_text(F.regexp_extract(html, qa_pattern(m), group)))
-    out = F.coalesce(*outs)
-    return F.substring(out, 1, limit) if limit else out
-
-
-def qa_all(html: Column, markers: Sequence[str]) -> Column:
-    """Texts of every element of each selector, selectors in order, first occurrence
-    kept, empty texts dropped (L13)."""
-    arrays = [F.transform(F.regexp_extract_all(html, F.lit(qa_pattern(m)), 2),
-                          lambda x: F.coalesce(H.clean_text(x), F.lit(""))) for m in markers]
-    return X.ordered_distinct(F.concat(*arrays))
+def qa_all(markers: Sequence[str], found: str) -> Column:
+    """Texts of every element of each marker, markers in order, first occurrence kept,
+    empty texts dropped (L13)."""
+    return X.ordered_distinct(H.all_texts(found, [qa(m) for m in markers]))
 
 
 # ---------------------------------------------------------------- API path
@@ -88,46 +76,71 @@ def api_rows(api: DataFrame, max_pages: int | None = None) -> DataFrame:
 # ---------------------------------------------------------------- HTML path
 
 def cards(search: DataFrame) -> DataFrame:
-    """Each result page cut into cards at the title link; fields read inside the
-    card's own markup."""
-    marker = f'(?=<a[^>]*data-qa="{CARD_TITLE}")'
-    parts = search.select(*SLICE, "page_num", F.col("url").alias("search_url"),
-                          F.posexplode(F.split("html", marker)).alias("pos", "card"))
-    parts = parts.filter(F.col("card").rlike(f'^<a[^>]*data-qa="{CARD_TITLE}"'))
-    c = F.col("card")
-    href = F.regexp_extract(c, r'^<a[^>]*href="([^"]*)"', 1)
-    url = X.resolve_url(href, F.lit(SITE + "/"))
-    card_text = H.clean_text(c)
+    """One row per title link of a result page. Its card is the nearest element around
+    the link that holds an employer link or a card word, else the link's parent; fields are
+    read inside the card."""
+    title, employer = f"a[data-qa={CARD_TITLE}]", f"a[data-qa={CARD_EMPLOYER}]"
+    t = (H.with_tokens(search, "html").withColumn("_around", H.elements([title], enclosing=True))
+         .withColumn("_employers", _numbers(H.TAGS, lambda x: H.is_match(x, employer)))
+         .withColumn("_words", _numbers(H.PIECES, lambda x: x.rlike("|".join(CARD_WORDS)))))
+    links = F.filter("_around", lambda e: H.is_match(H.element_tag(e), title))
+
+    def root(link: Column) -> Column:
+        outwards = F.slice(F.reverse(F.filter("_around", lambda e: (
+            e["open"] <= link["open"]) & (e["close"] >= link["close"]))), 1, CARD_LEVELS + 1)
+        whole = F.filter(F.slice(outwards, 1, CARD_LEVELS), lambda e: (
+            F.exists("_employers", lambda i: (i > e["open"]) & (i < e["close"]))
+            | F.exists("_words", lambda i: (i > e["open"]) & (i <= e["close"]))))
+        return F.coalesce(F.get(whole, 0), F.get(outwards, 1), link)
+
+    found = F.transform(links, lambda x: F.struct(
+        H.attribute(H.element_tag(x), "href").alias("href"), H.element_text(x).alias("title"),
+        H.element_markup(root(x)).alias("markup")))
+    parts = t.select(*SLICE, "page_num", F.col("url").alias("search_url"),
+                     F.posexplode(found).alias("pos", "_card"))
+    parts = parts.select(*SLICE, "page_num", "search_url", "pos", "_card.*")
+    fields = [CARD_EMPLOYER, CARD_SALARY, CARD_ADDRESS]
+    parts = H.with_tokens(parts, "markup").withColumn("_found", H.elements([qa(m) for m in fields]))
+    url = X.resolve_url(F.col("href"), F.lit(SITE + "/"))
+    card_text = H.clean_text("markup")
     return parts.select(
         *SLICE, "page_num", "pos", "search_url",
         X.id_from_url(url).alias("vacancy_id"),
-        url.alias("url"),
-        H.clean_text(F.regexp_extract(c, r"^<a[^>]*>(.*?)</a>", 1)).alias("title"),
-        qa_text(c, [CARD_EMPLOYER]).alias("employer"),
-        qa_text(c, [CARD_SALARY]).alias("salary"),
-        qa_text(c, [CARD_ADDRESS]).alias("address"),
+        url.alias("url"), "title",
+        *[H.first_text("_found", [qa(m)]).alias(n)
+          for n, m in zip(("employer", "salary", "address"), fields)],
         card_text.alias("card_text"),
         X.first_match(card_text).alias("experience_card"),
         X.markers(card_text).alias("work_format_card"))
 
 
+def _numbers(items: str, cond) -> Column:
+    """Numbers (from 0) of the array's items for which ``cond`` holds."""
+    return F.array_compact(F.transform(items, lambda x, i: F.when(cond(x), i)))
+
+
 def details(detail: DataFrame) -> DataFrame:
     """L16 + L6 on landed detail pages, keyed by slice and the canonical URL that was
-    requested (each slice fetches its own details)."""
-    h = F.col("html")
-    title = F.coalesce(qa_text(h, ["<h1>"]), F.lit(""))
+    requested (each slice fetches its own details). Descriptions keep one line per text
+    piece."""
+    wanted = dict.fromkeys(("h1", *[m for ms in DETAIL_FIELDS.values() for m in ms],
+                            *DESCRIPTION, *SKILLS))
+    d = H.with_tokens(detail, "html").withColumn("_found", H.elements([qa(m) for m in wanted]))
+    d = d.withColumn("_title", F.coalesce(H.first_text("_found", ["h1"]), F.lit("")))
+    title = F.col("_title")
     status = L.detail_status(F.col("error"), F.col("status"), title, F.col("final_url"))
     ok = status == "ok"
-    fields = {n: F.when(ok, qa_text(h, m)) for n, m in DETAIL_FIELDS.items()}
+    fields = {n: F.when(ok, H.first_text("_found", [qa(m) for m in ms]))
+              for n, ms in DETAIL_FIELDS.items()}
     err = (F.when(status == "error", F.col("error"))
            .when(status == "captcha", F.coalesce(F.nullif(title, F.lit("")), F.col("html")))
            .when(status != "ok", F.col("html")))
-    return detail.select(
+    return d.select(
         *SLICE, F.col("requested_url").alias("detail_requested_url"),
         status.alias("detail_status"), F.col("final_url").alias("detail_url"),
         err.alias("detail_error"), *[c.alias(n) for n, c in fields.items()],
-        F.when(ok, qa_text(h, DESCRIPTION)).alias("description"),
-        F.when(ok, qa_all(h, SKILLS)).alias("skills"))
+        F.when(ok, H.first_text("_found", [qa(m) for m in DESCRIPTION], sep="\n")).alias("description"),
+        F.when(ok, qa_all(SKILLS, "_found")).alias("skills"))
 
 
 CARD_FIELDS = ("source_mode", "vacancy_id", "title", "url", "employer", "salary", "address",

@@ -10,22 +10,30 @@ from tidepool.functions import text as X
 from tidepool.plans.registry import query
 from tidepool.sources.tables import read_table
 
-ENT_SQL = "{X}"
-for _e, _c in H.ENTITIES:
-    _c_sql = _c.replace("'", "''")
-    ENT_SQL = f"replace({ENT_SQL}, '{_e}', '{_c_sql}')"
+def d_text(markup: str) -> str:
+    """Text of markup: what follows each '>' up to the next '<', references decoded."""
+    text = (f"array_to_string(list_transform(string_split({markup}, '<'), lambda x, k: "
+            "CASE WHEN k = 1 THEN x ELSE substr(x, strpos(x, '>') + 1) END), ' ')")
+    return (f"nullif(array_to_string(list_filter(string_split_regex({d_decoded(text)}, "
+            "'\\s+'), lambda x: x <> ''), ' '), '')")
 
 
-def d_clean(expr: str) -> str:
-    inner = ENT_SQL.replace("{X}", f"regexp_replace({expr}, '<[^>]+>', ' ', 'g')")
-    return f"nullif(trim(regexp_replace({inner}, '\\s+', ' ', 'g')), '')"
+def d_decoded(text: str) -> str:
+    for ref, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"),
+                    ("&nbsp;", " "), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&amp;", "&")):
+        text = f"replace({text}, '{ref}', '{ch}')"
+    return text
+
+
+def d_after(text: str, mark: str) -> str:
+    return f"substr({text}, strpos({text}, '{mark}') + {len(mark)})"
 
 
 def d_elem(tag: str) -> str:
-    return f"regexp_extract(html, '(?s)<{tag}(?:\\s[^>]*)?>(.*?)</{tag}>', 1)"
+    """Inner markup of the only element with this tag."""
+    return f"split_part({d_after(d_after('html', '<' + tag), '>')}, '</{tag}>', 1)"
 
 
-LINK = H.LINK_PATTERN.replace("'", "''")
 RESOLVE_SQL = """CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*://') THEN href
      WHEN starts_with(href, '//') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*):', 1) || ':' || href
      WHEN starts_with(href, '/') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)', 1) || href
@@ -33,12 +41,12 @@ RESOLVE_SQL = """CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*://') T
 
 
 @query("l5_html_cards", f"""
-SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, hrefs[i] AS href,
-       {d_clean('labels[i]')} AS card_text,
-       {RESOLVE_SQL.replace('href', 'hrefs[i]')} AS abs_url
-FROM (SELECT page_id, url, regexp_extract_all(html, '{LINK}', 1) AS hrefs,
-             regexp_extract_all(html, '{LINK}', 2) AS labels,
-             generate_subscripts(regexp_extract_all(html, '{LINK}', 1), 1) AS i FROM pages)""")
+WITH c AS (SELECT page_id, url, unnest(string_split(html, '<a ')[2:]) AS card,
+                  unnest(range(len(string_split(html, '<a ')) - 1)) AS i FROM pages),
+l AS (SELECT page_id, url, CAST(i AS INTEGER) AS pos,
+             {d_decoded("split_part(split_part(card, 'href=\"', 2), '\"', 1)")} AS href,
+             {d_text("split_part(" + d_after('card', '>') + ", '</a>', 1)")} AS card_text FROM c)
+SELECT page_id, pos, href, card_text, {RESOLVE_SQL} AS abs_url FROM l""")
 def l5_html_cards(spark, sf):
     pages = read_table(spark, sf, "pages")
     cards = H.extract_cards(pages, "html", ["page_id", "url"])
@@ -47,18 +55,16 @@ def l5_html_cards(spark, sf):
 
 
 @query("l6_html_fields", f"""
-SELECT page_id, coalesce({d_clean(d_elem('h1'))}, {d_clean(d_elem('title'))}) AS title,
-       {d_clean(d_elem('title'))} AS head_title,
-       {d_clean(d_elem('article'))} AS description
+SELECT page_id, coalesce({d_text(d_elem('h1'))}, {d_text(d_elem('title'))}) AS title,
+       {d_text(d_elem('title'))} AS head_title, {d_text(d_elem('article'))} AS description
 FROM pages""")
 def l6_html_fields(spark, sf):
-    p = read_table(spark, sf, "pages")
+    p = H.with_tokens(read_table(spark, sf, "pages").select("page_id", "html"), "html")
+    p = p.withColumn("_found", H.elements(["h1", "title", "article"]))
     return p.select("page_id",
-                    H.first_text("html", [H.element_pattern("h1"), H.element_pattern("title")])
-                    .alias("title"),
-                    H.first_text("html", [H.element_pattern("title")]).alias("head_title"),
-                    H.first_text("html", [H.element_pattern("article")])
-                    .alias("description"))
+                    H.first_text("_found", ["h1", "title"]).alias("title"),
+                    H.first_text("_found", ["title"]).alias("head_title"),
+                    H.first_text("_found", ["article"]).alias("description"))
 
 
 @query("l7_id_from_url", """
