@@ -92,25 +92,49 @@ def test_failure_between_append_and_silver_is_made_good(spark):
     assert _silver(spark, root) == {("s1", "v1"): 6, ("s1", "v2"): 6}
 
 
-def test_sustained_stream_matches_batch(spark):
+def _sustained(spark, batches, watermark):
+    """Samples landed batch by batch through the stream, and the batch form of all."""
+    schema = "series string, ts timestamp, cond boolean"
     root = tempfile.mkdtemp(prefix="tp-ms-")
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{root}/in/b{k}")
+        stream = spark.readStream.schema(schema).parquet(f"{root}/in/*")
+        out = metrics_stream.sustained_stream(stream, "series", "ts", "cond", 3 * 3600, 3600, watermark)
+        q = (out.writeStream.format("parquet").outputMode("append").option("path", f"{root}/out")
+             .option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start())
+        q.awaitTermination()
+    every = spark.createDataFrame([r for b in batches for r in b], schema)
+    batch = M.sustained(every, ["series"], "ts", "cond", 3 * 3600, 3600)
+    got = spark.read.parquet(f"{root}/out")
+    return [sorted((r["series"], r["ts"], r["cond"], r["island_start"], r["firing"])
+                   for r in df.filter("series != 'end'").collect()) for df in (got, batch)]
+
+
+def test_sustained_stream_matches_batch(spark):
     t0 = dt.datetime(2024, 1, 1)
     conds = [True, True, True, True, False, True, True, True, True, True]
     rows = [("a", t0 + dt.timedelta(hours=i), c) for i, c in enumerate(conds)]
     rows += [("b", t0 + dt.timedelta(hours=i), True) for i in (0, 1, 3, 4, 5, 6)]   # gap at 2
-    df = spark.createDataFrame(rows, "series string, ts timestamp, cond boolean")
-    df.write.parquet(f"{root}/in")
-    stream = spark.readStream.schema(df.schema).parquet(f"{root}/in")
-    out = metrics_stream.sustained_stream(stream, "series", "ts", "cond", 3 * 3600, 3600)
-    q = (out.writeStream.format("memory").queryName("sustained_out").outputMode("append")
-         .option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = {(r["series"], r["ts"]): r["firing"] for r in spark.table("sustained_out").collect()}
-    batch = M.sustained(df, ["series"], "ts", "cond", 3 * 3600, 3600)
-    want = {(r["series"], r["ts"]): r["firing"] for r in batch.collect()}
-    assert got == want
-    assert want[("a", t0 + dt.timedelta(hours=3))] and not want[("a", t0 + dt.timedelta(hours=7))]
-    assert want[("b", t0 + dt.timedelta(hours=6))] and not want[("b", t0 + dt.timedelta(hours=5))]
+    rows += [("end", t0 + dt.timedelta(days=2), True)]      # moves the watermark on
+    got, want = _sustained(spark, [rows], "2 hours")
+    assert got == want and len(got) == 16
+    firing = {(r[0], r[1]): r[4] for r in want}
+    assert firing[("a", t0 + dt.timedelta(hours=3))] and not firing[("a", t0 + dt.timedelta(hours=7))]
+    assert firing[("b", t0 + dt.timedelta(hours=6))] and not firing[("b", t0 + dt.timedelta(hours=5))]
+
+
+def test_sustained_stream_orders_late_samples(spark):
+    t0 = dt.datetime(2024, 1, 1)
+
+    def at(h, c, s="a"):
+        return (s, t0 + dt.timedelta(hours=h), c)
+    first = [at(0, True), at(1, True), at(3, True), at(0, True, "b")]
+    second = [at(2, False), at(5, True), at(4, True), at(6, True), at(1, True, "b"), at(3, True, "b")]
+    third = [at(2, True, "b"), at(7, True), at(48, True, "end")]
+    got, want = _sustained(spark, [first, second, third], "12 hours")
+    assert got == want and len(got) == 12
+    assert {r[1].hour: r[3] and r[3].hour for r in want if r[0] == "a"}[4] == 3
+    assert any(r[0] == "b" and r[4] for r in want)
 
 
 def test_windowed_counts(spark):
