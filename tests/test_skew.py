@@ -4,6 +4,7 @@ Checked on the SQL metrics of the executed plans."""
 from pyspark.sql import functions as F
 
 from tidepool.operators import gold, silver
+from tidepool.operators import landing as L
 from tidepool.operators import metrics as M
 
 
@@ -108,3 +109,33 @@ def test_completeness_hot_snapshot(spark):
     # (snapshot, slice) pairs are combined per task first: the hot snapshot's 20,000
     # rows become at most 6 per task
     assert min(partial) <= 1000 * 6 * 8 + 6 * 8
+
+
+def test_notifications_of_a_hot_group_shrink_to_their_times(spark):
+    """A third of all alert rows in one group-day: sessions see distinct times only."""
+    rows = spark.range(60_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 200).cast("string")).alias("alertname"),
+        F.lit("critical").alias("severity"), (F.col("id") % 1000).cast("string").alias("instance"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.floor(F.col("id") / 3) % 20 * 3600).alias("ts")).distinct()
+    out = M.notifications(rows, cadence_s=3600)
+    hot = out.filter("alertname = 'hot'").first()
+    assert hot["n_alerts"] == rows.filter("alertname = 'hot'").count()
+    assert hot["n_episodes"] == 1000 and hot["n_sessions"] == 20    # one per evaluation hour
+    out.collect()
+    partial = [v["numOutputRows"] for name, desc, v in nodes(out)
+               if "Aggregate" in name and v.get("numOutputRows")]
+    assert min(partial) <= 201 * 20
+
+
+def test_first_n_of_a_slice_over_many_tasks(spark):
+    cards = spark.range(30_000, numPartitions=200).select(
+        F.lit("hot").alias("slice"), F.col("id").cast("string").alias("key"),
+        (F.pmod(F.xxhash64("id"), F.lit(50))).cast("int").alias("page"), F.col("id").alias("pos"))
+    details = cards.select("slice", "key", F.lit("ok").alias("detail_status"))
+    out = L.cap_enrich(cards, details, ["slice"], "key", ["page", "pos"], n=7)
+    got = {r["key"] for r in out.filter("detail_status = 'ok'").collect()}
+    assert got == {r["key"] for r in cards.orderBy("page", "pos").limit(7).collect()}
+    limits = [v["numOutputRows"] for name, _, v in nodes(out) if name == "WindowGroupLimit"
+              and "numOutputRows" in v]
+    # 7 rows of each of 200 map tasks, then 7 of each share: all the last window sees
+    assert sorted(limits)[:2] == [7 * L.SHARES, 7 * 200]

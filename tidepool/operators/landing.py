@@ -20,6 +20,7 @@ from tidepool.operators.silver import arg_extreme
 API_MAX_PAGES = 20
 HTML_MAX_PAGES = 5
 DETAIL_MAX_PER_SLICE = 100
+SHARES = 64      # parts a hot slice is reduced in before its last window
 BLOCKED = (401, 403)         # API statuses that send a slice to the HTML pages
 CAPTCHA_URL_MARKERS = ("/account/captcha", "captcha")
 CAPTCHA_TITLE_MARKER = "не робот"
@@ -167,16 +168,21 @@ def cap_enrich(cards: DataFrame, details: DataFrame, slice_cols: Sequence[str],
     row; later cards get 'not_fetched_limit'; with the feature off all get
     'disabled'. A failed lookup still uses one of the ``n`` attempts.
 
-    ``row_number() <= n`` plans a partial WindowGroupLimit before the shuffle, so the
-    candidate set is at most n rows per slice per task even for a hot slice; the
-    flag is then joined back by key."""
+    The first ``n`` are found in two levels: by a partial WindowGroupLimit map tasks ship at
+    most n rows per slice, the rows of a share (a group of map tasks) are reduced to n, and
+    a slice's last window sees at most n rows of each of the ``SHARES`` shares, however
+    many tasks the slice is spread over. The flag is then joined back by key."""
     s = _cols(slice_cols)
     if not enabled:
         return cards.withColumn(status, F.lit("disabled"))
-    w = Window.partitionBy(*s).orderBy(*[F.col(c) for c in order])
-    chosen = (cards.select(*s, key, *[c for c in order if c not in (*s, key)])
-              .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
-              .select(*s, key, F.lit(True).alias("_fetch")))
+
+    def first_n(df: DataFrame, by: Sequence[str]) -> DataFrame:
+        w = Window.partitionBy(*by).orderBy(*[F.col(c) for c in order])
+        return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+
+    shares = (cards.select(*s, key, *[c for c in order if c not in (*s, key)])
+              .withColumn("_share", F.pmod(F.spark_partition_id(), F.lit(SHARES))))
+    chosen = first_n(first_n(shares, [*s, "_share"]), s).select(*s, key, F.lit(True).alias("_fetch"))
     d = details.withColumnRenamed(status, "_dstatus")
     out = (cards.join(chosen, [*s, key], "left").join(d, [*s, key], "left"))
     return out.withColumn(status, F.when(F.col("_fetch"), F.coalesce(F.col("_dstatus"),

@@ -64,9 +64,13 @@ def counter_rate(df: DataFrame, series: Sequence[str], ts: str, value: str,
     the per-second rate. A drop (counter reset) counts the new value as the increase.
     Only increases between two samples inside the range count (the first sample of
     the range is the baseline), so a range with fewer than two samples gives NULL;
-    edge extrapolation is not applied."""
+    edge extrapolation is not applied.
+
+    A task window holds one series' samples of a bucket and the range before it; the
+    bucket defaults to the range, the smallest that keeps a sample in two windows at most,
+    so a dense series is cut as finely as its own frames allow."""
     r_us = range_s * US
-    b_us = (bucket_s or max(4 * range_s, 3600)) * US
+    b_us = (bucket_s or range_s) * US
     d = _with_halo(df.withColumn("_t", epoch_us(ts)), "_t", b_us, r_us)
     part = [*series, "_part"]
     w_lag = Window.partitionBy(*part).orderBy("_t", *order)
@@ -224,8 +228,10 @@ def notifications(alerts: DataFrame, by: Sequence[str] = ("alertname", "severity
       the previous tick, and otherwise re-notifies once ``repeat_interval_s`` has
       passed since the last notification.
 
-    Episodes use the bucketed island logic of :func:`sustained`; sessions use a
-    bucketed prefix max, so no step puts a whole group or series in one task.
+    Episodes use the bucketed island logic of :func:`sustained`. Sessions depend on times
+    only: episodes of a group are reduced to distinct (start, end) times in every map task,
+    so the rows of a group and bucket are bounded by evaluation times, whatever the number
+    of instances, and starts are then walked with a bucketed prefix max.
     """
     by = list(by)
     keys = [*by, instance]
@@ -237,11 +243,14 @@ def notifications(alerts: DataFrame, by: Sequence[str] = ("alertname", "severity
                 .select(*keys, "_n", epoch_us("island_start").alias("_s"),
                         (epoch_us("_last") + F.lit(res_us)).alias("_e")))
     b_us = bucket_s * US
-    ep = prefix_max_before(episodes, by, "_s", [instance], "_e", b_us, "_prev_end")
-    ep = ep.withColumn("_new", F.col("_prev_end").isNull() | (F.col("_s") > F.col("_prev_end")))
-    ep = ep.withColumn("_sess_start", F.when(F.col("_new"), F.col("_s")))
-    ep = prefix_max_before(ep, by, "_s", [instance], "_sess_start", b_us, "_sess_prev")
-    ep = ep.withColumn("_sess", F.coalesce(F.col("_sess_start"), F.col("_sess_prev")))
+    spans = episodes.select(*by, "_s", "_e").distinct()
+    ep = prefix_max_before(spans.groupBy(*by, "_s").agg(F.max("_e").alias("_e")), by, "_s", [],
+                           "_e", b_us, "_prev_end")
+    ep = ep.withColumn("_sess_start", F.when(
+        F.col("_prev_end").isNull() | (F.col("_s") > F.col("_prev_end")), F.col("_s")))
+    ep = prefix_max_before(ep, by, "_s", [], "_sess_start", b_us, "_sess_prev")
+    ep = spans.join(ep.select(*by, "_s", F.coalesce("_sess_start", "_sess_prev").alias("_sess")),
+                    [*by, "_s"])
     # change events (episode start and resolution) -> flush tick index in the session
     iv = F.lit(group_interval_s * US)
     changes = ep.select(*by, "_sess", F.explode(F.array("_s", "_e")).alias("_ev"))

@@ -155,11 +155,18 @@ def t7_null_if_empty(spark, sf):
     return staged(spark, sf).select("doc_id", "title", "employment", "schedule_text")
 
 
-@query("t8_passthrough", """
-SELECT doc_id, lang, source, n_chars FROM documents""")
+@query("t8_passthrough", w("""
+SELECT doc_id, lang, source, n_chars, CASE WHEN starts_with(raw_json, 'not json ') THEN md5(raw_json) END AS raw_md5,
+       md5(CASE WHEN j IS NOT NULL THEN json_extract_string(j, '$.description') END) AS text_md5
+FROM pj"""))
 def t8_passthrough(spark, sf):
-    return P.staging(document_payloads(spark, sf), keep=["doc_id", "lang", "source", "n_chars"],
-                     keep_raw=False).select("doc_id", "lang", "source", "n_chars")
+    """Kept columns and the raw payload after staging: unparsable payloads byte for byte,
+    the others by the whole text in them (escapes differ between JSON writers)."""
+    s = P.staging(document_payloads(spark, sf), keep=["doc_id", "lang", "source", "n_chars"])
+    raw = F.col("raw_json")
+    return s.select("doc_id", "lang", "source", "n_chars",
+                    F.when(raw.startswith("not json "), F.md5(raw.cast("binary"))).alias("raw_md5"),
+                    F.md5(F.get_json_object(raw, "$.description").cast("binary")).alias("text_md5"))
 
 
 @query("t9_byte_length", w("""
@@ -177,7 +184,8 @@ def t9_byte_length(spark, sf):
 SELECT doc_id, CAST(len(string_split(text, ' ')) AS INTEGER) AS n_words FROM documents""")
 def t10_array_size(spark, sf):
     d = read_table(spark, sf, "documents")
-    return d.select("doc_id", F.size(F.split("text", " ")).alias("n_words"))
+    words = P.json_str_array(P.parse(F.to_json(F.struct(F.split("text", " ").alias("w")))), "$.w")
+    return d.select("doc_id", F.size(words).alias("n_words"))
 
 
 @query("t11_has_detail", w("SELECT doc_id, has_detail FROM stg"))

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.format import arr_text, ts_text
 from tidepool.operators import gold, quality, silver, snapshots
+from tidepool.plans.q_orders import scratch_path
 from tidepool.plans.registry import query
+from tidepool.sources.bronze import append_bronze, read_bronze
 from tidepool.sources.tables import LINEITEM_ORDER, lineitem_bronze, read_table
 
 SLICES = ("search_text", "search_area")
@@ -132,9 +134,17 @@ CHAIN = (B, COMPLETE, RANKED, MATCHED, SILVER)
 SELECT strftime(ingested_at, '%Y-%m-%d %H:%M:%S') AS ingested_at, snapshot_id, search_text,
        search_area, page_num, vacancy_id, l_orderkey, l_partkey FROM b""")
 def s1_bronze_scan(spark, sf):
+    """Rows landed in a bronze table and scanned again through its fixed schema."""
     b = bronze(spark, sf)
-    return b.select(ts_text("ingested_at").alias("ingested_at"), "snapshot_id", *SLICES,
-                    "page_num", "vacancy_id", "l_orderkey", "l_partkey")
+    payload = "l_orderkey long, l_partkey long"
+    path = scratch_path(spark, "bronze_lineitem")
+    append_bronze(b.select("ingested_at", "snapshot_id", *SLICES, "page_num",
+                           F.col("vacancy_id").cast("string"),
+                           F.to_json(F.struct("l_orderkey", "l_partkey")).alias("raw_json")),
+                  path, source="lineitem")
+    back = read_bronze(spark, path).withColumn("_p", F.from_json("raw_json", payload))
+    return back.select(ts_text("ingested_at").alias("ingested_at"), "snapshot_id", *SLICES,
+                       "page_num", F.col("vacancy_id").cast(b.schema["vacancy_id"].dataType), "_p.*")
 
 
 @query("f1_complete_snapshots", w(B) + """
