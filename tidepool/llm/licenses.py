@@ -108,7 +108,6 @@ def _index(spark: SparkSession, idf: dict[str, float]) -> DataFrame:
                     F.lit(w).alias("posted"), F.lit(i).alias("at"), F.lit(label).alias("label"),
                     F.array(*map(F.lit, parts)).alias("notice"),
                     F.array(*map(F.lit, weights)).alias("weights"),
-                    F.lit(sum(weights)).alias("total"),
                     F.lit(at).alias("key_from"), F.lit(at + len(key_parts)).alias("key_to")))
     return spark.range(1).select(F.inline(F.array(*rows)))
 
@@ -131,7 +130,8 @@ def template_matches(files: DataFrame, idf: dict[str, float]) -> DataFrame:
     placed = F.filter(F.sequence(F.lit(0), F.size("notice") - 1), lambda i: F.exists(
         "h.near", lambda x: (x["pos"] == F.col("from") + i) & (x["word"] == F.get("notice", i))))
     met = met.withColumn("placed", placed)
-    score = F.aggregate("placed", F.lit(0.0), lambda a, i: a + F.get("weights", i)) / F.col("total")
+    score = (F.aggregate("placed", F.lit(0.0), lambda a, i: a + F.get("weights", i))
+             / F.aggregate("weights", F.lit(0.0), lambda a, x: a + x))
     key = F.size(F.filter("placed", lambda i: (i >= F.col("key_from")) & (i < F.col("key_to"))))
     return (met.where(key == F.col("key_to") - F.col("key_from"))
             .select("doc_id", "th", "label", F.least(score, F.lit(1.0)).alias("score"))

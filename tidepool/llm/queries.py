@@ -135,6 +135,51 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def _op8_sql() -> str:
+    def words(phrase: str) -> str:
+        return "[" + ", ".join(f"'{x}'" for x in phrase.split()) + "]"
+    rows = []
+    for k, (label, notice, key) in enumerate(licenses.TEMPLATES):
+        at = len(notice[:f" {notice} ".index(f" {key} ")].split())
+        rows.append(f"({k}, '{label}', {words(notice)}, {at}, {at + len(key.split())})")
+    vocabulary = words(" ".join(licenses.VOCABULARY))
+    base = ", ".join(f"('{label}', {words(p)})" for p, label in licenses.BASE.items())
+    total = "list_reduce({}, lambda x, y: x + y)".format
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
+q AS (SELECT rid, w, unnest(range(len(w))) AS p FROM t),
+h AS (SELECT rid, p, w[p + 1] AS x FROM q WHERE list_contains({vocabulary}, w[p + 1])),
+v AS (SELECT x, ln(CAST((SELECT count(*) FROM t) + 1 AS DOUBLE) / (count(DISTINCT h.rid) + 1))
+             + CAST(1e-6 AS DOUBLE) AS idf
+      FROM (SELECT unnest({vocabulary}) AS x) LEFT JOIN h USING (x) GROUP BY x),
+n(tid, label, parts, kf, kt) AS (VALUES {", ".join(rows)}),
+u AS (SELECT tid, k, x, idf FROM (SELECT tid, k, parts[k + 1] AS x FROM (
+          SELECT tid, parts, unnest(range(len(parts))) AS k FROM n)) JOIN v USING (x)),
+ws AS (SELECT tid, list(idf ORDER BY k) AS weights FROM u GROUP BY tid),
+rare AS (SELECT tid, x FROM (SELECT tid, x, row_number() OVER (PARTITION BY tid ORDER BY idf DESC, x) AS r
+                             FROM (SELECT DISTINCT tid, x, idf FROM u)) WHERE r <= {licenses.POSTED}),
+c AS (SELECT DISTINCT rid, tid, h.p - k AS s FROM h JOIN u USING (x) JOIN rare USING (tid, x)),
+m AS (SELECT rid, label, weights, kf, kt, list_filter(range(len(parts)), lambda i:
+             s + i >= 0 AND w[s + i + 1] = parts[i + 1]) AS placed
+      FROM c JOIN t USING (rid) JOIN n USING (tid) JOIN ws USING (tid)),
+f AS (SELECT rid, list(DISTINCT label) AS found, max(score) AS best FROM (
+          SELECT rid, label, least({total("list_transform(placed, lambda i: weights[i + 1])")}
+                                   / {total("weights")}, 1.0) AS score
+          FROM m WHERE len(list_filter(placed, lambda i: i >= kf AND i < kt)) = kt - kf)
+      WHERE score >= {licenses.MIN_SCORE} GROUP BY rid),
+b AS (SELECT rid, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word,
+             list(DISTINCT label) AS own
+      FROM q, (VALUES {base}) o(label, phrase) WHERE w[p + 1:p + len(phrase)] = phrase GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(own), ','), '') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(own, []), coalesce(found, [])))), ',')
+           AS labels, coalesce(best, 0.0) AS score
+FROM t LEFT JOIN b USING (rid) LEFT JOIN f USING (rid)"""
+
+
+ORACLE["op8_license_scan"] = _op8_sql()
+
+
 @query
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduplicated(table(spark, sf_dir, "documents")).select(
