@@ -308,6 +308,14 @@ def test_line_dedup(spark):
     assert out[5]["text"] is None and out[6]["text"] == ""
 
 
+@pytest.mark.parametrize("holders", [11, 1000])
+def test_line_dedup_of_common_passages(spark, holders):
+    shared = ["a passage that many share", "", "and its second line"]
+    rows = [(i, "\n".join([f"first {i}", f"second {i}", *shared, f"last {i}"])) for i in range(holders)]
+    out = line_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["removed_lines"] for r in out} == {i: [2, 4] if i else [] for i in range(holders)}
+
+
 def passages(spark):
     rng = random.Random(11)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))

@@ -1,8 +1,8 @@
 """Line deduplication by pairwise alignment.
 
 Every line is owned by the earliest document that holds it. A later document is compared
-with the owners of those of its lines that are rare for it; the two are aligned line by
-line (patience diff) and the aligned common blocks are deleted from the later document.
+with the owners of all of its lines; the two are aligned line by line (patience diff) and
+the aligned common blocks are deleted from the later document.
 """
 
 from __future__ import annotations
@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 from tidepool.llm.common import P, documents, durable
 from tidepool.llm.quality_rules import let
 
-RARE = 10       # a line in at most so many documents is rare; so is one that occurs in no
-                # more documents than the median line of the document at hand
+PARTS = 256     # an owner's pairs are dealt over at most so many joins with its lines
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -70,15 +69,10 @@ def lines_of(docs: DataFrame) -> DataFrame:
         "doc_id", "th", F.inline(F.array_compact(lines)))
 
 
-def candidates(lines: DataFrame) -> DataFrame:
-    """(doc, owner) keys: documents with a rare line that an earlier document holds."""
-    per = lines.select("doc", "line").distinct()
-    spread = per.groupBy("line").agg(F.count("*").alias("df"), F.min("doc").alias("owner"))
-    per = durable(per.join(spread, "line"), "line-spread")
-    usual = per.groupBy("doc").agg(F.median("df").alias("usual"))
-    shared = per.where("owner != doc").join(usual, "doc")
-    return shared.where((F.col("df") <= RARE) | (F.col("df") <= F.col("usual"))).select(
-        "doc", "owner").distinct()
+def shared_lines(lines: DataFrame) -> DataFrame:
+    """(doc, idx, line, owner) of the lines that two or more documents hold."""
+    spread = lines.groupBy("line").agg(F.min("doc").alias("owner"), F.max("doc").alias("last"))
+    return lines.join(spread.where("owner != last").select("line", "owner"), "line")
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
@@ -91,15 +85,18 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     found = found.join(first, "th")
     copies = found.where("doc != copy_of").select("doc", "idx")
     lines = found.where("doc = copy_of").select("doc", "idx", "line")
-    pairs = durable(candidates(lines), "line-pairs")
-    used = pairs.select("doc").union(pairs.select(F.col("owner").alias("doc"))).distinct()
-    whole = durable(lines.join(used, "doc", "left_semi").groupBy("doc").agg(
+    # lines of one document only align with nothing, so bodies do without them
+    lines = durable(shared_lines(lines), "line-spread")
+    whole = durable(lines.groupBy("doc").agg(
         F.array_sort(F.collect_list(F.struct("idx", "line"))).alias("body")), "line-bodies")
+    pairs = lines.where("owner != doc").select("doc", "owner").distinct()
+    pairs = durable(pairs.withColumn("part", F.pmod(F.xxhash64("doc"), F.lit(PARTS))), "line-pairs")
     a = whole.select("doc", F.transform("body", lambda x: x["idx"]).alias("idx"),
                      F.transform("body", lambda x: x["line"]).alias("later"))
     b = whole.select(F.col("doc").alias("owner"),
                      F.transform("body", lambda x: x["line"]).alias("earlier"))
-    met = pairs.join(a, "doc").join(b, "owner").select(
+    b = b.join(pairs.select("owner", "part").distinct(), "owner")
+    met = pairs.join(a, "doc").join(b, ["owner", "part"]).select(
         "doc.doc_id", "doc.th", "idx", "later", "earlier")
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
