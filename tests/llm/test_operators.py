@@ -344,6 +344,17 @@ def test_passages_found_and_clean_documents_left(spark, monkeypatch):
     assert key(paragraphs.repeated_paragraphs(docs).collect()) == key(out)
 
 
+def test_families_joined_by_members_that_have_hubs(spark):
+    # 1-10, 10-11 and 11-2 share 18 of 22 shingles, no other pair reaches the threshold
+    at = {1: 0, 10: 2, 11: 4, 2: 6, 0: 100}
+    sets = spark.createDataFrame([(h, list(range(i, i + 20))) for h, i in at.items()],
+                                 "h long, s array<long>")
+    crowd = spark.createDataFrame([(1, 1), (1, 10), (2, 2), (2, 11), (3, 0), (3, 10), (3, 11)],
+                                  "key long, h long")
+    links = {(r["a"], r["b"]) for r in paragraphs._crowd_links(crowd, sets).collect()}
+    assert {tuple(sorted(e)) for e in links} == {(1, 10), (10, 11), (2, 11)}
+
+
 def test_paragraphs_by_brute_force(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents")
     words = {r["doc_id"]: r["text"].encode().lower().split() for r in docs.collect()}

@@ -169,28 +169,34 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _crowd_links(crowd: DataFrame, sets: DataFrame) -> DataFrame:
     """Links among the members (key, h) of crowded buckets without pairing whole buckets.
 
-    Every member is verified against its bucket's hub (the smallest hash); members linked
-    to it need no links among themselves. What concerns the others goes through a prefix
+    Every member is verified against its bucket's hub (the smallest hash); members that
+    these links connect need no links among themselves. All other pairs go through a prefix
     filter: two sets at the threshold share one of their first few shingles when shingles
-    are ordered by frequency, rarest first.
+    are ordered by frequency, rarest first. Of two connected families only pairs across
+    them are made.
     """
     hubs = crowd.groupBy("key").agg(F.min("h").alias("b"))
     star = crowd.join(hubs, "key").where("h != b").select(F.col("h").alias("a"), "b").distinct()
     star = durable(_links(star, sets), "hub-links")
-    settled = star.select(F.col("a").alias("h")).distinct().withColumn("settled", F.lit(True))
-    own = sets.join(crowd.select("h").distinct(), "h", "left_semi").join(settled, "h", "left")
-    each = own.select("h", F.coalesce("settled", F.lit(False)).alias("settled"),
-                      F.size("s").alias("m"), F.explode("s").alias("x"))
+    family = connected_components(star).select(F.col("node").alias("h"), F.col("root").alias("g"))
+    own = sets.join(crowd.select("h").distinct(), "h", "left_semi").join(family, "h", "left")
+    each = own.select("h", "g", F.size("s").alias("m"), F.explode("s").alias("x"))
     df = each.groupBy("x").agg(F.count("*").alias("df"))
     order = Window.partitionBy("h").orderBy("df", "x")
     prefix = (each.join(df, "x").withColumn("k", F.row_number().over(order))
               .where(F.col("k") <= F.col("m") - F.ceil(THRESHOLD * F.col("m")) + 1))
-    prefix = durable(prefix.select("h", "settled", "x").join(own.select("h", "s"), "h"), "prefixes")
+    prefix = durable(prefix.select("h", "g", "x").join(own.select("h", "s"), "h"), "prefixes")
     p, q = prefix.alias("p"), prefix.alias("q")
     rest = p.join(q, (F.col("p.x") == F.col("q.x")) & (F.col("p.h") != F.col("q.h"))
-                  & ~F.col("p.settled") & (F.col("q.settled") | (F.col("p.h") < F.col("q.h")))
+                  & F.col("p.g").isNull() & (F.col("q.g").isNotNull() | (F.col("p.h") < F.col("q.h")))
                   & _similar("p.s", "q.s"))
-    return star.unionByName(rest.select(F.col("p.h").alias("a"), F.col("q.h").alias("b")).distinct())
+    met = prefix.where("g IS NOT NULL").select("x", "g").distinct()
+    met = met.join(met.select("x", F.col("g").alias("other")), "x").where("g < other")
+    across = prefix.join(met, ["x", "g"]).alias("p").join(
+        q, (F.col("p.x") == F.col("q.x")) & (F.col("p.other") == F.col("q.g"))
+        & _similar("p.s", "q.s"))
+    ends = [F.col("p.h").alias("a"), F.col("q.h").alias("b")]
+    return star.unionByName(rest.select(*ends).unionByName(across.select(*ends)).distinct())
 
 
 def paragraph_links(docs: DataFrame, parts: DataFrame) -> DataFrame:
