@@ -179,6 +179,21 @@ def test_leaks_with_substitutions(spark):
     assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(1, 1), (2, 1), (4, 1), (6, 2)}
 
 
+def test_leaks_beyond_and_between_hits(spark):
+    w = [f"item{i}" for i in range(59)]
+    other = [f"other{i}" for i in range(59)]
+    # a 15-word item with two or three words changed, its hits 12 words apart at most
+    short = [f"short{i}" for i in range(15)]
+    changed = lambda *at: [other[i] if i in at else x for i, x in enumerate(short)]
+    docs = [(1, w[:25] + other[25:46] + w[46:]), (2, w[:5] + other[5:54] + w[54:]),
+            (3, ["x"] + changed(1, 13)), (4, changed(0, 1, 14) + ["y"]), (5, changed(0, 1, 2, 14))]
+    found = decontaminate.contaminated(
+        spark.createDataFrame([(k, " ".join(v)) for k, v in docs], "doc_id long, text string"),
+        spark.createDataFrame([(1, " ".join(w)), (2, " ".join(short))], "item_id long, text string"))
+    assert {tuple(r)[0:1] + tuple(r)[2:] for r in found.collect()} == {
+        (1, 1, 25, 25), (3, 2, 13, 15), (4, 2, 12, 12)}
+
+
 def test_seed_blocks_give_the_same(spark, monkeypatch):
     docs, bench = table(spark, SF01, "documents"), table(spark, SF01, "benchmark")
     want = sorted(map(tuple, decontaminate.contaminated(docs, bench).collect()))

@@ -2,8 +2,8 @@
 
 A seed is a window of ``SPAN`` words of which a fixed mask selects some; the others may
 differ. Windows of documents and benchmark items with equal hashes under a mask are hits;
-around each hit's diagonal the two texts are compared word by word, so a passage with
-substituted words is still found.
+the two texts are compared word by word along the whole diagonal of a hit, so a passage
+with substituted words is still found.
 """
 
 from __future__ import annotations
@@ -12,12 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import ascii_lower, documents, durable
+from tidepool.llm.quality_rules import let
 
 # Fixed masks (1: the word counts); each selects 8 or 9 of 12 words.
 MASKS = ("111011010111", "110110111011", "101111101101")
 SHORT_MASKS = ("11111",)    # for items shorter than the masks above
-MIN_WORDS = 13              # equal words a leak needs (fewer only if the item has fewer)
-MIN_OVERLAP = 0.75          # share of equal words from the first to the last hit
+MIN_WORDS = 13              # equal words a leak needs (short items: MIN_OVERLAP of theirs)
+MIN_OVERLAP = 0.75          # share of equal words in the stretch that leaks
 BLOCK_SEEDS = 1_000_000     # benchmark seeds broadcast at a time, 40 bytes each
 
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -50,7 +51,7 @@ def seeds(rows: DataFrame, w: str, keep: list[str], masks: tuple[str, ...]) -> D
 
 
 def _hits(docs: DataFrame, items: DataFrame, masks: tuple[str, ...]) -> list[DataFrame]:
-    """(doc_id, th, item, shift, first, last) per diagonal with a hit, one frame for each
+    """(doc_id, th, item, shift) per diagonal with a hit, one frame for each
     block of at most ``BLOCK_SEEDS`` benchmark seeds. Only such a block is broadcast."""
     index = durable(seeds(items, "w", ["item"], masks).select(
         "item", F.col("pos").alias("at"), F.col("seed").alias("key")), "benchmark-seeds")
@@ -63,18 +64,38 @@ def _hits(docs: DataFrame, items: DataFrame, masks: tuple[str, ...]) -> list[Dat
         block = index if blocks == 1 else index.where(
             F.pmod(F.xxhash64("key"), F.lit(blocks)) == k)
         met = probe.join(F.broadcast(block), probe["seed"] == block["key"])
-        out.append(met.groupBy("doc_id", "th", "item", (F.col("pos") - F.col("at")).alias("shift"))
-                   .agg(F.min("at").alias("first"), F.max("at").alias("last")))
+        out.append(met.select("doc_id", "th", "item", (F.col("pos") - F.col("at")).alias("shift"))
+                   .distinct())
     return out
 
 
+def _stretch(equal: Column) -> Column:
+    """(n_equal, less) of the stretch with the most equal words, ``MIN_OVERLAP`` of its words
+    or more, then the shortest; ``equal`` holds the sorted positions of equal words and
+    ``less`` is the negative length. Such a stretch starts where ``f``, the words equal so
+    far less their due, is lower than anywhere before."""
+    def longest(q: Column, f: Column) -> Column:
+        last = F.size(q) - 1
+        starts = F.filter(F.sequence(F.lit(0), last), lambda a: (a == 0) | (
+            F.get(f, a) < F.array_min(F.slice(f, 1, a))))
+        return F.array_max(F.transform(starts, lambda a: let(
+            F.array_max(F.filter(F.sequence(a, last),
+                                 lambda b: F.get(f, b) >= F.get(f, a) + (MIN_OVERLAP - 1))),
+            lambda b: F.struct((b - a + 1).cast("long").alias("n_equal"),
+                               (F.get(q, a) - F.get(q, b) - 1).cast("long").alias("less")))))
+    return F.when(F.size(equal) > 0, let(
+        F.transform(equal, lambda x, k: k - x * F.lit(MIN_OVERLAP)), lambda f: longest(equal, f)))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, th, item_id, n_equal, n_compared), one row per document and benchmark item
     it leaks.
 
-    Per diagonal the words from the first to the last hit are compared; a leak has at least
-    ``MIN_WORDS`` equal words (all of a shorter item) and ``MIN_OVERLAP`` of them equal; the
-    diagonal with the most equal words is reported, then the shorter one. Items of fewer
+    Per diagonal the stretch with the most equal words counts, among those of which
+    ``MIN_OVERLAP`` are equal; a leak has at least ``MIN_WORDS`` equal words (``MIN_OVERLAP``
+    of a shorter item's); the diagonal with the most equal words is reported, then the
+    shorter stretch. Substituted words may leave no seed whole: the README has the recall.
+    Items of fewer
     than twelve words must occur whole with every word equal; under five words they are no
     evidence and never match. Null or empty texts match nothing, ids may be null, repeated
     rows of a table count once, extra columns are ignored, empty tables give no rows.
@@ -90,15 +111,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         hits += _hits(docs, small, SHORT_MASKS)
     if not hits:
         hits = [docs.limit(0).select(
-            "doc_id", "th", F.lit(0).cast("long").alias("item"), F.lit(0).alias("shift"),
-            F.lit(0).alias("first"), F.lit(0).alias("last"))]
+            "doc_id", "th", F.lit(0).cast("long").alias("item"), F.lit(0).alias("shift"))]
     found = hits[0]
     for h in hits[1:]:
         found = found.unionByName(h)
-    found = durable(found.groupBy("doc_id", "th", "item", "shift").agg(
-        F.min("first").alias("first"), F.max("last").alias("last")), "seed-hits")
-    k = found.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "item", "shift",
-                     "first", "last")
+    found = durable(found.distinct(), "seed-hits")
+    k = found.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "item", "shift")
     texts = docs.join(k.select("d", "t").distinct(),
                       docs["doc_id"].eqNullSafe(F.col("d")) & (docs["th"] == F.col("t")), "left_semi")
     texts = texts.dropDuplicates(["doc_id", "th"]).select(
@@ -106,19 +124,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     met = (k.join(texts, F.col("d").eqNullSafe(texts["doc_id"]) & (F.col("t") == texts["th"]))
            .join(items, "item"))
     n = F.size("w")
-    span = F.when(n >= long_n, long_n).otherwise(short_n)
-    lo = F.when(n >= long_n, F.col("first")).otherwise(F.lit(0))
-    hi = F.when(n >= long_n, F.col("last") + span).otherwise(n)
-    met = met.select("doc_id", "th", "item", "item_id", "shift", "dw", "w", lo.alias("lo"), hi.alias("hi"))
-    equal = F.size(F.filter(F.sequence("lo", F.col("hi") - 1), lambda i: F.coalesce(
+    equal = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.coalesce(
         F.get("w", i) == F.when(i + F.col("shift") >= 0, F.get("dw", i + F.col("shift"))),
-        F.lit(False))))
-    met = met.select("doc_id", "th", "item", "item_id", F.size("w").alias("n"),
-                     equal.cast("long").alias("n_equal"),
-                     (F.col("hi") - F.col("lo")).cast("long").alias("n_compared"))
+        F.lit(False)))
+    met = met.select("doc_id", "th", "item", "item_id", n.alias("n"),
+                     let(equal, lambda q: F.when(n >= long_n, _stretch(q)).otherwise(F.struct(
+                         F.size(q).cast("long").alias("n_equal"),
+                         (-n).cast("long").alias("less")))).alias("s"))
+    met = met.select("doc_id", "th", "item", "item_id", "n", "s.n_equal", (-F.col("s.less")).alias("n_compared"))
     leak = F.when(F.col("n") >= long_n,
-                  (F.col("n_equal") >= F.least(F.lit(MIN_WORDS), "n"))
-                  & (F.col("n_equal") >= MIN_OVERLAP * F.col("n_compared"))
+                  F.col("n_equal") >= F.least(F.lit(MIN_WORDS), F.ceil(MIN_OVERLAP * F.col("n")))
                   ).otherwise(F.col("n_equal") == F.col("n"))
     best = F.max(F.struct("n_equal", (-F.col("n_compared")).alias("less"))).alias("b")
     return (met.where(leak).groupBy("doc_id", "th", "item_id").agg(best)
