@@ -309,6 +309,28 @@ def test_patience_aligns_equal_lines_in_order():
     assert sorted(line_dedup.patience([1, 2, 3, 9, 4], [0, 1, 2, 3, 4])) == [(0, 1), (1, 2), (2, 3), (4, 4)]
 
 
+def test_gaps_without_unique_lines_align():
+    def longest(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            row = _next(row, x, b)
+        return row[-1]
+
+    def _next(row, x, b):
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+        return new
+    rng = random.Random(8)
+    for k in range(400):
+        a, b = ([rng.randrange(4) for _ in range(rng.randrange(25))] for _ in range(2))
+        got = sorted(line_dedup.subsequence(a, b, most=1 << 26 if k % 2 else 8))
+        assert all(a[i] == b[j] for i, j in got) and len(got) == longest(a, b)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(got, got[1:]))
+    a, b = [0, 1, 2, 1, 2, 3], [4, 1, 2, 5, 1, 2, 6]
+    assert sorted(line_dedup.patience(a, b)) == [(1, 1), (2, 2), (3, 4), (4, 5)]
+
+
 def test_line_dedup(spark):
     body = [f"line number {i} of a shared part" for i in range(5)]
     rows = [(1, "\n".join(["only one", *body, "", "end one"])),

@@ -11,6 +11,7 @@ import bisect
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,12 +19,65 @@ from pyspark.sql import functions as F
 from tidepool.llm.common import P, documents, durable
 from tidepool.llm.quality_rules import let
 
+MATRIX = 1 << 26    # cells (bits) of an alignment held at a time
 PARTS = 256     # an owner's pairs are dealt over at most so many joins with its lines
 
 
+def _rows(a: list[int], b: list[int]) -> Iterator[int]:
+    """Bit j of row i is 0 where the longest common subsequence of a[:i + 1] and b[:j + 1]
+    is longer than that of a[:i + 1] and b[:j]."""
+    full = (1 << len(b)) - 1
+    at: dict[int, int] = {}
+    for j, x in enumerate(b):
+        at[x] = at.get(x, 0) | 1 << j
+    v = full
+    for x in a:
+        u = v & at.get(x, 0)
+        v = ((v + u) | (v - u)) & full
+        yield v
+
+
+def _lengths(a: list[int], b: list[int]) -> np.ndarray:
+    """Length of the longest common subsequence of ``a`` and b[:j], for j from 0."""
+    v = (1 << len(b)) - 1
+    for v in _rows(a, b):
+        pass
+    bits = np.unpackbits(np.frombuffer(v.to_bytes(len(b) // 8 + 1, "little"), np.uint8),
+                         bitorder="little")[:len(b)]
+    return np.concatenate(([0], np.cumsum(1 - bits.astype(np.int64))))
+
+
+def subsequence(a: list[int], b: list[int], most: int = MATRIX) -> list[tuple[int, int]]:
+    """Positions of a longest common subsequence. Parts of over ``most`` cells are halved
+    first (Hirschberg), so memory stays bounded."""
+    out: list[tuple[int, int]] = []
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        i, m, j, n = todo.pop()
+        if m - i > 1 and (m - i) * (n - j) > most:
+            h = (i + m) // 2
+            left = _lengths(a[i:h], b[j:n])
+            right = _lengths(a[h:m][::-1], b[j:n][::-1])[::-1]
+            cut = j + int(np.argmax(left + right))
+            todo += [(i, h, j, cut), (h, m, cut, n)]
+            continue
+        rows = list(_rows(a[i:m], b[j:n]))
+        r, c = m - i, n - j
+        while r and c:
+            if rows[r - 1] >> (c - 1) & 1:
+                c -= 1
+            elif r > 1 and not rows[r - 2] >> (c - 1) & 1:
+                r -= 1
+            else:
+                r, c = r - 1, c - 1
+                out.append((i + r, j + c))
+    return out
+
+
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Aligned positions of equal lines: common ends first, then the longest increasing
-    chain of lines that are unique in both parts, then the gaps between them."""
+    chain of lines that are unique in both parts, then the gaps between them; a gap without
+    such a line by its longest common subsequence."""
     out: list[tuple[int, int]] = []
     todo = [(0, len(a), 0, len(b))]
     while todo:
@@ -40,6 +94,9 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
         place = {x: k for k, x in enumerate(b[j:n], j) if cb[x] == 1}
         pairs = [(k, place[x]) for k, x in enumerate(a[i:m], i) if ca[x] == 1 and x in place]
         if not pairs:
+            x = [k for k in range(i, m) if a[k] in cb]
+            y = [k for k in range(j, n) if b[k] in ca]
+            out += [(x[k], y[h]) for k, h in subsequence([a[k] for k in x], [b[k] for k in y])]
             continue
         tails: list[int] = []
         at: list[int] = []
