@@ -27,16 +27,36 @@ def documents(docs: DataFrame) -> DataFrame:
                        F.xxhash64(F.col("text").cast("string")).alias("th"))
 
 
-def durable(df: DataFrame, name: str) -> DataFrame:
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def durable(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Cut lineage with a table written under the shared checkpoint folder.
 
     A lost executor costs only its running tasks: readers start again from the files.
-    The folder needs an expiry policy, like any checkpoint folder.
+    The shuffle files of the writing job go when it ends. ``discard`` removes the table
+    once its readers are done; the folder needs an expiry policy for the rest, like any
+    checkpoint folder.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._td_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``durable`` wrote and that nothing reads any more."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df._td_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ascii_lower(c: Column) -> Column:

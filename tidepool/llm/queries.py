@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import (decontaminate, language, licenses, line_dedup, packing, paragraphs,
-                          quality_classifier, quality_rules, simhash, toxicity)
+from tidepool.llm import (decontaminate, hard_negatives, language, licenses, line_dedup,
+                          packing, paragraphs, phrases, quality_classifier, quality_rules,
+                          simhash, suffix_index, toxicity)
 from tidepool.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -210,3 +211,78 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         F.size("passages").cast("long").alias("n_passages"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.participants(table(spark, sf_dir, "embeddings")).withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+        .otherwise(F.col("label")))
+    return hard_negatives.hard_negatives(rows, rows.where("vec_id % 50 = 0"))
+
+
+ORACLE["op11_hard_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+             CAST(list_inner_product(a.q, r.q) AS BIGINT) AS score
+      FROM v a JOIN v r ON len(a.q) = len(r.q) AND a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY anchor_id, positive_id
+                                ORDER BY s.score DESC, s.id) AS rank
+      FROM p JOIN s USING (anchor_id)
+      WHERE NOT same AND 50 * positive_score <= 100 * s.score
+        AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score,
+       negative_score
+FROM n WHERE rank <= 3"""
+
+
+@query
+def op12_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_index.without_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=100, top=2000)
+
+
+_SIZES = range(1, phrases.LONGEST + 1)
+_GRAMS = " UNION ALL ".join(
+    f"SELECT lang, list_slice(w, i, i + {k - 1}) AS g FROM (SELECT lang, w, "
+    f"unnest(range(1, len(w) - {k - 2})) AS i FROM p)" for k in _SIZES)
+_INNER = " UNION ALL ".join(
+    f"SELECT lang, list_slice(g, {i}, {i + k - 1}) AS g, a FROM c WHERE len(g) = {m}"
+    for m in _SIZES for k in range(2, m) for i in range(1, m - k + 2))
+ORACLE["op13_phrase_collocations"] = f"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+           FROM documents),
+p AS (SELECT lang, list_filter(string_split_regex(piece, '[ \x09]+'), lambda x: x <> '') AS w
+      FROM t),
+f AS (SELECT lang, g, count(*) AS f FROM ({_GRAMS}) GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+c AS (SELECT lang, g, f AS a FROM f WHERE len(g) > 1 AND f >= 100),
+i AS (SELECT DISTINCT lang, g, a FROM ({_INNER})),
+k AS (SELECT c.*, unnest(range(1, len(c.g))) AS k FROM c
+      WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.lang = c.lang AND i.g = c.g AND i.a >= c.a)),
+s AS (SELECT k.lang, k.g, a, k, n, x.f AS l, y.f AS r,
+             CAST(1000::HUGEINT * a * n // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+      FROM k JOIN n USING (lang)
+           JOIN f x ON x.lang = k.lang AND x.g = list_slice(k.g, 1, k.k)
+           JOIN f y ON y.lang = k.lang AND y.g = list_slice(k.g, k.k + 1, len(k.g))),
+b AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score FROM s
+      QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER w AS rank, phrase, a, l, r, n, score FROM b
+WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY rank <= 2000"""
