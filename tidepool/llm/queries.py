@@ -251,6 +251,25 @@ def op12_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLE["op12_suffix_array_dedup"] = """
+WITH d AS (SELECT doc_id, row_number() OVER () AS i, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT i, p, md5(b[p + 1:p + 400]) AS h
+      FROM (SELECT i, b, unnest(range(0, octet_length(b) - 399)) AS p FROM d)),
+r AS (SELECT i, p FROM w QUALIFY count(*) OVER (PARTITION BY h) > 1),
+s AS (SELECT i, p, CASE WHEN p - lag(p) OVER (PARTITION BY i ORDER BY p) <= 400 THEN 0
+                        ELSE 1 END AS new FROM r),
+g AS (SELECT i, p, sum(new) OVER (PARTITION BY i ORDER BY p) AS run FROM s),
+c AS (SELECT i, run, min(p) AS a, max(p) + 400 AS z FROM g GROUP BY i, run),
+k AS (SELECT i, a, z, coalesce(lag(z) OVER (PARTITION BY i ORDER BY a), 0) AS before FROM c),
+x AS (SELECT i, count(*) AS n_spans, CAST(sum(z - a) AS BIGINT) AS n_removed,
+             string_agg(hex(d.b[before + 1:a]), '' ORDER BY a)
+               || hex(any_value(d.b)[max(z) + 1:]) AS kept
+      FROM k JOIN d USING (i) GROUP BY i)
+SELECT doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(coalesce(unhex(kept), b)) AS kept_sha256
+FROM d LEFT JOIN x USING (i)"""
+
+
 @query
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"), least=100, top=2000)
