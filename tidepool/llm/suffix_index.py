@@ -390,30 +390,40 @@ def repeated_spans(texts: DataFrame, batches: int = 4) -> DataFrame:
     return spans
 
 
+def _joined(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges ``a`` to ``b`` as disjoint, maximal ones in order."""
+    order = np.argsort(a, kind="stable")
+    a, reach = a[order], np.maximum.accumulate(b[order])
+    new = np.flatnonzero(np.append(True, a[1:] > reach[:-1]))
+    return a[new], reach[np.append(new[1:], len(a)) - 1]
+
+
 def _cut_batches(batches):
     for batch in batches:
-        kept, removed, runs = [], [], []
+        kept, length, starts, stops = [], [], [], []
         for text, spans in zip(batch.column(1), batch.column(2)):
             t = text.as_buffer().to_pybytes()
-            out, cuts, end = [], [], 0
-            for a, b in sorted((s["a"], s["b"]) for s in (spans.as_py() or ())):
-                if cuts and a <= cuts[-1][1]:
-                    cuts[-1][1] = max(b, cuts[-1][1])
-                else:
-                    cuts.append([a, b])
-            for a, b in cuts:
-                out.append(t[end:a])
-                end = b
+            a = b = np.empty(0, dtype=np.int64)
+            if spans.is_valid and len(spans.values):
+                a, b = _joined(spans.values.field("a").to_numpy(),
+                               spans.values.field("b").to_numpy())
+            out, end = [], 0
+            for i, j in zip(a.tolist(), b.tolist()):
+                out.append(t[end:i])
+                end = j
             out.append(t[end:])
             kept.append(b"".join(out))
-            runs.append(cuts)
-            removed.append(sum(b - a for a, b in cuts))
+            length.append(len(t))
+            starts.append(a)
+            stops.append(b)
+        removed = [int((b - a).sum()) for a, b in zip(starts, stops)]
+        offsets = np.concatenate([[0], np.cumsum([len(a) for a in starts])]).astype(np.int32)
+        ranges = pa.StructArray.from_arrays(
+            [pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (starts, stops)],
+            names=["start", "stop"])
         yield pa.RecordBatch.from_arrays([
-            batch.column(0), pa.array([len(k) + r for k, r in zip(kept, removed)], pa.int64()),
-            pa.array(removed, pa.int64()),
-            pa.array([[{"start": a, "stop": b} for a, b in c] for c in runs],
-                     pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-            pa.array(kept, pa.binary())],
+            batch.column(0), pa.array(length, pa.int64()), pa.array(removed, pa.int64()),
+            pa.ListArray.from_arrays(pa.array(offsets), ranges), pa.array(kept, pa.binary())],
             names=["doc_id", "n_bytes", "n_removed", "removed", "kept"])
 
 
