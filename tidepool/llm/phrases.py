@@ -28,6 +28,7 @@ from tidepool.llm.common import discard, durable
 
 LONGEST = 5
 SHARD_BYTES = 8 << 20
+BROADCAST_BYTES = 64 << 20      # measured size up to which keys of frequent phrases are broadcast
 
 _BORDER = re.compile(rb"[.,;:!?\x0A-\x0D]")
 _KIND = np.zeros(256, dtype=np.uint8)       # 0 word, 1 blank, 2 piece border
@@ -255,6 +256,17 @@ def _numbered(df: DataFrame, name: str) -> DataFrame:
     return durable(df.withColumn("id", F.monotonically_increasing_id() + 1), name)
 
 
+def _keys(df: DataFrame, *columns: str) -> DataFrame:
+    """The key columns of a written table for a join, broadcast if their bytes, measured,
+    are within ``BROADCAST_BYTES``; beyond that the join shuffles."""
+    keys = df.select(*columns)
+    size = F.lit(0)
+    for c, kind in keys.dtypes:
+        size = size + (F.octet_length(c) + 16 if kind == "string" else F.lit(8))
+    held = keys.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(keys) if held <= BROADCAST_BYTES else keys
+
+
 def frequent_phrases(docs: DataFrame, least: int, shard_bytes: int = SHARD_BYTES
                      ) -> tuple[DataFrame, DataFrame]:
     """Every phrase of 1 to ``LONGEST`` words that occurs ``least`` times in a language:
@@ -274,7 +286,7 @@ def frequent_phrases(docs: DataFrame, least: int, shard_bytes: int = SHARD_BYTES
     words = _numbered(counted.where(F.col("f") >= least), "phrase-level1")
     discard(counted)
     known = (vocabulary.select("lang", "word", "shard", "local")
-             .join(words.select("lang", "word", "id"), ["lang", "word"])
+             .join(_keys(words, "lang", "word", "id"), ["lang", "word"])
              .groupBy("shard").agg(F.collect_list(F.struct("local", "id")).alias("known")))
     level = durable(shards.where("words IS NOT NULL").select("shard", "words")
                     .join(known, "shard").select("shard", "words", "known")
@@ -297,7 +309,7 @@ def frequent_phrases(docs: DataFrame, least: int, shard_bytes: int = SHARD_BYTES
         phrases = _numbered(named, f"phrase-level{size}")
         if size < LONGEST:
             known = (rows.select("parent", "word", "shard", "lo_f", "lo_r", "n")
-                     .join(phrases.select("parent", "word", "id"), ["parent", "word"])
+                     .join(_keys(phrases, "parent", "word", "id"), ["parent", "word"])
                      .groupBy("shard")
                      .agg(F.collect_list(F.struct("id", "lo_f", "lo_r", "n")).alias("known")))
             before, level = level, durable(
