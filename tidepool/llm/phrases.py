@@ -183,70 +183,108 @@ def _level_batch(rows: int, **columns) -> pa.RecordBatch:
          for c, t in zip(_NAMES, _TYPES)], names=_NAMES)
 
 
-def _children(shard, ids, symbols, rev, lo_f, lo_r, n):
-    """Extension rows of the phrases ``ids``, in slices."""
+def _children(shard, ids, symbols, rev, lo_f, lo_r, n, rows: bool = True):
+    """Extension rows of the phrases ``ids``, in slices, with their intervals if ``rows``."""
     if not len(n):
         return
     phrase, word, f, r, count = extend_right(rev, last_to_first(rev), lo_f, lo_r, n)
     for i in range(0, len(count), 200_000):
         s = slice(i, i + 200_000)
         k = len(count[s])
+        places = {"lo_f": f[s], "lo_r": r[s]} if rows else {}
         yield _level_batch(k, shard=np.full(k, shard), parent=ids[phrase[s]],
-                           word=symbols[word[s]], n=count[s], lo_f=f[s], lo_r=r[s])
+                           word=symbols[word[s]], n=count[s], **places)
+
+
+def _coded(words, known) -> tuple[np.ndarray, np.ndarray]:
+    """The shard's sequence with frequent words as 1, 2, ... in order of their ids and 0
+    for the rest, and the ids by symbol (0 for 0)."""
+    ids, local = known.values.field("id").to_numpy(), known.values.field("local").to_numpy()
+    order = np.argsort(ids)
+    t = np.frombuffer(words.as_buffer(), dtype=np.int32)
+    code = np.zeros(max(int(t.max()), int(local.max())) + 1, dtype=np.int32)
+    code[local[order]] = np.arange(1, len(ids) + 1, dtype=np.int32)
+    return code[t], np.concatenate([[0], ids[order]]).astype(np.int64)
+
+
+def _runs(t: np.ndarray, linked: np.ndarray) -> np.ndarray:
+    """``t`` cut wherever ``linked`` (of each symbol to the next) is false: its runs of two
+    symbols or more, a 0 before, between and after them."""
+    before = np.append(False, linked)
+    after = np.append(linked, False)
+    keep = before | after
+    t, begins = t[keep], ~before[keep]
+    out = np.zeros(len(t) + int(begins.sum()) + 1, dtype=np.int32)
+    out[np.arange(len(t)) + np.cumsum(begins)] = t
+    return out
 
 
-def _index_batches(batches):
-    """(shard, words, [(local, id)]) -> the shard's index and all its two-word phrases."""
+def _single(t: np.ndarray, symbols: int):
+    """Symbols that occur, their first rows and their counts."""
+    count = np.bincount(t, minlength=symbols)
+    lo = np.cumsum(count) - count
+    used = np.flatnonzero(count[1:]) + 1
+    return used, lo[used], count[used]
+
+
+def _pair_batches(batches):
+    """(shard, words, [(local, id)]) -> counts of the shard's two-word phrases."""
     for batch in batches:
         for shard, words, known in zip(*batch.columns):
-            known = known.values if hasattr(known, "values") else pa.array(known.as_py())
-            ids, local = known.field("id").to_numpy(), known.field("local").to_numpy()
-            order = np.argsort(ids)
-            symbols = np.concatenate([[0], ids[order]]).astype(np.int64)
-            t = np.frombuffer(words.as_buffer(), dtype=np.int32)
-            code = np.zeros(max(int(t.max()), int(local.max())) + 1, dtype=np.int32)
-            code[local[order]] = np.arange(1, len(symbols), dtype=np.int32)
-            t = code[t]
-            # a word between two separators begins and ends no phrase
-            near = np.zeros(len(t), dtype=bool)
-            near[:-1] = t[1:] > 0
-            near[1:] |= t[:-1] > 0
-            t = np.where(near, t, 0)
-            keep = t > 0
-            keep[1:] |= keep[:-1]               # one separator after each run of words
-            t = np.concatenate([[0], t[keep], [0]]).astype(np.int32)
-            if len(t) < 4:
-                continue
+            t, symbols = _coded(words, known)
+            t = _runs(t, (t[:-1] > 0) & (t[1:] > 0))
+            if len(t) > 2:
+                used, lo, n = _single(t, len(symbols))
+                yield from _children(shard.as_py(), symbols[used], symbols,
+                                     transform(t[::-1]), lo, lo, n, rows=False)
+
+
+def _index_batches(batches):
+    """(shard, words, [(local, id)], [(parent, word, id)]) -> the shard's index over its
+    frequent pairs of words, their neighbours and extensions."""
+    for batch in batches:
+        for shard, words, known, pairs in zip(*batch.columns):
+            t, symbols = _coded(words, known)
+            ids = pairs.values.field("id").to_numpy()
+            key = (np.searchsorted(symbols, pairs.values.field("parent").to_numpy())
+                   * len(symbols)
+                   + np.searchsorted(symbols, pairs.values.field("word").to_numpy()))
+            order = np.argsort(key)
+            key, ids = key[order], ids[order]
+            at = t[:-1].astype(np.int64) * len(symbols) + t[1:]
+            near = np.minimum(np.searchsorted(key, at), len(key) - 1)
+            t = _runs(t, key[near] == at)
             fwd, rev = transform(t), transform(t[::-1])
-            count = np.bincount(t, minlength=len(symbols))
-            lo = np.cumsum(count) - count
-            used = np.flatnonzero(count)
-            used = used[used > 0]
             yield _level_batch(1, shard=[shard.as_py()], symbols=[symbols.tobytes()],
                                fwd=[fwd.tobytes()], rev=[rev.tobytes()])
-            yield from _children(shard.as_py(), symbols[used], symbols, rev,
-                                 lo[used], lo[used], count[used])
+            used, lo, n = _single(t, len(symbols))
+            first, word, f, r, n = extend_right(rev, last_to_first(rev), lo, lo, n)
+            own = ids[np.searchsorted(key, used[first] * len(symbols) + word)]
+            yield from _grown(shard.as_py(), own, symbols, fwd, rev, f, r, n)
 
 
-def _extend_batches(grow: bool):
-    def run(batches):
-        """(shard, symbols, fwd, rev, [(id, lo_f, lo_r, n)]) -> neighbours, extensions."""
-        for batch in batches:
-            for shard, symbols, fwd, rev, known in zip(*batch.columns):
-                symbols = np.frombuffer(symbols.as_buffer(), dtype=np.int64)
-                fwd = np.frombuffer(fwd.as_buffer(), dtype=np.int32)
-                rev = np.frombuffer(rev.as_buffer(), dtype=np.int32)
-                known = known.values
-                ids, f, r, n = (known.field(c).to_numpy().astype(np.int64)
-                                for c in ("id", "lo_f", "lo_r", "n"))
-                left, right = neighbours(fwd, f, n), neighbours(rev, r, n)
-                yield _level_batch(
-                    len(ids), shard=np.full(len(ids), shard.as_py()), parent=ids, n=n,
-                    left_min=symbols[left[0]], left_max=symbols[left[1]],
-                    right_min=symbols[right[0]], right_max=symbols[right[1]])
-                if grow:
-                    yield from _children(shard.as_py(), ids, symbols, rev, f, r, n)
-    return run
+def _grown(shard, ids, symbols, fwd, rev, f, r, n):
+    """Rows of the phrases ``ids``: their neighbours, then their extensions."""
+    left, right = neighbours(fwd, f, n), neighbours(rev, r, n)
+    for i in range(0, len(ids), 200_000):
+        s = slice(i, i + 200_000)
+        yield _level_batch(
+            len(ids[s]), shard=np.full(len(ids[s]), shard), parent=ids[s], n=n[s],
+            left_min=symbols[left[0][s]], left_max=symbols[left[1][s]],
+            right_min=symbols[right[0][s]], right_max=symbols[right[1][s]])
+    yield from _children(shard, ids, symbols, rev, f, r, n)
+
+
+def _extend_batches(batches):
+    """(shard, symbols, fwd, rev, [(id, lo_f, lo_r, n)]) -> neighbours, extensions."""
+    for batch in batches:
+        for shard, symbols, fwd, rev, known in zip(*batch.columns):
+            symbols = np.frombuffer(symbols.as_buffer(), dtype=np.int64)
+            fwd = np.frombuffer(fwd.as_buffer(), dtype=np.int32)
+            rev = np.frombuffer(rev.as_buffer(), dtype=np.int32)
+            ids, f, r, n = (known.values.field(c).to_numpy().astype(np.int64)
+                            for c in ("id", "lo_f", "lo_r", "n"))
+            yield from _grown(shard.as_py(), ids, symbols, fwd, rev, f, r, n)
 
 
 # -- levels over all shards ---------------------------------------------------------------
@@ -267,6 +305,13 @@ def _keys(df: DataFrame, *columns: str) -> DataFrame:
     return F.broadcast(keys) if held <= BROADCAST_BYTES else keys
 
 
+def _known(rows: DataFrame, keys: DataFrame, on: list[str], columns: list[str]) -> DataFrame:
+    """Per shard the list of ``columns`` of its rows whose key is among ``keys``."""
+    hit = F.when(F.col("id").isNotNull(), F.struct(*columns))
+    return (rows.join(keys, on, "left").groupBy("shard")
+            .agg(F.collect_list(hit).alias("known")).where(F.size("known") > 0))
+
+
 def frequent_phrases(docs: DataFrame, least: int, shard_bytes: int = SHARD_BYTES
                      ) -> tuple[DataFrame, DataFrame]:
     """Every phrase of 1 to ``LONGEST`` words that occurs ``least`` times in a language:
@@ -285,19 +330,17 @@ def frequent_phrases(docs: DataFrame, least: int, shard_bytes: int = SHARD_BYTES
     totals = durable(counted.groupBy("lang").agg(F.sum("f").alias("n")), "phrase-totals")
     words = _numbered(counted.where(F.col("f") >= least), "phrase-level1")
     discard(counted)
-    known = (vocabulary.select("lang", "word", "shard", "local")
-             .join(_keys(words, "lang", "word", "id"), ["lang", "word"])
-             .groupBy("shard").agg(F.collect_list(F.struct("local", "id")).alias("known")))
-    level = durable(shards.where("words IS NOT NULL").select("shard", "words")
-                    .join(known, "shard").select("shard", "words", "known")
-                    .mapInArrow(_index_batches, LEVEL), "phrase-index")
-    discard(shards)
-    index = level.where("fwd IS NOT NULL").select("shard", "symbols", "fwd", "rev")
+    texts = shards.where("words IS NOT NULL").select("shard", "words")
+    coded = durable(_known(vocabulary.select("lang", "word", "shard", "local"),
+                           _keys(words, "lang", "word", "id"), ["lang", "word"],
+                           ["local", "id"]), "phrase-symbols")
+    level = durable(texts.join(coded, "shard").select("shard", "words", "known")
+                    .mapInArrow(_pair_batches, LEVEL), "phrase-pairs")
     by_id = words.select(F.col("id").alias("word"), F.col("word").alias("spelled"))
     parents = words.select("lang", "id", F.array("id").alias("ids"),
                            F.col("word").alias("phrase"), "f")
     out = [parents.select("lang", "ids", "phrase", "f", F.lit(None).cast("boolean").alias("closed"))]
-    tables = []
+    index = None
     for size in range(2, LONGEST + 1):
         rows = level.where("word IS NOT NULL")
         found = rows.groupBy("parent", "word").agg(F.sum("n").alias("f")).where(
@@ -307,39 +350,42 @@ def frequent_phrases(docs: DataFrame, least: int, shard_bytes: int = SHARD_BYTES
             .select("lang", "parent", "word", F.concat("ids", F.array("word")).alias("ids"),
                     F.concat_ws(" ", "phrase", "spelled").alias("phrase"), "f"))
         phrases = _numbered(named, f"phrase-level{size}")
-        if size < LONGEST:
-            known = (rows.select("parent", "word", "shard", "lo_f", "lo_r", "n")
-                     .join(_keys(phrases, "parent", "word", "id"), ["parent", "word"])
-                     .groupBy("shard")
-                     .agg(F.collect_list(F.struct("id", "lo_f", "lo_r", "n")).alias("known")))
-            before, level = level, durable(
-                index.join(known, "shard").select("shard", "symbols", "fwd", "rev", "known")
-                .mapInArrow(_extend_batches(True), LEVEL), f"phrase-extensions{size}")
-            if size > 2:
-                discard(before)
-            else:
-                tables.append(before)           # holds the indexes
-            beside = (level.where("left_min IS NOT NULL").groupBy("parent").agg(
-                F.min("left_min").alias("a"), F.max("left_max").alias("b"),
-                F.min("right_min").alias("c"), F.max("right_max").alias("d"))
-                .select(F.col("parent").alias("id"), (
-                    ~((F.col("a") == F.col("b")) & (F.col("a") > 0))
-                    & ~((F.col("c") == F.col("d")) & (F.col("c") > 0))).alias("closed")))
-            judged = durable(phrases.join(beside, "id"), f"phrase-judged{size}")
-            discard(phrases)
-            phrases = judged
+        if size == LONGEST:
+            out.append(phrases.select("lang", "ids", "phrase", "f", F.lit(True).alias("closed")))
+            break
+        known = _known(rows.select("parent", "word", "shard", "lo_f", "lo_r", "n"),
+                       _keys(phrases, "parent", "word", "id"), ["parent", "word"],
+                       ["parent", "word", "id"] if size == 2 else ["id", "lo_f", "lo_r", "n"])
+        if size == 2:
+            pairs = known.withColumnRenamed("known", "pairs")
+            step = texts.join(coded, "shard").join(pairs, "shard").select(
+                "shard", "words", "known", "pairs").mapInArrow(_index_batches, LEVEL)
         else:
-            phrases = phrases.withColumn("closed", F.lit(True))
-        out.append(phrases.select("lang", "ids", "phrase", "f", "closed"))
-        parents = phrases
-    discard(*tables, level)
+            step = index.join(known, "shard").select(
+                "shard", "symbols", "fwd", "rev", "known").mapInArrow(_extend_batches, LEVEL)
+        before, level = level, durable(step, f"phrase-extensions{size}")
+        if size == 2:
+            indexed = level
+            index = level.where("fwd IS NOT NULL").select("shard", "symbols", "fwd", "rev")
+            discard(before, shards, coded)
+        elif size > 3:
+            discard(before)
+        beside = (level.where("left_min IS NOT NULL").groupBy("parent").agg(
+            F.min("left_min").alias("a"), F.max("left_max").alias("b"),
+            F.min("right_min").alias("c"), F.max("right_max").alias("d"))
+            .select(F.col("parent").alias("id"), (
+                ~((F.col("a") == F.col("b")) & (F.col("a") > 0))
+                & ~((F.col("c") == F.col("d")) & (F.col("c") > 0))).alias("closed")))
+        parents = durable(phrases.join(beside, "id"), f"phrase-judged{size}")
+        discard(phrases)
+        out.append(parents.select("lang", "ids", "phrase", "f", "closed"))
+    discard(indexed, level)
     result = out[0]
     for o in out[1:]:
         result = result.unionByName(o)
     return result, totals
 
 
-
 def collocations(docs: DataFrame, least: int = 100, top: int | None = None) -> DataFrame:
     """Collocations per language: ``lang, rank, phrase, a, l, r, n, score``.
 
