@@ -145,6 +145,61 @@ def match(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
     return a.join(b, list(on), "inner")
 
 
+def asof_match(a: DataFrame, b: DataFrame, on: Sequence[str], a_ts: str, b_ts: str,
+               lookback_s: int, order: Sequence[str] = ()) -> DataFrame:
+    """J5 with staleness: every row of ``a`` with the newest row of ``b`` of the same labels
+    in ``(t - lookback, t]`` (ties: the last under ``order``), or NULL columns if that range
+    has none. Columns of ``b`` other than the labels must not clash with those of ``a``.
+
+    Both sides are cut into time buckets of one look-back; a row of ``b`` is also copied
+    into the next bucket, which is as far as it can be seen. So a window holds two
+    look-backs of a series and a hot series spreads over tasks by time. Labels match
+    null-safely; rows without a time are never seen, and match nothing.
+    """
+    on, l_us = list(on), lookback_s * US
+    mine, theirs = list(a.columns), [c for c in b.columns if c not in on]
+    left = (a.withColumn("_t", epoch_us(a_ts)).withColumn("_part", F.floor(F.col("_t") / F.lit(l_us)))
+            .select(*on, "_part", "_t", F.lit(1).alias("_side"), F.struct(*mine).alias("_a"),
+                    F.lit(None).cast(b.select(F.struct(*theirs).alias("x")).schema["x"].dataType)
+                    .alias("_b")))
+    right = b.withColumn("_t", epoch_us(b_ts)).where(F.col("_t").isNotNull())
+    right = (_with_halo(right, "_t", l_us, l_us - 1)
+             .groupBy(*on, "_part", "_t").agg(F.max(F.struct(*order, F.struct(*theirs).alias("_v")))
+                                              .alias("_m"))
+             .select(*on, "_part", "_t", F.lit(0).alias("_side"),
+                     F.lit(None).cast(left.schema["_a"].dataType).alias("_a"),
+                     F.col("_m._v").alias("_b")))
+    w = Window.partitionBy(*on, "_part").orderBy("_t", "_side").rowsBetween(
+        Window.unboundedPreceding, 0)
+    seen = F.last(F.when(F.col("_b").isNotNull(), F.struct("_t", "_b")), ignorenulls=True).over(w)
+    return (left.unionByName(right).withColumn("_s", seen).where("_side = 1")
+            .withColumn("_hit", F.when(F.col("_s._t") > F.col("_t") - l_us, F.col("_s._b")))
+            .select("_a.*", *[F.col("_hit")[c].alias(c) for c in theirs]))
+
+
+def instant_vector(df: DataFrame, series: Sequence[str], ts: str, value: str, step_s: int,
+                   lookback_s: int, order: Sequence[str] = ()) -> DataFrame:
+    """The value of every series at every evaluation step (``at``, multiples of ``step_s``):
+    its newest sample in ``(at - lookback, at]`` (ties: the last under ``order``); a series
+    without one there has no row. NULL values count as absent.
+
+    Each sample is offered to the steps that can see it, ``lookback / step`` of them at
+    most, and the newest wins in a combining aggregate on (series, step), so no task
+    gathers a series. Two such vectors match on labels and step whatever the times at
+    which their samples were taken.
+    """
+    s_us, l_us = step_s * US, lookback_s * US
+    d = df.where(F.col(value).isNotNull() & F.col(ts).isNotNull()).withColumn("_t", epoch_us(ts))
+    first = F.ceil(F.col("_t") / F.lit(s_us))
+    last = F.floor((F.col("_t") + F.lit(l_us - 1)) / F.lit(s_us))
+    steps = F.when(first <= last, F.sequence(first, last))
+    newest = F.max(F.struct("_t", *order, F.col(value).alias("_v")))
+    return (d.withColumn("_step", F.explode(steps)).groupBy(*series, "_step")
+            .agg(newest.alias("_n"))
+            .select(*series, F.timestamp_micros(F.col("_step") * F.lit(s_us)).alias("at"),
+                    F.col("_n._v").alias(value)))
+
+
 def ratio_pct(a, b) -> Column:
     """M5: ``(1 - a / b) * 100``; NULL when b is 0."""
     a = F.col(a) if isinstance(a, str) else a

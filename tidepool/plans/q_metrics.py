@@ -314,3 +314,84 @@ def m3_latest_by_series(spark, sf):
     lv = M.latest_value(event_metrics(spark, sf), ["metric", "series_id"], "ts", "value",
                         ["value"])
     return lv.select("metric", "series_id", "value", ts_text_us("ts").alias("ts"))
+
+
+LOOKBACK_S = 6 * 3600
+VIEW_LOOKBACK_S = 10 * 86400
+LATEST_SQL = """v AS (SELECT event_type, user_id % 10 AS shard, ts, event_id, value FROM events
+                      WHERE value IS NOT NULL)"""
+
+
+@query("j5_asof_match", f"""
+SELECT a.event_id, strftime(a.ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, a.user_id, b.event_id AS view_id,
+       b.value AS view_value, a.value - b.value AS diff
+FROM events a LEFT JOIN LATERAL (
+  SELECT event_id, value FROM events v WHERE v.event_type = 'view' AND v.user_id = a.user_id
+    AND v.ts <= a.ts AND epoch_us(v.ts) > epoch_us(a.ts) - {VIEW_LOOKBACK_S * 1000000}
+  ORDER BY v.ts DESC, v.event_id DESC LIMIT 1) b ON true
+WHERE a.event_type = 'click'""")
+def j5_asof_match(spark, sf):
+    """Every click with the user's newest view of the ten days before it; the two series
+    have no sample time in common."""
+    e = ev(spark, sf)
+    clicks = e.filter(F.col("event_type") == "click").select("event_id", "ts", "user_id", "value")
+    views = e.filter(F.col("event_type") == "view").select(
+        "user_id", F.col("ts").alias("view_ts"), F.col("event_id").alias("view_id"),
+        F.col("value").alias("view_value"))
+    m = M.asof_match(clicks, views, ["user_id"], "ts", "view_ts", VIEW_LOOKBACK_S, ["view_id"])
+    return m.select("event_id", ts_text_us("ts").alias("ts"), "user_id", "view_id", "view_value",
+                    (F.col("value") - F.col("view_value")).alias("diff"))
+
+
+STEP_S = 1800
+INSTANT_SQL = f"""{LATEST_SQL},
+s AS (SELECT *, unnest(range(CAST(ceil(epoch_us(ts) / {STEP_S * 1000000}) AS BIGINT),
+        CAST(floor((epoch_us(ts) + {LOOKBACK_S * 1000000 - 1}) / {STEP_S * 1000000}) AS BIGINT) + 1)) AS step
+      FROM v),
+i AS (SELECT event_type, shard, step, value FROM s QUALIFY row_number() OVER (
+        PARTITION BY event_type, shard, step ORDER BY ts DESC, event_id DESC) = 1)"""
+
+
+def instants(spark, sf) -> DataFrame:
+    """(event_type, shard, at, value): newest value per type and user shard at every half
+    hour, not older than six hours."""
+    e = ev(spark, sf).select("event_type", (F.col("user_id") % 10).alias("shard"), "ts",
+                             "event_id", "value")
+    return M.instant_vector(e, ["event_type", "shard"], "ts", "value", STEP_S, LOOKBACK_S,
+                            ["event_id"])
+
+
+@query("m5_instant_ratio", f"""
+WITH {INSTANT_SQL}
+SELECT a.shard, strftime(make_timestamp(a.step * {STEP_S * 1000000}), '%Y-%m-%d %H:%M:%S') AS "at",
+       CASE WHEN b.value = 0 THEN NULL ELSE (1.0 - a.value / b.value) * 100.0 END AS pct,
+       coalesce(CASE WHEN b.value = 0 THEN NULL ELSE (1.0 - a.value / b.value) * 100.0 END > 80.0,
+                false) AS firing
+FROM i a JOIN i b ON a.shard = b.shard AND a.step = b.step
+WHERE a.event_type = 'click' AND b.event_type = 'view'""")
+def m5_instant_ratio(spark, sf):
+    """``(1 - click / view) * 100 > 80`` per shard at every step, over samples that were
+    taken at different times."""
+    v = instants(spark, sf)
+    a = v.filter(F.col("event_type") == "click").select("shard", "at", F.col("value").alias("a"))
+    b = v.filter(F.col("event_type") == "view").select("shard", "at", F.col("value").alias("b"))
+    pct = M.ratio_pct("a", "b")
+    return M.match(a, b, ["shard", "at"]).select(
+        "shard", ts_text("at").alias("at"), pct.alias("pct"),
+        F.coalesce(pct > 80.0, F.lit(False)).alias("firing"))
+
+
+@query("m6_instant_threshold", f"""
+WITH {INSTANT_SQL},
+t AS (SELECT shard, step, sum(CAST(value AS DECIMAL(18,2))) AS total, count(*) AS kinds
+      FROM i GROUP BY ALL)
+SELECT shard, strftime(make_timestamp(step * {STEP_S * 1000000}), '%Y-%m-%d %H:%M:%S') AS "at",
+       CAST(total AS DOUBLE) AS total, kinds, CAST(total AS DOUBLE) > kinds * 100 * 0.8 AS firing FROM t""")
+def m6_instant_threshold(spark, sf):
+    """``sum by (shard)(latest values) > capacity * 0.8`` at every step, capacity = 100 per
+    type that has a sample in the look-back."""
+    t = instants(spark, sf).groupBy("shard", "at").agg(
+        F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"),
+        F.count(F.lit(1)).alias("kinds"))
+    return t.select("shard", ts_text("at").alias("at"), "total", "kinds",
+                    (F.col("total") > F.col("kinds") * 100 * 0.8).alias("firing"))
