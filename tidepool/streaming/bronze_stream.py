@@ -1,4 +1,4 @@
-"""Incremental bronze -> silver as a file stream (the four-hourly batch, made
+"""Incremental bronze -> silver -> gold as a file stream (the four-hourly batch, made
 continuous).
 
 Landed files are read as a stream with the fixed bronze schema. Each micro-batch
@@ -23,6 +23,7 @@ from tidepool.operators import silver as S
 from tidepool.operators import snapshots
 from tidepool.session import bounded_broadcast
 from tidepool.sources import bronze as B
+from tidepool.streaming.gold_stream import Rollup, refresh_gold
 
 RETRY_KEYS = ("snapshot_id", "search_text", "search_area", "vacancy_id")
 
@@ -70,8 +71,10 @@ def start_incremental(spark: SparkSession, landing_path: str, bronze_path: str,
                       silver_path: str, checkpoint: str, source: str = "landing",
                       build: Callable[[DataFrame], DataFrame] = default_silver,
                       keys: Sequence[str] = RETRY_KEYS,
-                      available_now: bool = True) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it processes what has landed and stops."""
+                      available_now: bool = True, gold_state: str | None = None,
+                      rollup: Rollup | None = None) -> StreamingQuery:
+    """Start the stream; with ``available_now`` it processes what has landed and stops. With
+    ``gold_state`` and ``rollup`` each batch also brings the gold rollup up to date."""
     landed = (spark.readStream.schema(B.BRONZE_SCHEMA)
               .option("recursiveFileLookup", "true").parquet(landing_path))
 
@@ -91,6 +94,8 @@ def start_incremental(spark: SparkSession, landing_path: str, bronze_path: str,
                          .join(touched, "snapshot_id", "left_semi"))
         if months:
             rebuild_silver(spark, bronze_path, silver_path, months, build)
+            if gold_state and rollup:
+                refresh_gold(spark, silver_path, gold_state, months, rollup)
 
     writer = landed.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
