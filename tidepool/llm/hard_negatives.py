@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tidepool.llm.common import discard, durable
 
 TILE = 4096
-LEAF = 32
+LEAF = 64
 FAN = 8
 BLOCK = 256
 
@@ -77,35 +77,47 @@ class RTree:
         plus, minus = np.maximum(queries, 0), np.minimum(queries, 0)
         return (plus @ self.lo.T + minus @ self.hi.T, plus @ self.hi.T + minus @ self.lo.T)
 
-    def search(self, query, low, high, k: int, window, skip: int | None, cache: dict):
-        """The k best (score, id) with a score in ``window``; ``low``, ``high`` are the
-        query's intervals per node."""
-        best: list[tuple] = []          # heap of (score, -id): the worst kept row first
+    def search(self, query, low, high, k: int, windows: list[tuple], skip: int | None = None
+               ) -> list[list[tuple]]:
+        """Per window (least, most) the k best (score, id) with a score inside it. ``low``
+        and ``high`` are the query's intervals per node, as lists. The windows share one
+        queue, so a box is opened at most once."""
+        best: list[list] = [[] for _ in windows]    # heaps of (score, -id), the worst first
+        floor = [w[0] for w in windows]             # what a row must reach: window, then k-th
+        need = min(floor)
         queue = [(-high[0], 0)]
         while queue:
             top, node = heapq.heappop(queue)
-            if -top < window[0] or (len(best) == k and -top < best[0][0]):
+            top = -top
+            if top < need:
                 break
-            if low[node] > window[1]:
+            bottom = low[node]
+            if all(top < f or bottom > w[1] for f, w in zip(floor, windows)):
                 continue
             a, b = self.first[node], self.last[node]
             if node < self.leaves_from:
                 for child in range(a, b):
-                    heapq.heappush(queue, (-high[child], child))
+                    if high[child] >= need:
+                        heapq.heappush(queue, (-high[child], child))
                 continue
-            scores = cache.get(node)
-            if scores is None:
-                scores = cache[node] = self.rows[a:b] @ query
-            floor = max(window[0], best[0][0]) if len(best) == k else window[0]
-            for i in np.flatnonzero((scores >= floor) & (scores <= window[1])).tolist():
-                item = (int(scores[i]), -int(self.ids[a + i]))
-                if -item[1] == skip:
+            scores = self.rows[a:b] @ query
+            largest = scores.max()
+            for w, (least, most) in enumerate(windows):
+                if largest < floor[w]:
                     continue
-                if len(best) < k:
-                    heapq.heappush(best, item)
-                elif item > best[0]:
-                    heapq.heapreplace(best, item)
-        return [(s, -i) for s, i in best]
+                heap = best[w]
+                for i in np.flatnonzero((scores >= floor[w]) & (scores <= most)).tolist():
+                    item = (int(scores[i]), -int(self.ids[a + i]))
+                    if -item[1] == skip:
+                        continue
+                    if len(heap) < k:
+                        heapq.heappush(heap, item)
+                    elif item > heap[0]:
+                        heapq.heapreplace(heap, item)
+                if len(heap) == k and heap[0][0] > floor[w]:
+                    floor[w] = heap[0][0]
+            need = min(floor)
+        return [[(s, -i) for s, i in heap] for heap in best]
 
 
 def _binary(rows: np.ndarray) -> bytes:
@@ -177,17 +189,16 @@ def _search_batches(k: int, positives: bool):
                                     _matrix(queries.as_py(), len(anchors), dim.as_py()))
                 tree = RTree(ids, rows)
                 low, high = tree.intervals(q)
-                least, most = low[:, 0].tolist(), high[:, 0].tolist()
-                for j, own in enumerate([None] * len(anchors) if positives else scores.as_py()):
-                    windows = [(None, (-(1 << 63), 1 << 63))] if positives else [
-                        (s, (-(-s // 2), 95 * s // 100)) for s in own]
-                    cache: dict = {}
-                    for target, w in windows:
-                        if w[0] > w[1] or least[j] > w[1] or most[j] < w[0]:
-                            continue
-                        out += [(int(anchors[j]), target, i, s) for s, i in tree.search(
-                            q[j], low[j], high[j], k, w, int(anchors[j]) if positives else None,
-                            cache)]
+                wanted = [None] * len(anchors) if positives else scores.as_py()
+                for j, (anchor, own) in enumerate(zip(anchors.tolist(), wanted)):
+                    targets = [None] if positives else sorted(s for s in own if s >= 0)
+                    windows = [(-(1 << 63), 1 << 63)] if positives else [
+                        (-(-s // 2), 95 * s // 100) for s in targets]
+                    if not windows or high[j, 0] < windows[0][0] or low[j, 0] > windows[-1][1]:
+                        continue
+                    found = tree.search(q[j], low[j].tolist(), high[j].tolist(), k, windows,
+                                        anchor if positives else None)
+                    out += [(anchor, t, i, s) for t, rows in zip(targets, found) for s, i in rows]
             for i in range(0, len(out), 100_000):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in zip(*out[i:i + 100_000])],
