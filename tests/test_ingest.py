@@ -137,3 +137,64 @@ def test_blocked_slice_without_cards_fails(spark):
         I.run_ingest(spark, api, search.filter("search_area = 'remote'"), detail, path, grid, "s")
     failed = L.failed_slices(I.api_rows(api), I.SLICE, "page_num", "status").collect()
     assert [tuple(r) for r in failed] == [("ops", "msk", 0, 500)]
+
+
+SLICE_OF = ("dev", "remote", "https://jobs.example.com/vacancy/10")
+
+
+@pytest.mark.parametrize("bad", [(None, None, None, "timeout"), (404, SLICE_OF[2], "gone", None),
+                                 (200, "https://jobs.example.com/captcha", "<h1>x</h1>", None),
+                                 (200, SLICE_OF[2], "<h1>half</h1>", "reset")])
+def test_a_good_detail_beats_a_failed_one(spark, bad):
+    api, search, detail, grid = frames(spark)
+    for first in (True, False):
+        other = spark.createDataFrame([(*SLICE_OF, *bad)], detail.schema)
+        both = other.unionByName(detail) if first else detail.unionByName(other)
+        kept = I.one_detail(both).filter("requested_url LIKE '%/10'").collect()
+        assert [(r["status"], r["error"], "Detail A" in r["html"]) for r in kept] == [(200, None, True)]
+
+
+def test_payloads_carry_every_key(spark):
+    api, search, detail, grid = frames(spark)
+    rows = I.html_rows(search.filter("search_area = 'remote'"), detail, fetch_details=False)
+    for r in rows.collect():
+        assert list(json.loads(r["raw_json"])) == [*I.CARD_FIELDS, *I.DETAIL_OUT]
+    off = json.loads(rows.filter("vacancy_id = '10'").first()["raw_json"])
+    assert off["detail_status"] == "disabled" and off["detail_title"] is None
+    assert off["title"] == "A & B" and off["page_num"] == 0
+
+
+def test_failed_slices_are_reported_and_raised(spark):
+    api, search, detail, grid = frames(spark)
+    path = tempfile.mkdtemp(prefix="tp-ingest-") + "/bronze"
+    status = search.selectExpr("*", "CASE WHEN search_text = 'dev' AND page_num = 1 THEN 502 "
+                               "WHEN search_text = 'dev' AND page_num = 3 THEN 500 "
+                               "ELSE 200 END AS status")
+    with pytest.raises(I.SlicesFailed, match="dev / remote: html page 1 answered 502; "
+                                             "ops / msk: api page 0 answered 500") as e:
+        I.run_ingest(spark, api, status, detail, path, grid, "snap-1", raise_failed=True)
+    report = {(r[0], r[1]): tuple(r)[2:] for r in e.value.report.collect()}
+    assert report[("dev", "remote")] == (0, "html", 1, 502)     # nothing of the slice landed
+    assert report[("ops", "msk")] == (0, "api", 0, 500)
+    assert report[("ops", "spb")] == (2, None, None, None)      # the others did
+    assert report[(None, None)] == (6, None, None, None)
+    assert B.read_bronze(spark, path).count() == 6
+
+
+def test_a_bad_page_that_is_never_reached_fails_nothing(spark):
+    api, search, detail, grid = frames(spark)
+    path = tempfile.mkdtemp(prefix="tp-ingest-") + "/bronze"
+    status = search.selectExpr("*", "CASE WHEN page_num = 3 THEN 500 ELSE 200 END AS status")
+    report = {(r[0], r[1]): tuple(r)[2:] for r in I.run_ingest(
+        spark, api, status, detail, path, grid, "snap-1").collect()}
+    assert report[("dev", "remote")] == (4, None, None, None)   # page 2 had nothing new
+    assert report[("ops", "msk")] == (0, "api", 0, 500)
+
+
+def test_run_passes_its_limits_on(spark):
+    api, search, detail, grid = frames(spark)
+    path = tempfile.mkdtemp(prefix="tp-ingest-") + "/bronze"
+    I.run_ingest(spark, api, search, detail, path, grid, "snap-1", detail_cap=1).count()
+    status = {r["vacancy_id"]: r["detail_status"] for r in staging(B.read_bronze(spark, path)).filter(
+        "search_area = 'remote' AND source_mode = 'html_fallback'").collect()}
+    assert status == {"10": "ok", "11": "not_fetched_limit", "12": "not_fetched_limit"}

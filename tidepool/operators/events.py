@@ -47,3 +47,22 @@ def merge_sketches(df: DataFrame, keys: Sequence[str], sketch: str = "users_sket
     """Union partial sketches per key and estimate the distinct users."""
     return df.groupBy(*keys).agg(
         F.hll_sketch_estimate(F.hll_union_agg(sketch)).alias("unique_users_approx"))
+
+
+def bitmap_rollup(events: DataFrame, keys: Sequence, user: str = "user_id") -> DataFrame:
+    """Per key and bucket of users: a bitmap of the users seen (integer ids; 32,768 to a
+    bucket of 4 KB). Partial rollups over any split of the events merge exactly
+    (:func:`merge_bitmaps`), so a key's users spread over as many rows as there are buckets
+    and no task holds all of them. NULL users leave an empty bitmap: the key stays."""
+    return events.groupBy(*keys, F.bitmap_bucket_number(user).alias("users_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(user)).alias("users"))
+
+
+def merge_bitmaps(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Partial bitmaps of one key and bucket or-ed together; can itself be merged again."""
+    return parts.groupBy(*keys, "users_bucket").agg(F.bitmap_or_agg("users").alias("users"))
+
+
+def bitmap_users(rolled: DataFrame, keys: Sequence[str], alias: str = "unique_users") -> DataFrame:
+    """Exact distinct users per key from merged bitmaps (one row per key and bucket)."""
+    return rolled.groupBy(*keys).agg(F.sum(F.bitmap_count("users")).alias(alias))

@@ -8,7 +8,7 @@ once (the slice is a column, not a task).
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -214,11 +214,17 @@ def merge_payload(cards: DataFrame, details: DataFrame, key: Sequence[str],
     c = cards.select(*k, *[F.col(f).alias(f"_c_{f}") for f in fields if f in cards.columns])
     d = details.select(*k, *[F.col(f).alias(f"_d_{f}") for f in fields if f in details.columns])
     j = c.join(d, k, "left")
-    merged = []
+    merged = {}
     for f in fields:
         parts = [F.col(f"_{side}_{f}") for side in ("d", "c") if f"_{side}_{f}" in j.columns]
-        merged.append((F.coalesce(*parts) if len(parts) > 1 else parts[0]).alias(f))
-    return j.select(*k, F.to_json(F.struct(*merged), {"ignoreNullFields": "false"}).alias(out))
+        merged[f] = F.coalesce(*parts) if len(parts) > 1 else parts[0]
+    return j.select(*k, payload_json(merged).alias(out))
+
+
+def payload_json(fields: Mapping[str, Column]) -> Column:
+    """L17's serialisation: one JSON object with every field as a key, NULL as ``null``."""
+    return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]),
+                     {"ignoreNullFields": "false"})
 
 
 def ingest_report(rows: DataFrame, grid: DataFrame, slice_cols: Sequence[str],

@@ -3,7 +3,8 @@
 Inputs are tables of what the fetcher stored, one row per response:
 
 * ``api``:    (search_text, search_area, page_num, status, body)   -- JSON list pages
-* ``search``: (search_text, search_area, page_num, url, html)      -- HTML result pages
+* ``search``: (search_text, search_area, page_num, url, html) and, where the fetcher kept
+  it, status (absent: 200)                                        -- HTML result pages
 * ``detail``: (search_text, search_area, requested_url, status, final_url, html,
   error)                                                          -- detail pages
 
@@ -11,6 +12,9 @@ API slices: L3 page cutoff -> L4 fallback on 401/403 -> L2 items. Blocked slices
 L5 cards cut from the result pages -> L7/L8 ids and canonical URLs -> L9/L10
 first-seen cutoff -> L15 capped detail lookups -> L16 status, L6 fields -> L17 merged
 payload. Then L20 one id for the batch, S3 retry-safe append, S2 append, L18 report.
+
+A slice fails when a page it reaches answers with anything else (API) or with anything but
+200 (result pages): none of its rows land, and the report names the page and the status.
 """
 
 from __future__ import annotations
@@ -150,6 +154,26 @@ DETAIL_OUT = ("detail_status", "detail_url", "detail_requested_url", "detail_err
               *DETAIL_FIELDS, "description", "skills")
 
 
+def page_status(search: DataFrame) -> Column:
+    """Status of landed result pages; 200 where the fetcher kept none."""
+    return (F.coalesce(F.col("status"), F.lit(200)) if "status" in search.columns
+            else F.lit(200))
+
+
+def one_detail(detail: DataFrame) -> DataFrame:
+    """One landed answer per (slice, requested URL), so a detail that landed twice cannot
+    multiply its card: a successful answer before any other, then an answered lookup before
+    one that raised, then the smallest status."""
+    rest = [x for x in detail.columns if x not in (*SLICE, "requested_url")]
+    good = L.detail_status(F.col("error"), F.coalesce("status", F.lit(0)), F.lit(""),
+                           F.col("final_url")) == "ok"
+    ranked = detail.withColumn("_rank", F.when(good, 0).when(F.col("status") == 200, 1)
+                               .when(F.col("status").isNotNull(), 2).otherwise(3))
+    picked = ranked.groupBy(*SLICE, "requested_url").agg(
+        arg_extreme(["_rank", "status"], rest, largest=False).alias("_r"))
+    return picked.select(*SLICE, "requested_url", *[F.col("_r")[x].alias(x) for x in rest])
+
+
 def html_rows(search: DataFrame, detail: DataFrame, max_pages: int | None = None,
               detail_cap: int = L.DETAIL_MAX_PER_SLICE, fetch_details: bool = True) -> DataFrame:
     c = cards(search)
@@ -157,12 +181,7 @@ def html_rows(search: DataFrame, detail: DataFrame, max_pages: int | None = None
     fresh = fresh.withColumn("detail_requested_url",
                              X.canonical_url("url", SITE)).withColumn("source_mode",
                                                                       F.lit("html_fallback"))
-    # one landed answer per (slice, requested URL), a successful one first, so a detail
-    # that landed twice cannot multiply its card
-    rest = [x for x in detail.columns if x not in (*SLICE, "requested_url")]
-    once = detail.groupBy(*SLICE, "requested_url").agg(
-        arg_extreme(["status"], rest, largest=False).alias("_r"))
-    d = details(once.select(*SLICE, "requested_url", *[F.col("_r")[x].alias(x) for x in rest]))
+    d = details(one_detail(detail))
     keyed = fresh.select(*SLICE, "vacancy_id", "detail_requested_url").join(
         d, [*SLICE, "detail_requested_url"], "left") \
         .withColumn("detail_status", F.coalesce("detail_status", F.lit("error")))
@@ -170,22 +189,46 @@ def html_rows(search: DataFrame, detail: DataFrame, max_pages: int | None = None
                             SLICE, "vacancy_id", ["page_num", "pos"], detail_cap, fetch_details)
     full = enriched.join(keyed.drop("detail_status", "detail_requested_url"),
                          [*SLICE, "vacancy_id"], "left")
-    fetched = F.col("detail_status").isin("not_fetched_limit", "disabled")
-    payload_cols = [F.col(n) for n in CARD_FIELDS] + [
-        (F.col(n) if n == "detail_status" else F.when(~fetched, F.col(n))).alias(n)
-        for n in DETAIL_OUT]
-    body = F.to_json(F.struct(*payload_cols))
+    made = ~F.col("detail_status").isin("not_fetched_limit", "disabled")
+    body = L.payload_json({n: F.col(n) for n in CARD_FIELDS} | {
+        n: F.col(n) if n == "detail_status" else F.when(made, F.col(n)) for n in DETAIL_OUT})
     return full.select(*SLICE, "page_num", "vacancy_id", body.alias("raw_json"))
 
 
 # ---------------------------------------------------------------- the run
 
+class SlicesFailed(RuntimeError):
+    """Slices of a run that landed nothing because a page failed; ``report`` has them all."""
+
+    def __init__(self, message: str, report: DataFrame):
+        super().__init__(message)
+        self.report = report
+
+
+def failed_searches(pages: DataFrame, rows: DataFrame) -> DataFrame:
+    """Slices whose walk over the result pages reached a page with a status other than 200:
+    every page before it gave new cards. ``pages`` (slice, page_num, status), ``rows`` the
+    rows of the pages before it."""
+    bad = L.first_bad_pages(pages, SLICE, "page_num", "status")
+    walked = rows.groupBy(*SLICE).agg(F.count_distinct("page_num").alias("_walked"))
+    return (bad.join(walked, list(SLICE), "left")
+            .where(F.coalesce("_walked", F.lit(0)) == F.col("page_num"))
+            .select(*SLICE, F.lit("html").alias("failed_source"),
+                    F.col("page_num").alias("failed_page"), F.col("status").alias("failed_status")))
+
+
 def run_ingest(spark: SparkSession, api: DataFrame, search: DataFrame, detail: DataFrame,
                bronze_path: str, grid: DataFrame, snapshot_id: str | None = None,
-               bronze_exists: bool | None = None) -> DataFrame:
-    """Land one snapshot batch; returns the L18 report (rows inserted per slice + total)."""
-    a = api_rows(api)
-    html_src = search.select(*SLICE, "page_num", F.lit(200).alias("status"), F.lit("html").alias("src"))
+               bronze_exists: bool | None = None, max_pages: int | None = None,
+               detail_cap: int = L.DETAIL_MAX_PER_SLICE, fetch_details: bool = True,
+               raise_failed: bool = False) -> DataFrame:
+    """Land one snapshot batch; returns the L18 report: rows inserted per slice and their
+    total, and for a failed slice the source, page and status that ended it. With
+    ``raise_failed`` failed slices raise :class:`SlicesFailed` once the others have landed.
+    ``detail_cap`` bounds the detail lookups of a slice (L15), ``max_pages`` its pages."""
+    a = api_rows(api, max_pages)
+    pages = search.withColumn("status", page_status(search))
+    html_src = pages.select(*SLICE, "page_num", "status", F.lit("html").alias("src"))
     api_src = a.select(*SLICE, "page_num", "status", F.lit("api").alias("src"))
     routed = L.source_fallback(api_src, html_src, SLICE, "page_num", "status")
     api_ok = a.join(routed.filter(F.col("src") == "api").select(*SLICE, "page_num"),
@@ -194,11 +237,21 @@ def run_ingest(spark: SparkSession, api: DataFrame, search: DataFrame, detail: D
     api_out = items.select(*SLICE, "page_num", F.col("item_id").alias("vacancy_id"),
                            F.col("item_json").alias("raw_json"))
     blocked = routed.filter(F.col("src") == "html").select(*SLICE).distinct()
-    html_out = html_rows(search.join(blocked, list(SLICE), "left_semi"), detail)
+    asked = pages.join(blocked, list(SLICE), "left_semi")
+    if max_pages is not None:
+        asked = asked.where(F.col("page_num") < max_pages)
+    good = asked.where("status = 200").select(*[c for c in search.columns if c != "status"])
+    html_out = html_rows(good, detail, max_pages, detail_cap, fetch_details)
     html_out = html_out.checkpoint(eager=True)
-    for r in L.empty_fallback_slices(a, html_out, SLICE, "page_num", "status").limit(1).collect():
+    failed = L.failed_slices(a, SLICE, "page_num", "status").select(
+        *SLICE, F.lit("api").alias("failed_source"), F.col("page_num").alias("failed_page"),
+        F.col("status").alias("failed_status")).unionByName(
+        failed_searches(asked.select(*SLICE, "page_num", "status"), html_out)).checkpoint(eager=True)
+    empty = L.empty_fallback_slices(a, html_out, SLICE, "page_num", "status").join(
+        failed, list(SLICE), "left_anti")
+    for r in empty.limit(1).collect():
         L.require_rows(html_out.limit(0), f"API blocked and the HTML fallback gave 0 rows: {r}")
-    rows = L.stamp(api_out.unionByName(html_out), snapshot_id)
+    rows = L.stamp(api_out.unionByName(html_out).join(failed, list(SLICE), "left_anti"), snapshot_id)
     keys = ["snapshot_id", *SLICE, "vacancy_id"]
     if bronze_exists is None:
         bronze_exists = B.table_exists(spark, bronze_path)
@@ -206,4 +259,11 @@ def run_ingest(spark: SparkSession, api: DataFrame, search: DataFrame, detail: D
         rows = B.anti_append(rows, B.read_bronze(spark, bronze_path, columns=keys), keys)
     rows = rows.checkpoint(eager=True)
     B.append_bronze(rows, bronze_path)
-    return L.ingest_report(rows, grid, SLICE, "vacancy_id")
+    report = L.ingest_report(rows, grid, SLICE, "vacancy_id").join(failed, list(SLICE), "left")
+    if raise_failed:
+        first = failed.orderBy(*SLICE).limit(20).collect()
+        if first:
+            raise SlicesFailed("; ".join(
+                f"{r['search_text']} / {r['search_area']}: {r['failed_source']} page "
+                f"{r['failed_page']} answered {r['failed_status']}" for r in first), report)
+    return report
