@@ -340,7 +340,8 @@ def test_line_dedup(spark):
     out = {r["doc_id"]: r for r in line_dedup.deduplicated(
         spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert out[2]["text"] == "only two\n\nend two" and out[2]["removed_lines"] == [1, 2, 3, 4, 5]
-    assert out[1]["text"] == rows[0][1] and out[3]["text"] == "" or out[3]["n_removed"] == 7
+    assert out[1]["text"] == rows[0][1] and out[1]["n_removed"] == 0
+    assert out[3]["text"] in ("", None) and out[3]["n_removed"] >= out[3]["n_lines"] == 7
     assert out[None]["n_removed"] == 0 and out[4]["text"] == "\nquite"
     assert out[5]["text"] is None and out[6]["text"] == ""
 

@@ -167,22 +167,25 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     return aligned.unionByName(copies.select("doc.doc_id", "doc.th", "idx")).distinct()
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, prefix: str = "") -> DataFrame:
     """All rows and columns of ``docs`` with repeated lines cut out of ``text`` (other lines
     and their order stay), plus ``n_lines`` (with a word), ``n_removed`` and
-    ``removed_lines`` (sorted, from 0).
+    ``removed_lines`` (sorted, from 0), their names led by ``prefix``; an input column of
+    the same name is replaced.
 
     A text whose lines all go becomes empty. Null and empty texts stay as they are;
     documents are told apart by (doc_id, text), so repeated rows are one document and all
     of them get the same answer; of exact copies under several ids the smallest id keeps
     its lines; an empty table gives no rows; extra columns are carried along.
     """
-    cut = repeated_lines(docs).groupBy(F.col("doc_id").alias(P + "id"), F.col("th").alias(P + "th")).agg(
-        F.array_sort(F.collect_list("idx")).alias("removed_lines"))
+    names = [prefix + n for n in ("n_lines", "n_removed", "removed_lines")]
+    cut = repeated_lines(docs.select("doc_id", "text")).groupBy(
+        F.col("doc_id").alias(P + "id"), F.col("th").alias(P + "th")).agg(
+        F.array_sort(F.collect_list("idx")).alias(P + "cut"))
     th = F.xxhash64(F.col("text").cast("string"))
     joined = docs.join(cut, docs["doc_id"].cast("long").eqNullSafe(cut[P + "id"])
                        & (th == cut[P + "th"]), "left").drop(P + "id", P + "th")
-    gone = F.coalesce("removed_lines", F.array().cast("array<int>"))
+    gone = F.coalesce(P + "cut", F.array().cast("array<int>"))
     split = F.split("text", "\n", -1)
     # runs of kept lines between deleted ones, so a long text is copied once
     bounds = F.concat(F.array(F.lit(-1)), gone, F.array(F.size(split)))
@@ -193,6 +196,6 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     n = F.size(F.filter(split, lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     return joined.select(
         *[F.when(F.size(gone) == 0, F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text")
-          if c == "text" else F.col(c) for c in docs.columns],
-        F.when(F.col("text").isNull(), 0).otherwise(n).cast("long").alias("n_lines"),
-        F.size(gone).cast("long").alias("n_removed"), gone.alias("removed_lines"))
+          if c == "text" else F.col(c) for c in docs.columns if c not in names],
+        F.when(F.col("text").isNull(), 0).otherwise(n).cast("long").alias(names[0]),
+        F.size(gone).cast("long").alias(names[1]), gone.alias(names[2]))

@@ -386,7 +386,8 @@ def frequent_phrases(docs: DataFrame, least: int, shard_bytes: int = SHARD_BYTES
     return result, totals
 
 
-def collocations(docs: DataFrame, least: int = 100, top: int | None = None) -> DataFrame:
+def collocations(docs: DataFrame, least: int = 100, top: int | None = None,
+                 shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Collocations per language: ``lang, rank, phrase, a, l, r, n, score``.
 
     A phrase of 2 to ``LONGEST`` words that occurs ``a >= least`` times is cut where
@@ -396,7 +397,7 @@ def collocations(docs: DataFrame, least: int = 100, top: int | None = None) -> D
     repeated rows count each time; an empty table gives no rows. Columns other than
     ``text`` and ``lang`` are not read. Counts up to 10^15 are exact.
     """
-    phrases, totals = frequent_phrases(docs, least)
+    phrases, totals = frequent_phrases(docs, least, shard_bytes)
     parts = phrases.select("ids", "f")
     cuts = (phrases.where(F.size("ids") > 1).where("closed").withColumn(
         "k", F.explode(F.sequence(F.lit(1), F.size("ids") - 1)))
