@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm import decontaminate, language, line_dedup, packing, simhash
-from tidepool.llm.common import matching, table
+from tidepool.llm.common import P, matching, table
 from tidepool.session import ensure_checkpoint_dir
 
 SHINGLE = 3
@@ -17,18 +17,21 @@ MAX_BITS = 2
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages, unchanged."""
+    """Documents in one of the learned languages, unchanged; null, empty and letterless
+    texts have no language and go."""
     verdict = language.predict(docs, language.fit_from_labels(docs))
     return matching(docs, language.rejected(verdict), "left_anti")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier one holds; those left without any word
-    they had go. ``n_chars`` follows the text."""
-    out = line_dedup.deduplicated(docs)
-    out = out.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
+    they had go. ``n_chars`` follows the text. Null and empty texts stay, and so does every
+    input column, whatever its name."""
+    removed, lines = P + "n_removed", P + "n_lines"
+    out = line_dedup.deduplicated(docs, P)
+    out = out.where((F.col(removed) == 0) | (F.col(removed) < F.col(lines)))
     return out.select(*[
-        F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col(c))
+        F.when(F.col(removed) > 0, F.char_length("text")).otherwise(F.col(c))
         .cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)
         for c in docs.columns])
 
