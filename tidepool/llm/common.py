@@ -43,7 +43,8 @@ def durable(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
+        writer = df.write.option("compression", "zstd")
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)

@@ -169,7 +169,7 @@ def neighbours(bwt: np.ndarray, lo: np.ndarray, n: np.ndarray):
     return np.minimum.reduceat(beside, begin), np.maximum.reduceat(beside, begin)
 
 
-LEVEL = ("shard long, parent long, word long, n long, lo_f int, lo_r int, "
+LEVEL = ("shard long, parent long, word long, tail long, n long, lo_f int, lo_r int, "
          "left_min long, left_max long, right_min long, right_max long, "
          "symbols binary, fwd binary, rev binary")
 _NAMES = [c.split()[0] for c in LEVEL.split(", ")]
@@ -183,17 +183,31 @@ def _level_batch(rows: int, **columns) -> pa.RecordBatch:
          for c, t in zip(_NAMES, _TYPES)], names=_NAMES)
 
 
-def _children(shard, ids, symbols, rev, lo_f, lo_r, n, rows: bool = True):
-    """Extension rows of the phrases ``ids``, in slices, with their intervals if ``rows``."""
+def _children(shard, ids, symbols, rev, lo_f, lo_r, n, tails=None):
+    """Extension rows of the phrases ``ids``, in slices. ``tails`` (phrase numbers, words ->
+    the id of the extension's phrase without its first word, 0: not frequent) drops
+    extensions that cannot be frequent and adds intervals to the rows of the others."""
     if not len(n):
         return
     phrase, word, f, r, count = extend_right(rev, last_to_first(rev), lo_f, lo_r, n)
+    places = {}
+    if tails is not None:
+        tail = tails(phrase, word)
+        ok = tail > 0
+        phrase, word, count = phrase[ok], word[ok], count[ok]
+        places = {"tail": tail[ok], "lo_f": f[ok], "lo_r": r[ok]}
     for i in range(0, len(count), 200_000):
         s = slice(i, i + 200_000)
         k = len(count[s])
-        places = {"lo_f": f[s], "lo_r": r[s]} if rows else {}
         yield _level_batch(k, shard=np.full(k, shard), parent=ids[phrase[s]],
-                           word=symbols[word[s]], n=count[s], **places)
+                           word=symbols[word[s]], n=count[s],
+                           **{c: x[s] for c, x in places.items()})
+
+
+def _found(key: np.ndarray, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The id of each ``at`` among the sorted ``key``; 0 where it is missing."""
+    near = np.minimum(np.searchsorted(key, at), len(key) - 1)
+    return np.where(key[near] == at, ids[near], 0)
 
 
 def _coded(words, known) -> tuple[np.ndarray, np.ndarray]:
@@ -236,7 +250,7 @@ def _pair_batches(batches):
             if len(t) > 2:
                 used, lo, n = _single(t, len(symbols))
                 yield from _children(shard.as_py(), symbols[used], symbols,
-                                     transform(t[::-1]), lo, lo, n, rows=False)
+                                     transform(t[::-1]), lo, lo, n)
 
 
 def _index_batches(batches):
@@ -259,11 +273,12 @@ def _index_batches(batches):
                                fwd=[fwd.tobytes()], rev=[rev.tobytes()])
             used, lo, n = _single(t, len(symbols))
             first, word, f, r, n = extend_right(rev, last_to_first(rev), lo, lo, n)
-            own = ids[np.searchsorted(key, used[first] * len(symbols) + word)]
-            yield from _grown(shard.as_py(), own, symbols, fwd, rev, f, r, n)
+            own = _found(key, ids, used[first] * len(symbols) + word)
+            yield from _grown(shard.as_py(), own, symbols, fwd, rev, f, r, n,
+                              lambda p, c: _found(key, ids, word[p] * len(symbols) + c))
 
 
-def _grown(shard, ids, symbols, fwd, rev, f, r, n):
+def _grown(shard, ids, symbols, fwd, rev, f, r, n, tails):
     """Rows of the phrases ``ids``: their neighbours, then their extensions."""
     left, right = neighbours(fwd, f, n), neighbours(rev, r, n)
     for i in range(0, len(ids), 200_000):
@@ -272,19 +287,32 @@ def _grown(shard, ids, symbols, fwd, rev, f, r, n):
             len(ids[s]), shard=np.full(len(ids[s]), shard), parent=ids[s], n=n[s],
             left_min=symbols[left[0][s]], left_max=symbols[left[1][s]],
             right_min=symbols[right[0][s]], right_max=symbols[right[1][s]])
-    yield from _children(shard, ids, symbols, rev, f, r, n)
+    yield from _children(shard, ids, symbols, rev, f, r, n, tails)
 
 
 def _extend_batches(batches):
-    """(shard, symbols, fwd, rev, [(id, lo_f, lo_r, n)]) -> neighbours, extensions."""
+    """(shard, symbols, fwd, rev, [(parent, word, tail, id, lo_f, lo_r, n)]) -> neighbours,
+    extensions."""
     for batch in batches:
         for shard, symbols, fwd, rev, known in zip(*batch.columns):
             symbols = np.frombuffer(symbols.as_buffer(), dtype=np.int64)
             fwd = np.frombuffer(fwd.as_buffer(), dtype=np.int32)
             rev = np.frombuffer(rev.as_buffer(), dtype=np.int32)
-            ids, f, r, n = (known.values.field(c).to_numpy().astype(np.int64)
-                            for c in ("id", "lo_f", "lo_r", "n"))
-            yield from _grown(shard.as_py(), ids, symbols, fwd, rev, f, r, n)
+            parent, word, tail, ids, f, r, n = (
+                known.values.field(c).to_numpy().astype(np.int64)
+                for c in ("parent", "word", "tail", "id", "lo_f", "lo_r", "n"))
+            # (parent, word) of every known phrase as one number, in order
+            heads = np.unique(parent)
+            key = np.searchsorted(heads, parent) * len(symbols) + np.searchsorted(symbols, word)
+            order = np.argsort(key)
+            key, own = key[order], ids[order]
+            head = _found(heads, np.arange(1, len(heads) + 1), tail)
+
+            def tails(p, c):
+                at = _found(key, own, (head[p] - 1) * len(symbols) + c)
+                return np.where(head[p] > 0, at, 0)
+
+            yield from _grown(shard.as_py(), ids, symbols, fwd, rev, f, r, n, tails)
 
 
 # -- levels over all shards ---------------------------------------------------------------
@@ -353,9 +381,10 @@ def frequent_phrases(docs: DataFrame, least: int, shard_bytes: int = SHARD_BYTES
         if size == LONGEST:
             out.append(phrases.select("lang", "ids", "phrase", "f", F.lit(True).alias("closed")))
             break
-        known = _known(rows.select("parent", "word", "shard", "lo_f", "lo_r", "n"),
+        known = _known(rows.select("parent", "word", "tail", "shard", "lo_f", "lo_r", "n"),
                        _keys(phrases, "parent", "word", "id"), ["parent", "word"],
-                       ["parent", "word", "id"] if size == 2 else ["id", "lo_f", "lo_r", "n"])
+                       ["parent", "word", "id"] if size == 2
+                       else ["parent", "word", "tail", "id", "lo_f", "lo_r", "n"])
         if size == 2:
             pairs = known.withColumnRenamed("known", "pairs")
             step = texts.join(coded, "shard").join(pairs, "shard").select(
