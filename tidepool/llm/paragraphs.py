@@ -10,6 +10,7 @@ of verified pairs are the clusters. The first place of a cluster stays, the othe
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidepool.llm.common import ascii_lower, documents, durable, text_blocks
+from tidepool.llm.common import ascii_lower, discard, documents, durable, text_blocks
 from tidepool.llm.components import connected_components
 from tidepool.llm.quality_rules import BLANKS, let
 
@@ -199,15 +200,26 @@ def _crowd_links(crowd: DataFrame, sets: DataFrame) -> DataFrame:
     return star.unionByName(rest.select(*ends).unionByName(across.select(*ends)).distinct())
 
 
+def buckets(parts: DataFrame) -> list[DataFrame]:
+    """(h, key, size) of every band bucket with two or more different paragraphs, a written
+    table per band.
+
+    Most keys occur once. Bands are taken one after the other, so that the disk holds the
+    shuffles of a single band, and ``durable`` clears those before the next one starts.
+    Equal paragraphs are one row before their key is shuffled.
+    """
+    found = []
+    for band in (c for c in parts.columns if c.startswith("k")):
+        once = parts.groupBy("h").agg(F.first(band).alias("key"))
+        sized = once.withColumn("size", F.count("*").over(Window.partitionBy("key")))
+        found.append(durable(sized.where("size > 1"), "buckets"))
+    return found
+
+
 def paragraph_links(docs: DataFrame, parts: DataFrame) -> DataFrame:
     """Edges (a, b) between content hashes of different paragraphs at the threshold."""
-    bands = [c for c in parts.columns if c.startswith("k")]
-    # equal paragraphs are one row before the bands are shuffled, so that a key's rows are
-    # different paragraphs
-    once = parts.groupBy("h").agg(*[F.first(c).alias(c) for c in bands])
-    members = once.select("h", F.explode(F.array(*bands)).alias("key")).withColumn(
-        "size", F.count("*").over(Window.partitionBy("key"))).where("size > 1")
-    members = durable(members, "buckets")
+    found = buckets(parts)
+    members = reduce(DataFrame.unionByName, found)
     place = F.min(F.struct("doc_id", "th", "start", "n")).alias("place")
     wanted = members.select(F.col("h").alias("w")).distinct()
     places = parts.join(wanted, parts["h"] == wanted["w"], "left_semi").groupBy("h").agg(place)
@@ -220,6 +232,8 @@ def paragraph_links(docs: DataFrame, parts: DataFrame) -> DataFrame:
     crowd = members.where(F.col("size") > CROWDED).select("key", "h")
     if not crowd.isEmpty():
         links = links.unionByName(_crowd_links(crowd, sets))
+    links = durable(links, "links")
+    discard(sets, *found)
     return links
 
 
