@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,6 +62,36 @@ def assert_no_failures(counts: DataFrame) -> dict[str, int]:
     return row
 
 
+def observe_checks(df: DataFrame, name: str, not_null_cols: Sequence[str] = (),
+                   scope: Column | None = None, scoped_not_null: Sequence[str] = (),
+                   scoped_accepted: Mapping[str, Sequence] | None = None
+                   ) -> tuple[DataFrame, Observation]:
+    """D1 + D2 without a scan of their own: ``df`` that counts its failing rows while
+    something else reads it, and the observation that holds the counts afterwards.
+
+    ``not_null_cols`` look at every row, the scoped checks at rows where ``scope`` holds.
+    Names are those of :func:`check_counts`. The counts are exact about zero: a stage that
+    runs again after an executor was lost can count a failing row twice, never hide one.
+    """
+    scope = F.lit(True) if scope is None else scope
+    aggs = [F.count_if(F.col(c).isNull()).alias(f"not_null__{c}") for c in not_null_cols]
+    aggs += [F.count_if(scope & F.col(c).isNull()).alias(f"not_null__{c}")
+             for c in scoped_not_null]
+    aggs += [F.count_if(scope & ~F.col(c).isin(list(vals))).alias(f"accepted__{c}")
+             for c, vals in (scoped_accepted or {}).items()]
+    seen = Observation(name)
+    return df.observe(seen, *aggs), seen
+
+
+def assert_observed(*seen: Observation) -> dict[str, int]:
+    """Raise on any failure that the observations of a finished write counted."""
+    counts = {k: v for o in seen for k, v in o.get.items()}
+    bad = {k: v for o in seen for k, v in o.get.items() if v}
+    if bad:
+        raise GateError(f"data tests failed: {bad}")
+    return counts
+
+
 def unique_violations(df: DataFrame, keys: Sequence[str],
                       count_alias: str = "n_rows") -> DataFrame:
     """Key groups that occur more than once (partial count per task, so a
