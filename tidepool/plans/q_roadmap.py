@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidepool.operators import gold
+from tidepool.operators import gold, keywords, retention
 from tidepool.plans import q_lineitem as QL
 from tidepool.plans.registry import query
 from tidepool.sources.tables import read_table
@@ -104,3 +104,66 @@ def r4_keyword_skills(spark, sf):
              .filter(F.col("skill") != "").distinct())
     words = read_table(spark, sf, "documents").select(F.explode(terms("text")).alias("skill"))
     return words.join(vocab, "skill").groupBy("skill").agg(F.count(F.lit(1)).alias("docs"))
+
+
+LAGS = (1, 2, 3, 6, 12)
+
+
+@query("r3_retention", CHAIN + f"""
+, m AS (SELECT DISTINCT p.p_brand AS employer, s.vacancy_id,
+               year(s.ingested_at) * 12 + month(s.ingested_at) AS mo
+        FROM silver s JOIN part p ON p.p_partkey = s.l_partkey),
+c AS (SELECT a.employer, l.lag, count(*) AS seen, count(b.mo) AS kept
+      FROM m a CROSS JOIN (SELECT unnest({list(LAGS)}) AS lag) l
+      LEFT JOIN m b ON b.employer = a.employer AND b.vacancy_id = a.vacancy_id
+                   AND b.mo = a.mo + l.lag
+      WHERE a.mo + l.lag <= (SELECT max(mo) FROM m) GROUP BY a.employer, l.lag)
+SELECT employer, CAST(lag AS INTEGER) AS lag, seen, kept, (kept * 10000) // seen AS kept_bp FROM c""")
+def r3_retention(spark, sf):
+    """Employers (part brands): share of vacancies (suppliers) of a month that are in the
+    snapshots of the month 1 to 12 months later."""
+    part = read_table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"),
+                                                F.col("p_brand").alias("employer"))
+    seen = QL.silver_df(spark, sf).select("vacancy_id", "l_partkey", "ingested_at")
+    return retention.retention(seen.join(part, "l_partkey"), ["employer"], "vacancy_id",
+                               retention.month_index("ingested_at"), LAGS)
+
+
+PHRASE_WORDS = 4
+
+
+@query("r4_phrase_skills", f"""
+WITH items AS (
+  SELECT list_filter(string_split_regex(lower(text), '{WORD_SEPARATOR}'), lambda x: x <> '') AS w
+  FROM benchmark),
+cuts AS (SELECT w, unnest(range(0, len(w), {PHRASE_WORDS})) AS i FROM items),
+dict AS (SELECT DISTINCT array_to_string(
+           w[i + 1 : i + 1 + (i // {PHRASE_WORDS}) % {PHRASE_WORDS}], ' ') AS skill FROM cuts),
+docs AS (SELECT row_number() OVER () AS r, doc_id,
+           list_filter(string_split_regex(lower(text), '{WORD_SEPARATOR}'), lambda x: x <> '') AS w
+         FROM documents),
+placed AS (SELECT r, doc_id, unnest(w) AS w1, generate_subscripts(w, 1) AS p FROM docs),
+near AS (SELECT r, doc_id, p, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3,
+           lead(w1, 3) OVER o AS w4 FROM placed WINDOW o AS (PARTITION BY r ORDER BY p)),
+grams AS (SELECT r, doc_id, p, 1 AS k, w1 AS skill FROM near
+  UNION ALL SELECT r, doc_id, p, 2, w1 || ' ' || w2 FROM near
+  UNION ALL SELECT r, doc_id, p, 3, w1 || ' ' || w2 || ' ' || w3 FROM near
+  UNION ALL SELECT r, doc_id, p, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM near),
+hits AS (SELECT r, doc_id, p, max(k) AS k, arg_max(g.skill, k) AS skill
+         FROM grams g JOIN dict d ON d.skill = g.skill GROUP BY r, doc_id, p)
+SELECT skill, CAST(k AS INTEGER) AS n_words, count(*) AS places, count(DISTINCT doc_id) AS docs
+FROM hits GROUP BY skill, k""")
+def r4_phrase_skills(spark, sf):
+    """Skills of one to four words in whole texts, the longest at each place. The
+    dictionary are phrases of 1, 2, 3, 4, 1 ... words that start at every fourth word of
+    the ``benchmark`` items."""
+    w = keywords.words(F.col("text"), WORD_SEPARATOR)
+    items = read_table(spark, sf, "benchmark").select(w.alias("w")).where(F.size("w") > 0)
+    cuts = items.select("w", F.explode(
+        F.sequence(F.lit(0), F.size("w") - 1, F.lit(PHRASE_WORDS))).alias("i"))
+    length = F.floor(F.col("i") / PHRASE_WORDS) % PHRASE_WORDS + 1
+    skills = cuts.select(F.slice("w", F.col("i") + 1, length.cast("int")).alias("skill"))
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    found = keywords.longest_matches(docs, "doc_id", w, skills, "skill", PHRASE_WORDS)
+    return found.groupBy(F.col("phrase").alias("skill"), "n_words").agg(
+        F.count(F.lit(1)).alias("places"), F.count_distinct("doc_id").alias("docs"))
