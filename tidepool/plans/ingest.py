@@ -256,7 +256,7 @@ def run_ingest(spark: SparkSession, api: DataFrame, search: DataFrame, detail: D
     if bronze_exists is None:
         bronze_exists = B.table_exists(spark, bronze_path)
     if bronze_exists:
-        rows = B.anti_append(rows, B.read_bronze(spark, bronze_path, columns=keys), keys)
+        rows = B.retry_safe(rows, bronze_path, keys)
     rows = rows.checkpoint(eager=True)
     B.append_bronze(rows, bronze_path)
     report = L.ingest_report(rows, grid, SLICE, "vacancy_id").join(failed, list(SLICE), "left")

@@ -5,12 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.functions.text import month_key
 from tidepool.operators.silver import arg_extreme
+from tidepool.sources import snapshot_months
 
 BRONZE_SCHEMA = T.StructType([
     T.StructField("ingested_at", T.TimestampType(), False),
@@ -71,14 +72,19 @@ def append_bronze(df: DataFrame, path: str, source: str = "landing",
     slice, key): a batch usually holds one month and one snapshot, and the slice and key
     still split it over many tasks. Files are capped in size. The commit protocol makes a
     failed or retried task leave no partial files; a re-run of the whole batch is
-    guarded by :func:`anti_append`."""
+    guarded by :func:`anti_append`. The months of the batch's snapshots are observed by the
+    write itself and published for :func:`retry_safe`."""
     out = with_defaults(df, source, ts)
     cols = [c for c in columns if c in out.columns] + [PARTITION_COL]
     keys = [PARTITION_COL, *sort]
     split = [c for c in SPLIT_COLUMNS if c in cols and c not in keys]
-    (out.select(*cols).repartitionByRange(*keys, *split).sortWithinPartitions(*keys)
+    rows = out.select(*cols).repartitionByRange(*keys, *split).sortWithinPartitions(*keys)
+    spark, seen = df.sparkSession, Observation()
+    folders = snapshot_months.open_append(spark, path, table_exists(spark, path))
+    (rows.observe(seen, F.collect_set(F.struct("snapshot_id", PARTITION_COL)).alias("pairs"))
      .write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
      .partitionBy(PARTITION_COL).parquet(path))
+    snapshot_months.close_append(spark, path, folders, seen.get["pairs"])
 
 
 def anti_append(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -88,6 +94,17 @@ def anti_append(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> Dat
     return new.join(existing.select(*keys), list(keys), "left_anti")
 
 
+def retry_safe(new: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
+    """S3 against a stored table: rows of ``new`` whose key (which holds ``snapshot_id``) is
+    not in it, reading only the months of the batch's snapshots; all of ``new`` where there
+    is no table yet."""
+    spark = new.sparkSession
+    if not table_exists(spark, path):
+        return new
+    stored = read_bronze(spark, path, columns=[*keys, PARTITION_COL])
+    return anti_append(new, snapshot_months.rows_of_snapshots(stored, path, new), keys)
+
+
 def layer_name(layer: str | None, default_schema: str,
                schemas: dict[str, str] | None = None) -> str:
     """Layer short name -> schema; no layer -> default; unknown -> default_layer."""

@@ -23,15 +23,12 @@ from tidepool.operators import silver as S
 from tidepool.operators import snapshots
 from tidepool.session import bounded_broadcast
 from tidepool.sources import bronze as B
+from tidepool.sources.snapshot_months import months_of, snapshot_months
 from tidepool.streaming.gold_stream import Rollup, refresh_gold
 
 RETRY_KEYS = ("snapshot_id", "search_text", "search_area", "vacancy_id")
 
 
-def _months(df: DataFrame) -> list:
-    return sorted(r[0] for r in df.select(B.PARTITION_COL).distinct().collect())
-
-
 def rebuild_silver(spark: SparkSession, bronze_path: str, silver_path: str,
                    months: Sequence, build: Callable[[DataFrame], DataFrame]) -> None:
     """Recompute silver for the given months from bronze and replace exactly those month
@@ -39,14 +36,15 @@ def rebuild_silver(spark: SparkSession, bronze_path: str, silver_path: str,
 
     Every snapshot with a row in one of the months is judged and reduced on all of its
     rows, whichever month they are in; of the result only the given months are written, and
-    each of their rows comes from such a snapshot. Month filters are literals, so other
-    partitions are not read."""
+    each of their rows comes from such a snapshot. Which months those snapshots span is
+    looked up in the index beside bronze, and month filters are literals, so other partitions
+    are not read."""
     b = B.read_bronze(spark, bronze_path, columns=[*B.BRONZE_COLUMNS, B.PARTITION_COL])
     months = list(months)
-    ids = bounded_broadcast(b.where(F.col(B.PARTITION_COL).isin(months))
+    ids = bounded_broadcast(snapshot_months(spark, bronze_path)
+                            .where(F.col(B.PARTITION_COL).isin(months))
                             .select("snapshot_id").distinct())
-    narrow = B.read_bronze(spark, bronze_path, columns=["snapshot_id", B.PARTITION_COL])
-    span = _months(narrow.join(ids, "snapshot_id", "left_semi"))
+    span = months_of(spark, bronze_path, ids)
     rows = b.where(F.col(B.PARTITION_COL).isin(span)).join(ids, "snapshot_id", "left_semi")
     out = build(rows).withColumn(B.PARTITION_COL, month_key("ingested_at"))
     out = out.where(F.col(B.PARTITION_COL).isin(months)).checkpoint(eager=True)
@@ -79,19 +77,13 @@ def start_incremental(spark: SparkSession, landing_path: str, bronze_path: str,
               .option("recursiveFileLookup", "true").parquet(landing_path))
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        fresh = df
-        if B.table_exists(spark, bronze_path):
-            stored = B.read_bronze(spark, bronze_path, columns=list(keys))
-            scope = bounded_broadcast(df.select("snapshot_id").distinct())
-            fresh = B.anti_append(df, stored.join(scope, "snapshot_id", "left_semi"), keys)
+        fresh = B.retry_safe(df, bronze_path, keys)
         fresh = fresh.checkpoint(eager=True)  # reused below; survives executor loss
         if not fresh.isEmpty():
             B.append_bronze(fresh, bronze_path, source=source)
         # the snapshots of the whole micro-batch, not only its new rows: a batch that is
         # replayed after failing between append and silver still rebuilds silver
-        touched = bounded_broadcast(df.select("snapshot_id").distinct())
-        months = _months(B.read_bronze(spark, bronze_path, columns=["snapshot_id", B.PARTITION_COL])
-                         .join(touched, "snapshot_id", "left_semi"))
+        months = months_of(spark, bronze_path, df)
         if months:
             rebuild_silver(spark, bronze_path, silver_path, months, build)
             if gold_state and rollup:
