@@ -24,25 +24,37 @@ UNDETERMINED = "und"
 BLANK = 1                       # symbol of every run of non-letters
 CHARS_PER_LANGUAGE = 20_000     # labelled characters behind one automaton (fit bound)
 DOCS_PER_LANGUAGE = 200         # labelled documents they are taken from (fit bound)
-MAX_LANGUAGES = 200             # fit bound
+CHARS_IN_ALL = 4_000_000        # of all languages together, shared alike (fit bound)
+MIN_CHARS = 200                 # that every language gets, however many there are
 MIN_PHRASE_CHARS = 1.5
-CHUNK = 512                     # characters parsed in lock step; whole texts are covered
+CHUNK = 2048                    # symbols parsed in lock step; phrases go on across chunks
+VOID = 0                        # state before a text and after an unknown letter: no moves
 _ROWS = 4096                    # chunks in one numpy block
 
 
 @dataclass
 class Model:
-    """``step[state, symbol]`` is the next state of all automata in one table (-1: none);
+    """All automata in one sparse table. The move of ``state`` by ``symbol`` stands at slot
+    ``base[state] + symbol`` if that slot's ``owner`` is the state; ``target`` is the next
+    state. ``restart[language, symbol]`` is the state after a phrase's first symbol.
     ``classes`` maps a code point to its symbol; symbol 0 stands for all others."""
     languages: list[str]
-    roots: np.ndarray
     weight: np.ndarray
-    step: np.ndarray
+    base: np.ndarray
+    owner: np.ndarray
+    target: np.ndarray
+    restart: np.ndarray
     classes: np.ndarray
 
+    @property
+    def nbytes(self) -> int:
+        return sum(x.nbytes for x in (self.weight, self.base, self.owner, self.target,
+                                      self.restart, self.classes))
 
-def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
-    """Transitions of the suffix automaton of ``symbols``: rows are states, row 0 the root."""
+
+def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
+    """Moves of the suffix automaton of ``symbols`` by state; state 0 is the root. There are
+    fewer than two states and three moves a symbol."""
     nxt, link, length, last = [{}], [-1], [0], 0
     for c in symbols:
         cur = len(nxt)
@@ -63,16 +75,43 @@ def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    table = np.full((len(nxt), width), -1, np.int32)
-    for state, moves in enumerate(nxt):
-        for c, to in moves.items():
-            table[state, c] = to
-    return table
+    return nxt
+
+
+def displace(moves: list[dict[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row displacement: every state gets a base at which its moves fall on free slots, states
+    with most moves first; (base, owner, target), owner -1 where a slot is free."""
+    base = np.zeros(len(moves), np.int64)
+    taken, start = bytearray(1 << 12), {}
+    for state in sorted(range(len(moves)), key=lambda x: (-len(moves[x]), x)):
+        row = sorted(moves[state])
+        if not row:
+            continue
+        gaps = [c - row[0] for c in row]
+        at = taken.find(0, start.get(len(row), 0))
+        while True:
+            if at < 0 or at + gaps[-1] >= len(taken):
+                taken.extend(bytes(max(len(taken), gaps[-1] + 1)))
+                at = taken.find(0, start.get(len(row), 0)) if at < 0 else at
+                continue
+            if not any(taken[at + g] for g in gaps):
+                break
+            at = taken.find(0, at + 1)
+        for g in gaps:
+            taken[at + g] = 1
+        start[len(row)] = at + 1
+        base[state] = at - row[0]
+    used = taken.rfind(1) + 1
+    owner, target = np.full(used, -1, np.int32), np.full(used, -1, np.int32)
+    for state, row in enumerate(moves):
+        for c, to in row.items():
+            owner[base[state] + c], target[base[state] + c] = state, to
+    return base, owner, target
 
 
 def letter_classes(alphabet: list[str]) -> np.ndarray:
     """Code point to symbol: blank for every non-letter, 0 for letters outside the sample."""
-    classes = np.array([0 if chr(i).isalpha() else BLANK for i in range(0x110000)], np.uint16)
+    classes = np.array([0 if chr(i).isalpha() else BLANK for i in range(0x110000)], np.uint32)
     for i, c in enumerate(alphabet, BLANK + 1):
         classes[ord(c)] = i
     return classes
@@ -95,34 +134,44 @@ def fit(samples: dict[str, str]) -> Model:
     languages = sorted(x for x in samples if samples[x])
     alphabet = sorted({c for x in languages for c in samples[x].lower() if c.isalpha()})
     classes, width = letter_classes(alphabet), len(alphabet) + BLANK + 1
-    tables, roots, weight, base = [], [], [], 0
-    for x in languages:
+    free = np.full(width, -1, np.int32)         # bases may lie up to a width outside
+    bases, owners, targets = [np.zeros(1, np.int64)], [free], [free]
+    restart, weight = np.zeros((len(languages), width), np.int32), []
+    states, slots = VOID + 1, width
+    for k, x in enumerate(languages):
         syms, _ = symbols_of([samples[x]], classes)
-        t = suffix_automaton(syms.tolist(), width)
-        tables.append(np.where(t >= 0, t + base, -1).astype(np.int32))
-        roots.append(base)
+        moves = suffix_automaton(syms.tolist())
+        base, owner, target = displace(moves)
+        for c, to in moves[0].items():
+            restart[k, c] = to + states
+        bases.append(base + slots)
+        owners.append(np.where(owner >= 0, owner + states, -1).astype(np.int32))
+        targets.append(np.where(target >= 0, target + states, -1).astype(np.int32))
         weight.append(math.log2(max(2, len(syms))))
-        base += len(t)
-    step = np.concatenate(tables) if tables else np.zeros((0, width), np.int32)
-    return Model(languages, np.array(roots, np.int64), np.array(weight), step, classes)
+        states, slots = states + len(moves), slots + len(owner)
+    return Model(languages, np.array(weight), np.concatenate(bases),
+                 np.concatenate([*owners, free]), np.concatenate([*targets, free]),
+                 restart, classes)
 
 
 def fit_from_labels(docs: DataFrame) -> Model:
     """Model from rows with a language that are not held out.
 
-    The sample is bounded: of each language (the ``MAX_LANGUAGES`` most frequent ones) the
-    ``DOCS_PER_LANGUAGE`` documents with the smallest id hashes, one stretch of each, at
-    most ``CHARS_PER_LANGUAGE`` characters together. Everything predicted uses whole texts.
+    The sample is bounded: of each language the ``DOCS_PER_LANGUAGE`` documents with the
+    smallest id hashes, one stretch of each, at most ``CHARS_PER_LANGUAGE`` characters
+    together. Every labelled language is learned; more than ``CHARS_IN_ALL /
+    CHARS_PER_LANGUAGE`` of them share ``CHARS_IN_ALL`` (``MIN_CHARS`` at least). Everything
+    predicted uses whole texts.
     """
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("text").cast("string").alias("text"),
                         F.col("lang").cast("string").alias("lang"))
             .where("lang IS NOT NULL").where(~held_out(F.col("doc_id"), 3, 1)))
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    known = [r["lang"] for r in sizes.collect()]
-    piece = max(1, 2 * CHARS_PER_LANGUAGE // DOCS_PER_LANGUAGE)
+    known = rows.agg(F.count_distinct("lang")).first()[0]
+    chars = max(MIN_CHARS, min(CHARS_PER_LANGUAGE, CHARS_IN_ALL // max(known, 1)))
+    piece = max(1, 2 * chars // DOCS_PER_LANGUAGE)
     key = F.xxhash64("doc_id", F.lit("language fit"))
-    picked = (rows.where(F.col("lang").isin(known)).where(F.col("text").rlike(r"\p{L}"))
+    picked = (rows.where(F.col("text").rlike(r"\p{L}"))
               .select("lang", key.alias("key"),
                       F.expr(f"substring(text, CAST(1 + pmod(xxhash64(doc_id), greatest("
                              f"char_length(text) - {piece}, 0) + 1) AS INT), {piece})").alias("t"))
@@ -132,40 +181,51 @@ def fit_from_labels(docs: DataFrame) -> Model:
     samples: dict[str, str] = {}
     for r in sorted(picked.collect(), key=lambda r: (r["lang"], r["n"])):
         have = samples.get(r["lang"], "")
-        if len(have) < CHARS_PER_LANGUAGE:
-            samples[r["lang"]] = (have + " " + r["t"])[:CHARS_PER_LANGUAGE]
+        if len(have) < chars:
+            samples[r["lang"]] = (have + " " + r["t"])[:chars]
     return fit(samples)
 
 
 def count_phrases(model: Model, syms: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Phrases per document (rows) and language (columns). Texts are parsed in chunks of
-    ``CHUNK`` symbols; a chunk's end closes a phrase in every language alike."""
-    n_lang, width = len(model.languages), model.step.shape[1]
-    flat = model.step.ravel()
-    restart = model.step[model.roots]
-    restart = np.where(restart >= 0, restart, model.roots[:, None]).ravel()
-    row = (np.arange(n_lang) * width)[:, None]
+    """Phrases per document (rows) and language (columns) of the greedy parse from left to
+    right; a letter the language lacks is a phrase of its own.
+
+    Chunks of ``CHUNK`` symbols are parsed side by side, at first as if a phrase began at
+    each; then every chunk is parsed again whose predecessor was left in another state, until
+    all agree. Parses fall into step soon, so that this mostly takes two rounds.
+    """
+    n_lang = len(model.languages)
     per_doc = -(-sizes // CHUNK)
     doc = np.repeat(np.arange(len(sizes)), per_doc)
     nth = np.arange(len(doc)) - np.repeat(np.cumsum(per_doc) - per_doc, per_doc)
     start = np.repeat(np.cumsum(sizes) - sizes, per_doc) + nth * CHUNK
     length = np.minimum(CHUNK, np.repeat(sizes, per_doc) - nth * CHUNK)
-    order = np.argsort(-length, kind="stable")
+    enter = np.full((n_lang, len(doc)), VOID, np.int32)
+    leave, count = enter.copy(), np.zeros((n_lang, len(doc)), np.int64)
+    row = np.arange(n_lang)[:, None]
+    todo = np.arange(len(doc))
+    while len(todo):
+        todo = todo[np.argsort(-length[todo], kind="stable")]
+        for i in range(0, len(todo), _ROWS):
+            block = todo[i:i + _ROWS]
+            at, left = start[block], length[block]
+            active = np.searchsorted(-left, -np.arange(1, CHUNK + 1), side="right")
+            state, seen = enter[:, block], np.zeros((n_lang, len(block)), np.int64)
+            for t in range(int(left[0])):
+                k = active[t]
+                s, now = syms[at[:k] + t], state[:, :k]
+                slot = model.base.take(now) + s
+                miss = model.owner.take(slot) != now
+                seen[:, :k] += miss
+                state[:, :k] = np.where(miss, model.restart[row, s], model.target.take(slot))
+            leave[:, block], count[:, block] = state, seen
+        after = todo[todo + 1 < len(doc)] + 1
+        after = after[nth[after] > 0]
+        after = after[(enter[:, after] != leave[:, after - 1]).any(axis=0)]
+        enter[:, after] = leave[:, after - 1]
+        todo = after
     out = np.zeros((len(sizes), n_lang), np.int64)
-    for i in range(0, len(order), _ROWS):
-        block = order[i:i + _ROWS]
-        at, left = start[block], length[block]
-        active = np.searchsorted(-left, -np.arange(1, CHUNK + 1), side="right")
-        state = np.repeat(model.roots[:, None], len(block), axis=1)
-        count = np.ones((n_lang, len(block)), np.int64)
-        for t in range(int(left[0]) if len(left) else 0):
-            k = active[t]
-            s = syms[at[:k] + t].astype(np.int64)
-            nxt = flat.take(state[:, :k] * width + s)
-            miss = nxt < 0
-            count[:, :k] += miss
-            state[:, :k] = np.where(miss, restart.take(row + s), nxt)
-        np.add.at(out, doc[block], count.T)
+    np.add.at(out, doc, count.T)
     return out
 
 
