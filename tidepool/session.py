@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # Rows below which a derived side (set of snapshot ids, key list, ...) is broadcast.
 # Anything above goes through a shuffle join and AQE decides at runtime.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+# And the bytes of its values (as JSON text) up to which it is.
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
 def build_session(master: str | None = None, app: str = "tidepool",
@@ -78,9 +80,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Materialise a *derived, expectedly small* side and broadcast it only if its
-    measured size is under ``max_rows``.
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Materialise a *derived, expectedly small* side and broadcast it only if it measures
+    at most ``max_rows`` rows and ``max_bytes`` bytes of values, counted in one job.
 
     The side is written with a reliable ``checkpoint`` (survives executor loss and
     cuts lineage, so the aggregate that produced it is not recomputed by the join);
@@ -89,5 +92,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     """
     ensure_checkpoint_dir(df.sparkSession)
     materialised = df.checkpoint(eager=True)
-    n = materialised.count()
-    return F.broadcast(materialised) if n <= max_rows else materialised
+    n, size = materialised.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)),
+    ).first()
+    return F.broadcast(materialised) if n <= max_rows and size <= max_bytes else materialised
