@@ -78,8 +78,9 @@ def best_row_fused(df: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[st
     row ``ORDER BY order DESC`` ranks first. Every aggregate is partial: a map task
     keeps one candidate struct, one set entry per slice value and one counter per key, so
     skewed keys are combined before the shuffle. The set aggregate makes it an object hash
-    aggregate, which does not sort its input. Keep very wide columns out of ``cols`` when
-    keys rarely repeat; then W1 moves less data.
+    aggregate; beyond ``spark.sql.objectHashAggregate.sortBased.fallbackThreshold`` keys a
+    task (128 unless set) Spark goes on by sorting. Keep very wide columns out of ``cols``
+    when keys rarely repeat; then W1 moves less data.
     """
     cols = [c for c in (cols if cols is not None else df.columns) if c not in keys]
     aggs = [arg_extreme(order, cols).alias("_best"), *set_aggregates(sets),
