@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidepool.llm import hard_negatives, line_dedup, phrases, suffix_index
@@ -126,6 +127,60 @@ def test_collocations_equal_a_count_of_all_phrases(spark):
     assert got == collocations(rows, 12, 50) and {x[0] for x in got} == {"en", "fr", "und"}
 
 
+def test_counts_leave_groups_of_shards_summed(spark, monkeypatch):
+    """80 shards of one text: from three words on, rows follow Spark's cores, not shards."""
+    made, write = {}, phrases.durable
+    def counted(df, name, *rest):
+        out = write(df, name, *rest)
+        if name.startswith("phrase-extensions"):
+            made[name] = out.where("word IS NOT NULL").count(), out.where("left_min IS NOT NULL").count()
+        return out
+    monkeypatch.setattr(phrases, "durable", counted)
+    docs = spark.createDataFrame([("en", "a b c d e f g")] * 80, "lang string, text string").repartition(4)
+    got = sorted(map(tuple, phrases.collocations(docs, 80, shard_bytes=1).collect()))
+    assert got == collocations([("en", "a b c d e f g")] * 80, 80, None)
+    cores = spark.sparkContext.defaultParallelism
+    assert cores < 40 and len(made) == 3
+    for size, (extensions, beside) in zip((3, 4, 5), (made[x] for x in sorted(made))):
+        assert 8 - size <= extensions <= cores * (8 - size) and 9 - size <= beside <= cores * (9 - size)
+
+
+def test_sums_of_a_group_are_bounded(monkeypatch):
+    """A group with more counts than a task holds leaves in parts with the same sums."""
+    r = random.Random(5)
+    want, sides, states = collections.Counter(), {}, []
+    for group in (1, 1, 1, 2, 2):
+        pairs = sorted({(r.randint(1, 9), r.randint(1, 9)) for _ in range(20)})
+        n = [r.randint(1, 5) for _ in pairs]
+        beside = {own: sorted(r.randint(0, 9) for _ in range(2)) for own in range(1, 8)}
+        for (p, w), k in zip(pairs, n):
+            want[group, p, w] += k
+        for own, (a, b) in beside.items():
+            x, y = sides.get((group, own), (a, b))
+            sides[group, own] = min(a, x), max(b, y)
+        low, high = zip(*beside.values())
+        columns = [*zip(*pairs), n, list(beside), low, high, low, high]
+        names = ["parent", "word", "n", *phrases.STATE[6:]]
+        packed = phrases._packed({c: np.array(x) for c, x in zip(names, columns)})
+        states.append(pa.RecordBatch.from_arrays(
+            [pa.array([group]), *[pa.array(packed[c], pa.binary()) for c in names]], names=["group", *names]))
+    rows = {}
+    for held in (10, 10_000):
+        monkeypatch.setattr(phrases, "HELD", held)
+        out = [x for b in phrases._sum_batches(iter(states)) for x in b.to_pylist()]
+        got, seen = collections.Counter(), {}
+        for x in out:
+            if x["word"] is not None:
+                got[x["group"], x["parent"], x["word"]] += x["n"]
+            else:
+                assert (x["left_min"], x["left_max"]) == (x["right_min"], x["right_max"])
+                a, b = seen.get((x["group"], x["parent"]), (x["left_min"], x["left_max"]))
+                seen[x["group"], x["parent"]] = min(a, x["left_min"]), max(b, x["left_max"])
+        assert got == want and seen == sides
+        rows[held] = len(out)
+    assert rows[10_000] == len(want) + len(sides) < rows[10]
+
+
 def test_no_collocations(spark):
     empty = spark.createDataFrame([], "lang string, text string")
     assert phrases.collocations(empty, 2).collect() == []
